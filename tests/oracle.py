@@ -1,0 +1,70 @@
+"""Side-by-side check of a registered Spark query against its DuckDB oracle:
+row count, column names and an order-insensitive comparison of the values."""
+
+from __future__ import annotations
+
+import math
+from datetime import date, datetime
+from decimal import Decimal
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 9)
+    if isinstance(v, Decimal):
+        return round(float(v), 9)
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, datetime):
+        return v.replace(tzinfo=None).isoformat()
+    if isinstance(v, date):
+        return v.isoformat()
+    if hasattr(v, "tolist"):
+        return _norm(v.tolist())
+    return v
+
+
+def _rows(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
+
+
+def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
+    sdf = query(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    d_rows = rel.fetchall()
+    out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows)}
+    out["columns_match"] = sorted(s_cols) == sorted(d_cols)
+    if not out["columns_match"]:
+        out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
+        out["values_match"] = False
+        return out
+    a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
+    out["values_match"] = a == b
+    if not out["values_match"]:
+        diff_a = [r for r in a if r not in set(b)][:3]
+        diff_b = [r for r in b if r not in set(a)][:3]
+        out["spark_only"], out["oracle_only"] = diff_a, diff_b
+        out["cols"] = sorted(s_cols)
+    return out
