@@ -39,9 +39,11 @@ NEVER_FILLED = (("date_time", "string"), ("toss_winner", "string"), ("balls_rema
 def snapshot_rows(responses: DataFrame) -> DataFrame:
     """L-1: one row per match snapshot from landed responses
     (``fetched_at, seq, data``).  Venue defaults to "Unknown"."""
-    exploded = responses.select("fetched_at", "seq", F.posexplode("data").alias("pos", "m"))
+    # outer + explicit filter: an empty response or a null entry yields no
+    # row, and the optimizer infers no size() filter to push into the scan
+    exploded = responses.select("fetched_at", "seq", F.posexplode_outer("data").alias("pos", "m"))
     m = F.col("m")
-    return exploded.select(
+    return exploded.filter(m.isNotNull()).select(
         "fetched_at",
         "seq",
         "pos",

@@ -52,11 +52,12 @@ def run_pipeline(
     output_root: str,
     *,
     multi_line: bool = True,
+    glob: str = "*.json",
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
 ) -> PipelineResult:
     """Load -> bronze -> quarantine / silver -> statistics -> sinks."""
-    docs = read_match_documents(spark, input_path, multi_line=multi_line)
+    docs = read_match_documents(spark, input_path, multi_line=multi_line, glob=glob)
     bronze = spark.read.parquet(land_bronze(docs, output_root))
     valid, quarantine = split_corrupt(bronze)
     write_parquet(quarantine, f"{output_root}/quarantine")

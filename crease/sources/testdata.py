@@ -33,10 +33,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease.schemas import WICKET
+from crease.sources.tables import spread
+
+
+# near-unique columns to spread an under-split table on (see tables.spread)
+SPREAD_KEYS = {
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
+    "events": ("event_id",),
+}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A provided table, spread over the cores when its file is under-split."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), *SPREAD_KEYS.get(name, ()))
 
 
 def _tag(prefix: str, value: Column) -> Column:
@@ -244,8 +254,11 @@ def live_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     when k % 9 = 0), second (r = floor(value / 2), w = k % 7, missing when
     k % 4 = 0, o = k % 25 + 0.5).
     """
-    e = load(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    # k is parsed once; every later expression reads the column
+    e = load(spark, sf_dir, "events").select(
+        "ts", "event_id", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("int").alias("k")
+    )
+    k = F.col("k")
     et = F.col("event_type")
     eid, uid = F.col("event_id"), F.col("user_id")
     won = F.concat(
