@@ -59,6 +59,10 @@ def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The quarantine keeps the source file, the raw text and a reason so a bad
     document is neither lost nor turned into an all-null match.
+
+    Apply it to landed (bronze Parquet) or cached documents: Spark refuses a
+    query on a raw JSON scan that reads only the corrupt-record column (a
+    plain count of either side would be one).
     """
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     valid = docs.filter(~bad).drop(CORRUPT_COLUMN)
