@@ -324,6 +324,11 @@ def oracle_sql() -> dict[str, str]:
         "player_bowling_stats": f"{_BOWL} SELECT * FROM bowl",
         "season_trends": f"{_SEASON} SELECT * FROM st",
         "venue_stats": f"{_VENUE} SELECT * FROM vs",
+        "team_stats_sorted": f"{_TEAM} SELECT * FROM ts ORDER BY season, win_percentage DESC, team",
+        "player_batting_sorted": f"{_BAT} SELECT * FROM bat ORDER BY season, total_runs DESC, batter",
+        "player_bowling_sorted": f"{_BOWL} SELECT * FROM bowl ORDER BY season, economy_rate, bowler",
+        "season_trends_sorted": f"{_SEASON} SELECT * FROM st ORDER BY season",
+        "venue_stats_sorted": f"{_VENUE} SELECT * FROM vs ORDER BY avg_runs_per_over DESC, venue NULLS FIRST",
         "top_run_scorers": f"{_BAT} SELECT batter, total_runs, strike_rate, average FROM bat "
         "ORDER BY total_runs DESC, season, batter LIMIT 10",
         "top_bowlers": f"{_BOWL} SELECT bowler, wickets_taken, economy_rate, bowling_average FROM bowl "

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from crease.operators.flatten import balls_by_ball, for_sink, matches_table
 from crease.operators.stats import production_stats
 from crease.sources.documents import read_match_documents, split_corrupt
-from crease.sources.sinks import read_parquet_like, save_tables, write_parquet
+from crease.sources.sinks import output_tables, read_parquet_like, save_tables, write_parquet
 
 
 @dataclass
@@ -63,6 +63,12 @@ def run_pipeline(
     write_parquet(quarantine, f"{output_root}/quarantine")
     matches, balls = build_silver(spark, valid, f"{output_root}/silver")
     stats = production_stats(matches, balls)
-    saved = save_tables(stats, f"{output_root}/gold", jdbc_url=jdbc_url, jdbc_properties=jdbc_properties)
-    saved.update({"matches": f"{output_root}/silver/matches", "balls_by_ball": f"{output_root}/silver/balls_by_ball"})
+    silver = {"matches": f"{output_root}/silver/matches", "balls_by_ball": f"{output_root}/silver/balls_by_ball"}
+    saved = save_tables(
+        output_tables(stats, matches, balls),
+        f"{output_root}/gold",
+        jdbc_url=jdbc_url,
+        jdbc_properties=jdbc_properties,
+        landed=silver,
+    )
     return PipelineResult(matches, balls, stats, spark.read.parquet(f"{output_root}/quarantine"), saved)

@@ -123,6 +123,27 @@ def q_venue_stats(spark, sf_dir):
 # --- reports -----------------------------------------------------------------------------
 
 
+# T-1 ... T-5: each statistic in the order the reference gives it
+def q_team_stats_sorted(spark, sf_dir):
+    return reports.sorted_team_stats(q_team_stats(spark, sf_dir))
+
+
+def q_batting_sorted(spark, sf_dir):
+    return reports.sorted_batting(q_batting(spark, sf_dir))
+
+
+def q_bowling_sorted(spark, sf_dir):
+    return reports.sorted_bowling(q_bowling(spark, sf_dir))
+
+
+def q_seasons_sorted(spark, sf_dir):
+    return reports.sorted_seasons(q_season_trends(spark, sf_dir))
+
+
+def q_venues_sorted(spark, sf_dir):
+    return reports.sorted_venues(q_venue_stats(spark, sf_dir))
+
+
 def q_top_run_scorers(spark, sf_dir):
     return reports.top_run_scorers(q_batting(spark, sf_dir))
 
@@ -262,6 +283,11 @@ QUERIES: dict[str, Query] = {
     "player_bowling_stats": q_bowling,
     "season_trends": q_season_trends,
     "venue_stats": q_venue_stats,
+    "team_stats_sorted": q_team_stats_sorted,
+    "player_batting_sorted": q_batting_sorted,
+    "player_bowling_sorted": q_bowling_sorted,
+    "season_trends_sorted": q_seasons_sorted,
+    "venue_stats_sorted": q_venues_sorted,
     "top_run_scorers": q_top_run_scorers,
     "top_bowlers": q_top_bowlers,
     "team_performance": q_team_performance,

@@ -57,11 +57,14 @@ def save_tables(
     table_prefix: str = "ipl_",
     jdbc_writer: Callable[..., None] = write_jdbc,
     partition_by: Mapping[str, list[str]] | None = None,
+    landed: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Write every table to the database, falling back to Parquet per table.
 
     A database failure on one table sends only that table to
     ``<parquet_root>/<name>``; tables already saved stay where they are.
+    ``landed`` names tables that already exist as Parquet (the silver
+    tables): their fallback is that copy, not a second write.
     Returns where each table went.
     """
     where: dict[str, str] = {}
@@ -73,6 +76,9 @@ def save_tables(
                 continue
             except Exception as exc:  # database down, table mismatch, ...
                 log.warning("JDBC write of %s failed (%s); writing Parquet", name, exc)
+        if landed and name in landed:
+            where[name] = landed[name]
+            continue
         path = f"{parquet_root.rstrip('/')}/{name}"
         write_parquet(df, path, (partition_by or {}).get(name))
         where[name] = path
