@@ -2,10 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import functools
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def built_once(fn):
+    """Build a set of column expressions once per Spark application.
+
+    Expressions that name columns (not DataFrames) can be reused by every
+    DataFrame; building them costs one JVM round trip per function call, which
+    adds up for the wide live-snapshot projections.  Keyed by application, so
+    a new session rebuilds them; without a classic SparkContext (a client
+    session) they are cheap and simply rebuilt.
+    """
+    built: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper():
+        session = SparkSession.getActiveSession()
+        try:
+            key = session.sparkContext.applicationId if session is not None else None
+        except Exception:
+            key = None
+        if key is None:
+            return fn()
+        if key not in built:
+            built[key] = fn()
+        return built[key]
+
+    return wrapper
+
+
 def col_or(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

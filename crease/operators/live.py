@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crease.functions import live as L
+from crease.functions.core import built_once
 from crease.schemas import CACHE_TTL_SECONDS, CURRENT_OVER_DECIMAL, REQUIRED_RATE_DECIMAL, VARCHAR_LIMITS
 
 FIRST_SEEN = ("team1", "team2", "venue")
@@ -56,6 +57,7 @@ def snapshot_rows(responses: DataFrame) -> DataFrame:
     )
 
 
+@built_once
 def _required_field_problem() -> Column:
     checks = [("match_id", "missing id"), ("status", "missing status"), ("team1", "missing team 1"), ("team2", "missing team 2")]
     expr = None
@@ -75,56 +77,65 @@ def validate_snapshots(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, quarantine
 
 
-def live_rows(valid: DataFrame) -> DataFrame:
-    """L-2 ... L-8 on validated snapshots: flags, score texts, current over,
-    target and required rate, winner and margin, state label."""
+@built_once
+def _flag_columns() -> list[Column]:
+    return [L.is_ongoing("status").alias("is_ongoing"), L.is_completed("status").alias("is_completed")]
+
+
+@built_once
+def _row_columns() -> list[Column]:
     t1_score, t2_score = L.score_texts("score")
     target, rate = L.chase("score")
-    with_flags = valid.select(
-        "*",
-        L.is_ongoing("status").alias("is_ongoing"),
-        L.is_completed("status").alias("is_completed"),
-    )
     winner, margin = L.result("status", "team1", "team2", F.col("is_completed"))
-    return with_flags.select(
-        "fetched_at",
-        "seq",
-        "pos",
-        "match_id",
-        "team1",
-        "team2",
+    return [
+        F.col("fetched_at"),
+        F.col("seq"),
+        F.col("pos"),
+        F.col("match_id"),
+        F.col("team1"),
+        F.col("team2"),
         t1_score.alias("team1_score"),
         t2_score.alias("team2_score"),
-        "status",
-        "is_ongoing",
-        "is_completed",
-        "venue",
+        F.col("status"),
+        F.col("is_ongoing"),
+        F.col("is_completed"),
+        F.col("venue"),
         L.current_over("score").alias("current_over"),
         target.alias("target"),
         rate.alias("required_rate"),
         winner.alias("winner"),
         margin.alias("result_margin"),
         L.state_label("is_ongoing", "is_completed").alias("state"),
-    )
+    ]
+
+
+def live_rows(valid: DataFrame) -> DataFrame:
+    """L-2 ... L-8 on validated snapshots: flags, score texts, current over,
+    target and required rate, winner and margin, state label."""
+    return valid.select("*", *_flag_columns()).select(*_row_columns())
 
 
 def _decimal(name: str, spec: tuple[int, int]) -> Column:
     return F.col(name).try_cast(f"decimal({spec[0]},{spec[1]})")
 
 
-def storable(rows: DataFrame) -> DataFrame:
-    """F-8: add ``store_problem`` -- why the row would not fit the state table
-    (a text longer than its column, a number beyond its decimal precision), or
-    null.  Numbers are rounded to the stored precision as a database would."""
+@built_once
+def _store_problem() -> Column:
     problem = None
     for c, n in VARCHAR_LIMITS.items():
         cond = F.length(c) > n
         reason = F.lit(f"{c} longer than {n}")
         problem = F.when(cond, reason) if problem is None else problem.when(cond, reason)
-    problem = problem.when(_decimal("current_over", CURRENT_OVER_DECIMAL).isNull(), F.lit("current_over overflow")).when(
+    return problem.when(_decimal("current_over", CURRENT_OVER_DECIMAL).isNull(), F.lit("current_over overflow")).when(
         _decimal("required_rate", REQUIRED_RATE_DECIMAL).isNull(), F.lit("required_rate overflow")
     )
-    return rows.withColumn("store_problem", problem)
+
+
+def storable(rows: DataFrame) -> DataFrame:
+    """F-8: add ``store_problem`` -- why the row would not fit the state table
+    (a text longer than its column, a number beyond its decimal precision), or
+    null.  Numbers are rounded to the stored precision as a database would."""
+    return rows.withColumn("store_problem", _store_problem())
 
 
 def _order() -> Column:
@@ -151,6 +162,11 @@ def current_state_aggregate(rows: DataFrame) -> DataFrame:
 def current_state_columns(agg: DataFrame) -> DataFrame:
     """Shape the aggregate as the live_matches table (numbers at their stored
     precision; the columns no code fills are typed nulls)."""
+    return agg.select(*_state_columns())
+
+
+@built_once
+def _state_columns() -> list[Column]:
     cols = [F.col("match_id")]
     cols += [F.col(f"first.{c}").alias(c) for c in ("team1", "team2")]
     cols += [F.col(f"last.{c}").alias(c) for c in ("team1_score", "team2_score", "status", "is_ongoing", "is_completed")]
@@ -160,7 +176,7 @@ def current_state_columns(agg: DataFrame) -> DataFrame:
     cols.append(F.col("last.required_rate").try_cast("decimal(%d,%d)" % REQUIRED_RATE_DECIMAL).alias("required_rate"))
     cols += [F.col(f"last.{c}").alias(c) for c in ("winner", "result_margin", "updated_at")]
     cols += [F.lit(None).cast(t).alias(c) for c, t in NEVER_FILLED]
-    return agg.select(*cols)
+    return cols
 
 
 def current_state(rows: DataFrame) -> DataFrame:

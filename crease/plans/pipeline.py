@@ -40,10 +40,11 @@ def build_silver(spark: SparkSession, bronze: DataFrame, root: str) -> tuple[Dat
     partitioned by season) and return them read back from Parquet."""
     matches = for_sink(matches_table(bronze))
     balls = balls_by_ball(bronze)
-    matches_path, balls_path = f"{root}/matches", f"{root}/balls_by_ball"
-    write_parquet(matches, matches_path)
-    write_parquet(balls, balls_path, ["season"])
-    return read_parquet_like(spark, matches_path, matches.schema), read_parquet_like(spark, balls_path, balls.schema)
+    where = save_tables({"matches": matches, "balls_by_ball": balls}, root, partition_by={"balls_by_ball": ["season"]})
+    return (
+        read_parquet_like(spark, where["matches"], matches.schema),
+        read_parquet_like(spark, where["balls_by_ball"], balls.schema),
+    )
 
 
 def run_pipeline(

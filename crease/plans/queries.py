@@ -261,10 +261,17 @@ def q_live_quarantine(spark, sf_dir):
 def q_live_matches_stream(spark, sf_dir):
     """The same current state computed by a Structured Streaming job over
     landed response files, several micro-batches, read back from its table."""
-    source = live_state.land_responses(testdata.live_responses(spark, sf_dir), scratch_path(spark, "live-landing"), files=8)
+    cores = spark.sparkContext.defaultParallelism
+    source = live_state.land_responses(testdata.live_responses(spark, sf_dir), scratch_path(spark, "live-landing"), files=2 * cores)
     table = scratch_path(spark, "live-state")
     query = live_state.start_live_state(
-        spark, source, table, scratch_path(spark, "live-ckpt"), max_files_per_trigger=2, available_now=True
+        spark,
+        source,
+        table,
+        scratch_path(spark, "live-ckpt"),
+        max_files_per_trigger=cores,  # two micro-batches, every core busy in each
+        available_now=True,
+        state_partitions=cores,
     )
     query.awaitTermination()
     return live_state.read_live_state(spark, table)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -58,6 +59,7 @@ def save_tables(
     jdbc_writer: Callable[..., None] = write_jdbc,
     partition_by: Mapping[str, list[str]] | None = None,
     landed: Mapping[str, str] | None = None,
+    parallel: int = 4,
 ) -> dict[str, str]:
     """Write every table to the database, falling back to Parquet per table.
 
@@ -67,19 +69,24 @@ def save_tables(
     tables): their fallback is that copy, not a second write.
     Returns where each table went.
     """
-    where: dict[str, str] = {}
-    for name, df in tables.items():
+
+    def save(name: str, df: DataFrame) -> str:
         if jdbc_url:
             try:
                 jdbc_writer(df, jdbc_url, f"{table_prefix}{name}", jdbc_properties or {})
-                where[name] = f"jdbc:{table_prefix}{name}"
-                continue
+                return f"jdbc:{table_prefix}{name}"
             except Exception as exc:  # database down, table mismatch, ...
                 log.warning("JDBC write of %s failed (%s); writing Parquet", name, exc)
         if landed and name in landed:
-            where[name] = landed[name]
-            continue
+            return landed[name]
         path = f"{parquet_root.rstrip('/')}/{name}"
         write_parquet(df, path, (partition_by or {}).get(name))
-        where[name] = path
+        return path
+
+    # independent tables: one Spark job each, submitted together so small
+    # jobs overlap instead of queueing (Spark runs jobs from separate threads
+    # concurrently)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tables)))) as pool:
+        futures = {name: pool.submit(save, name, df) for name, df in tables.items()}
+        where = {name: f.result() for name, f in futures.items()}
     return where

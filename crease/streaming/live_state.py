@@ -40,7 +40,7 @@ def land_responses(responses: DataFrame, path: str, files: int = 8) -> str:
 
 
 def read_responses_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LIVE_RESPONSE).option("timestampNTZFormat", TS_FORMAT)
+    reader = spark.readStream.schema(LIVE_RESPONSE)  # the default parser reads any fraction length
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(path)
@@ -58,6 +58,9 @@ def _changelog_writer(table_path: str):
     return write
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start_live_state(
     spark: SparkSession,
     source_path: str,
@@ -67,9 +70,21 @@ def start_live_state(
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str = "60 seconds",
+    state_partitions: int | None = None,
+    rocksdb_state: bool = True,
 ) -> StreamingQuery:
-    """Start the current-state stream.  The checkpoint must live on shared
-    storage (it holds offsets and the per-match state)."""
+    """Start the current-state stream.
+
+    The checkpoint (offsets and per-match state) must live on shared storage.
+    ``state_partitions`` fixes the number of state-store partitions for the
+    life of the checkpoint (default: the session's shuffle partitions);
+    ``rocksdb_state`` keeps the state off the JVM heap, which matters when it
+    grows with the number of matches.  Both apply to this query only: a
+    streaming query runs on a clone of the session taken at start, so the
+    caller's settings are restored right after.
+    ``max_files_per_trigger`` should be at least the number of cores, or a
+    micro-batch parses its files with idle cores.
+    """
     snapshots = snapshot_rows(read_responses_stream(spark, source_path, max_files_per_trigger))
     valid, _ = validate_snapshots(snapshots)
     agg = current_state_aggregate(live_rows(valid))
@@ -79,7 +94,22 @@ def start_live_state(
         .foreachBatch(_changelog_writer(table_path))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start()
+    overrides = {}
+    if state_partitions:
+        overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if rocksdb_state:
+        overrides["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    saved = {k: spark.conf.get(k, None) for k in overrides}
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
+    try:
+        return writer.start()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def read_live_state(spark: SparkSession, table_path: str) -> DataFrame:
