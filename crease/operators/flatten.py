@@ -68,8 +68,9 @@ def for_sink(matches: DataFrame) -> DataFrame:
 def flatten_match_documents(docs: DataFrame) -> DataFrame:
     """P-2: innings -> overs -> deliveries, one row per delivery.
 
-    Empty or null levels drop out (the generators skip them, F-1).  Positions
-    from ``posexplode`` identify a ball inside its match for the surrogate id.
+    Empty or null levels drop out (the generators skip them, F-1).  The
+    positions from ``posexplode`` (innings, over, ball) locate a ball inside
+    its match.
     """
     info = F.col("info")
     keep = ["match_id", "season", "teams", "venue", "match_date"]
@@ -101,9 +102,14 @@ def balls_by_ball(docs: DataFrame, *, with_load_time: bool = True) -> DataFrame:
     """P-2 ... P-6, F-2: the ball-by-ball fact table.
 
     batter / bowler / non-striker default to "Unknown" and runs to 0; rows with
-    an unknown season, batter or bowler are dropped.  ``ball_id`` hashes the
-    match id and the three positions, so it is unique per ball and the same
-    when a lost task recomputes it.
+    an unknown season, batter or bowler are dropped.
+
+    ``ball_id`` is ``monotonically_increasing_id()`` taken after the filter:
+    unique by construction (task index in the high bits, row number in the
+    low bits) at any row count, where a 64-bit hash would collide once there
+    are ~10^10 balls.  The flatten is narrow -- no shuffle between the scan
+    and the id -- so a retried task re-reads the same split in the same order
+    and assigns the same ids; the pipeline then fixes them in silver Parquet.
     """
     flat = flatten_match_documents(docs)
     d = F.col("delivery")
@@ -126,6 +132,6 @@ def balls_by_ball(docs: DataFrame, *, with_load_time: bool = True) -> DataFrame:
     ]
     if with_load_time:
         cols.append(F.current_timestamp().alias("processed_at"))
-    cols.append(F.xxhash64("match_id", "innings_pos", "over_pos", "ball_pos").alias("ball_id"))
     out = flat.select(*cols)
-    return out.filter((F.col("season") != UNKNOWN) & (F.col("batter") != UNKNOWN) & (F.col("bowler") != UNKNOWN))
+    kept = out.filter((F.col("season") != UNKNOWN) & (F.col("batter") != UNKNOWN) & (F.col("bowler") != UNKNOWN))
+    return kept.withColumn("ball_id", F.monotonically_increasing_id())

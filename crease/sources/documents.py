@@ -27,8 +27,11 @@ def read_match_documents(
     file -- the layout to land at scale.  PERMISSIVE mode keeps an unparsable
     document as a row whose ``_corrupt_record`` holds the raw text.
 
-    ``match_id`` is assigned here, before any explode: a hash of the source
-    file and the match's info block, stable when a task is re-run.
+    ``match_id`` is assigned here, before any explode: a 64-bit hash of the
+    source file and the match's info block -- the same on a task retry and on
+    the next run over the same files (so incremental loads keep their ids).
+    Collision odds are n^2 / 2^65: about 3e-8 for a million matches (more
+    than all professional cricket ever played).
 
     A missing folder raises PATH_NOT_FOUND from Spark itself; a folder without
     a matching file raises :class:`NoMatchDocuments` (with an explicit schema

@@ -30,8 +30,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if current >= cores:
         return df
     # as many partitions as a shuffle would use, so a join or aggregate on the
-    # same key reuses this partitioning instead of shuffling again
-    target = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # same key reuses this partitioning instead of shuffling again -- unless
+    # that number is far above the cores (a cluster-sized default on a small
+    # input), where a few tasks per core is enough
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = max(cores, shuffle) if shuffle <= 4 * cores else 2 * cores
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
