@@ -353,4 +353,5 @@ def oracle_sql() -> dict[str, str]:
         "live_quarantine": f"{_LIVE} SELECT seq, match_id, problem AS reason FROM checked WHERE problem IS NOT NULL "
         "UNION ALL SELECT seq, match_id, store_problem AS reason FROM storable WHERE store_problem IS NOT NULL",
         "live_matches_stream": f"{_LIVE} SELECT * FROM current",
+        "live_cache_stream": _LIVE_CACHE,
     }

@@ -20,7 +20,7 @@ from crease.plans import sql as sqlpath
 from crease.session import scratch_path
 from crease.sources import documents, testdata
 from crease.sources.sinks import read_parquet_like, write_parquet
-from crease.streaming import live_state
+from crease.streaming import live_cache, live_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -277,6 +277,19 @@ def q_live_matches_stream(spark, sf_dir):
     return live_state.read_live_state(spark, table)
 
 
+def q_live_cache_stream(spark, sf_dir):
+    """The recent-state cache kept by a stateful stream with TTL eviction,
+    read back as of the latest snapshot."""
+    cores = spark.sparkContext.defaultParallelism
+    source = live_state.land_responses(testdata.live_responses(spark, sf_dir), scratch_path(spark, "cache-landing"), files=2 * cores)
+    table = scratch_path(spark, "cache-table")
+    query = live_cache.start_live_cache(
+        spark, source, table, scratch_path(spark, "cache-ckpt"), max_files_per_trigger=cores, available_now=True
+    )
+    query.awaitTermination()
+    return live_cache.read_live_cache(spark, table)
+
+
 QUERIES: dict[str, Query] = {
     "matches": q_matches,
     "balls_by_ball": q_balls_by_ball,
@@ -316,4 +329,5 @@ QUERIES: dict[str, Query] = {
     "live_cache": q_live_cache,
     "live_quarantine": q_live_quarantine,
     "live_matches_stream": q_live_matches_stream,
+    "live_cache_stream": q_live_cache_stream,
 }

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.schemas import CORRUPT_COLUMN, MATCH_DOCUMENT_READ
+from pyspark.sql import types as T
+
+from crease.schemas import CORRUPT_COLUMN, INFO, MATCH_DOCUMENT_READ
 
 
 class NoMatchDocuments(RuntimeError):
@@ -28,7 +30,7 @@ def read_match_documents(
     document as a row whose ``_corrupt_record`` holds the raw text.
 
     ``match_id`` is assigned here, before any explode: a 64-bit hash of the
-    source file and the match's info block -- the same on a task retry and on
+    source file and the match's info fields -- the same on a task retry and on
     the next run over the same files (so incremental loads keep their ids).
     Collision odds are n^2 / 2^65: about 3e-8 for a million matches (more
     than all professional cricket ever played).
@@ -47,8 +49,10 @@ def read_match_documents(
     )
     if not df.inputFiles():
         raise NoMatchDocuments(f"no {glob} files in {path}")
+    # every info field but the player registry (hash functions take no maps)
+    info_fields = [F.col(f"info.{f.name}") for f in INFO.fields if not isinstance(f.dataType, T.MapType) and f.name != "registry"]
     return df.select(
-        F.xxhash64(F.col("_metadata.file_path"), F.to_json(F.col("info")), F.col(CORRUPT_COLUMN)).alias("match_id"),
+        F.xxhash64(F.col("_metadata.file_path"), *info_fields, F.col(CORRUPT_COLUMN)).alias("match_id"),
         "info",
         "innings",
         "meta",

@@ -54,3 +54,33 @@ def test_late_file_does_not_overwrite(spark, tmp_path):
     row = live_state.read_live_state(spark, table).collect()[0]
     assert row.status == "Live"  # the newer snapshot stays
     assert (row.team1, row.venue) == ("A0", "W")  # first seen by event time
+
+
+def test_cache_stream_evicts_by_ttl(spark, tmp_path):
+    """Snapshots over two hours in four files: the cache keeps only matches
+    written in the last 600 s, and the stream's state is evicted to match."""
+    from crease.streaming import live_cache
+
+    base = dt.datetime(2024, 5, 1, 18, 0)
+    rows = []
+    for i in range(40):  # one snapshot every 3 minutes, matches c0..c9 in turn
+        t = base + dt.timedelta(minutes=3 * i)
+        m = {"id": f"c{i % 10}", "status": "Live", "venue": "V", "teamInfo": [{"name": "A Reds"}, {"name": "B Blues"}],
+             "score": [{"r": i, "w": 1, "o": 5.0}]}
+        rows.append((t, i, [m]))
+    responses = spark.createDataFrame(rows, LIVE_RESPONSE)
+    src = live_state.land_responses(responses, str(tmp_path / "landing"), files=4)
+    table, ckpt = str(tmp_path / "cache"), str(tmp_path / "ckpt")
+    q = live_cache.start_live_cache(spark, src, table, ckpt, max_files_per_trigger=1, available_now=True)
+    q.awaitTermination()
+    got = sorted((r.cache_key, r.payload) for r in live_cache.read_live_cache(spark, table).collect())
+    valid, _ = live.validate_snapshots(live.snapshot_rows(responses))
+    want = sorted((r.cache_key, r.payload) for r in live.cache_entries(live.live_rows(valid)).collect())
+    # last write at 19:57; alive: written after 19:47 -> 19:48, 19:51, 19:54, 19:57
+    assert got == want and len(got) == 4
+    deleted = spark.read.parquet(table).filter("deleted").count()
+    assert deleted > 0  # expired entries were removed from state, not kept forever
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    # each 30-minute file touches all 10 matches; once the watermark moves on,
+    # state shrinks to the entries still alive
+    assert states and states[-1] == 4 and min(states) < max(states)
