@@ -82,3 +82,18 @@ def test_entry_smoke(spark):
     assert df.columns == ["season", "team", "matches_played", "matches_won", "tosses_won", "win_percentage", "toss_win_percentage"]
     assert set(E.oracle_sql()) <= set(E.queries())
     assert SF_SMALL in E.SMOKE_DIR
+
+
+def test_spread_only_under_split_scans(spark, tmp_path):
+    from crease.sources.tables import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(1000).coalesce(1)
+    path = str(tmp_path / "one")
+    one.write.parquet(path)
+    small = spark.read.parquet(path)
+    spread_df = spread(small, "id")
+    assert small.rdd.getNumPartitions() < cores <= spread_df.rdd.getNumPartitions()
+    assert sorted(r.id for r in spread_df.collect()) == list(range(1000))
+    many = spark.range(0, 1000, 1, cores * 2)
+    assert spread(many, "id") is many  # already split: untouched, no shuffle
