@@ -284,7 +284,13 @@ def q_live_cache_stream(spark, sf_dir):
     source = live_state.land_responses(testdata.live_responses(spark, sf_dir), scratch_path(spark, "cache-landing"), files=2 * cores)
     table = scratch_path(spark, "cache-table")
     query = live_cache.start_live_cache(
-        spark, source, table, scratch_path(spark, "cache-ckpt"), max_files_per_trigger=cores, available_now=True
+        spark,
+        source,
+        table,
+        scratch_path(spark, "cache-ckpt"),
+        max_files_per_trigger=cores,
+        available_now=True,
+        state_partitions=cores,
     )
     query.awaitTermination()
     return live_cache.read_live_cache(spark, table)

@@ -1,73 +1,53 @@
 """The recent-state cache (U-2) as a Structured Streaming job with TTL state.
 
 The reference writes a JSON summary of every valid snapshot under
-``live:<match_id>`` with a 600 s expiry.  Here that is a keyed stateful stream:
+``live:<match_id>`` with a 600 s expiry, so at time t the cache holds, per
+match, the newest summary if it was written after t - 600 s.  Such a write
+lies in the current or the previous 600 s event-time window, so the stream
+only needs per-(match, window) state for the last two windows:
 
 readStream (landed responses) -> the batch functions for validation and live
 rows -> summary JSON built JVM-side -> ``withWatermark(event_time, ttl)`` ->
-``groupBy(match_id).applyInPandasWithState`` keeping the newest summary per
-match with an event-time timeout -> ``foreachBatch`` into a Parquet changelog
-of upserts and deletions (``batch_id=<n>`` folders, rewritten on replay).
-
-* State is bounded by the TTL: a match's entry is removed once the watermark
-  (latest event time minus the TTL) passes its write time, so state holds only
-  recently active matches -- unlike the current-state table, which keeps all.
-* A snapshot older than the watermark is dropped by Spark; such an entry would
+``groupBy(match_id, window(event_time, ttl)).agg(max_by(summary, order))`` in
+update mode -> ``foreachBatch`` into a Parquet changelog (``batch_id=<n>``
+folders, rewritten on replay).
+
+* State is bounded by the TTL: once the watermark (latest event time minus
+  the TTL) passes a window's end, Spark drops it from state, so state holds
+  only matches written in the last two windows -- unlike the current-state
+  table, which keeps every match.
+* A snapshot older than the watermark is dropped by Spark; its entry would
   already have expired, so the cache does not change.
-* The Python function is a small per-key helper over pre-aggregated rows
-  (one pandas frame per match and micro-batch); parsing, flags, scores and the
-  JSON payload are computed by Spark before it.
+* No Python in the stream: parsing, flags, payload and the windowed aggregate
+  all run in the JVM, with partial aggregation before the shuffle.
+
+(A session window with a 600 s gap is the same lifetime, but Spark emits
+session windows only when they close -- i.e. only expired entries.)
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import sys
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from crease.operators.live import live_rows, snapshot_rows, validate_snapshots
 from crease.schemas import CACHE_TTL_SECONDS
-from crease.streaming.live_state import read_responses_stream
-
-CACHE_CHANGE = T.StructType(
-    [
-        T.StructField("cache_key", T.StringType()),
-        T.StructField("payload", T.StringType()),
-        T.StructField("written_at", T.TimestampNTZType()),
-        T.StructField("expires_at", T.TimestampNTZType()),
-        T.StructField("deleted", T.BooleanType()),
-    ]
-)
-CACHE_STATE = T.StructType(
-    [
-        T.StructField("payload", T.StringType()),
-        T.StructField("written_us", T.LongType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("pos", T.IntegerType()),
-    ]
-)
-_EPOCH = _dt.datetime(1970, 1, 1)
+from crease.streaming.live_state import read_responses_stream, start_stateful
 
-# The state function and its helpers travel to the Python workers by value,
-# so executors need pandas but not this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+_EPOCH = _dt.datetime(1970, 1, 1)
 
 
 def cache_writes(valid_rows: DataFrame) -> DataFrame:
-    """One cache write per valid snapshot: key, JSON payload, event time.
+    """One cache write per valid snapshot: match, JSON payload, times.
 
-    ``event_time`` is the snapshot time as an instant (the wall-clock value
-    read as UTC, independent of the session time zone) for the watermark;
-    ``written_us`` the same value in microseconds for the state function.
+    ``event_time`` is the snapshot time as an instant -- the wall-clock value
+    read as UTC, independent of the session time zone -- for the watermark
+    and the window (both need an instant, not a local time).
     """
-    written_us = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col("fetched_at"))
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col("fetched_at"))
     summary = F.struct(
         F.concat_ws(" vs ", "team1", "team2").alias("teams"),
         F.col("team1_score").alias("score1"),
@@ -77,64 +57,34 @@ def cache_writes(valid_rows: DataFrame) -> DataFrame:
     return valid_rows.select(
         "match_id",
         F.to_json(summary).alias("payload"),
-        written_us.alias("written_us"),
-        F.timestamp_micros(written_us).alias("event_time"),
+        "fetched_at",
+        F.timestamp_micros(micros).alias("event_time"),
         "seq",
         "pos",
     )
 
 
-def _change(match_id: str, payload: str, written_us: int, ttl_us: int, deleted: bool) -> pd.DataFrame:
-    written = pd.Timestamp(written_us, unit="us")
-    return pd.DataFrame(
-        {
-            "cache_key": [f"live:{match_id}"],
-            "payload": [payload],
-            "written_at": [written],
-            "expires_at": [written + pd.Timedelta(microseconds=ttl_us)],
-            "deleted": [deleted],
-        }
+def cache_windows(writes: DataFrame, ttl_seconds: int = CACHE_TTL_SECONDS) -> DataFrame:
+    """Per match and ``ttl``-long event-time window: the newest payload and
+    its write time.  Works on a batch or a stream."""
+    order = F.struct("fetched_at", "seq", "pos")
+    return writes.groupBy("match_id", F.window("event_time", f"{ttl_seconds} seconds")).agg(
+        F.max_by(F.struct("payload", F.col("fetched_at").alias("written_at")), order).alias("last")
     )
 
 
-def _fold(ttl_seconds: int):
-    ttl_us = ttl_seconds * 1_000_000
-
-    def fold(key, chunks, state: GroupState):
-        match_id = key[0]
-        if state.hasTimedOut:
-            payload, written_us, _, _ = state.get
-            state.remove()
-            yield _change(match_id, payload, written_us, ttl_us, deleted=True)
-            return
-        best = tuple(state.get) if state.exists else None
-        for pdf in chunks:
-            if pdf.empty:
-                continue
-            top = pdf.sort_values(["written_us", "seq", "pos"]).iloc[-1]
-            cand = (top["payload"], int(top["written_us"]), int(top["seq"]), int(top["pos"]))
-            if best is None or cand[1:] > best[1:]:
-                best = cand
-        if best is None:
-            return
-        # the entry expires once the watermark (latest event time - ttl)
-        # passes its write time
-        if best[1] // 1000 <= state.getCurrentWatermarkMs():
-            if state.exists:
-                state.remove()
-            yield _change(match_id, best[0], best[1], ttl_us, deleted=True)
-            return
-        state.update(best)
-        state.setTimeoutTimestamp(best[1] // 1000)
-        yield _change(match_id, best[0], best[1], ttl_us, deleted=False)
-
-    return fold
-
-
-def _changelog_writer(table_path: str):
+def _changelog_writer(table_path: str, ttl_seconds: int):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{table_path}/batch_id={batch_id}"
+        (
+            batch.select(
+                F.concat(F.lit("live:"), F.col("match_id")).alias("cache_key"),
+                F.col("last.payload").alias("payload"),
+                F.col("last.written_at").alias("written_at"),
+                (F.col("last.written_at") + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("expires_at"),
+                F.lit(batch_id).cast("bigint").alias("batch_id"),
+            )
+            .write.mode("overwrite")
+            .parquet(f"{table_path}/batch_id={batch_id}")
         )
 
     return write
@@ -150,34 +100,36 @@ def start_live_cache(
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str = "60 seconds",
+    state_partitions: int | None = None,
+    rocksdb_state: bool = True,
 ) -> StreamingQuery:
-    """Start the cache stream; the checkpoint must live on shared storage."""
+    """Start the cache stream; the checkpoint must live on shared storage.
+    ``state_partitions`` / ``rocksdb_state`` as for the current-state stream."""
     snapshots = snapshot_rows(read_responses_stream(spark, source_path, max_files_per_trigger))
     valid, _ = validate_snapshots(snapshots)
     writes = cache_writes(live_rows(valid)).withWatermark("event_time", f"{ttl_seconds} seconds")
-    changes = writes.groupBy("match_id").applyInPandasWithState(
-        _fold(ttl_seconds), CACHE_CHANGE, CACHE_STATE, "update", GroupStateTimeout.EventTimeTimeout
-    )
     writer = (
-        changes.writeStream.outputMode("update")
+        cache_windows(writes, ttl_seconds)
+        .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_path)
-        .foreachBatch(_changelog_writer(table_path))
+        .foreachBatch(_changelog_writer(table_path, ttl_seconds))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return start_stateful(spark, writer, state_partitions, rocksdb_state)
 
 
 def read_live_cache(spark: SparkSession, table_path: str, as_of: _dt.datetime | None = None) -> DataFrame:
-    """The cache as of ``as_of`` (default: the latest write seen): the newest
-    change per key, kept when it is not a deletion and has not expired."""
+    """The cache as of ``as_of`` (default: the latest write seen): each key's
+    newest entry, kept while it has not expired."""
     log = spark.read.parquet(table_path)
-    order = F.struct("batch_id", "written_at", F.col("deleted").cast("int"))
-    latest = log.groupBy("cache_key").agg(F.max_by(F.struct("payload", "written_at", "expires_at", "deleted"), order).alias("c"))
+    latest = log.groupBy("cache_key").agg(
+        F.max_by(F.struct("payload", "written_at", "expires_at"), F.struct("written_at", "batch_id")).alias("c")
+    )
     if as_of is None:
         # one scalar to the driver, not data
         as_of = log.agg(F.max("written_at")).first()[0]
     as_of_col = F.lit(str(as_of)).cast("timestamp_ntz")
-    return latest.filter(~F.col("c.deleted") & (F.col("c.expires_at") > as_of_col)).select(
+    return latest.filter(F.col("c.expires_at") > as_of_col).select(
         "cache_key",
         F.col("c.payload").alias("payload"),
         F.col("c.written_at").alias("written_at"),

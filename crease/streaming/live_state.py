@@ -94,6 +94,13 @@ def start_live_state(
         .foreachBatch(_changelog_writer(table_path))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    return start_stateful(spark, writer, state_partitions, rocksdb_state)
+
+
+def start_stateful(spark: SparkSession, writer, state_partitions: int | None = None, rocksdb_state: bool = True) -> StreamingQuery:
+    """Start a stateful query with its own state-partition count and state
+    store; the caller's session settings are restored right after (the query
+    runs on a clone of the session taken at start)."""
     overrides = {}
     if state_partitions:
         overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
