@@ -18,6 +18,7 @@ from crease.operators.flatten import balls_by_ball, for_sink, matches_table
 from crease.operators.stats import production_stats
 from crease.sources.documents import read_match_documents, split_corrupt
 from crease.sources.sinks import output_tables, read_parquet_like, save_tables, write_parquet
+from crease.sources.tables import register_views
 
 
 @dataclass
@@ -72,4 +73,6 @@ def run_pipeline(
         jdbc_properties=jdbc_properties,
         landed=silver,
     )
+    # the SQL path: every output table as an ipl_<name> view
+    register_views(output_tables(stats, matches, balls))
     return PipelineResult(matches, balls, stats, spark.read.parquet(f"{output_root}/quarantine"), saved)

@@ -72,6 +72,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert set(res.stats) == {"team_stats", "player_batting_stats", "player_bowling_stats", "season_trends", "venue_stats"}
     assert spark.read.parquet(res.saved["team_stats"]).count() == 8
     assert "innings_data" not in res.matches.columns
+    assert spark.sql("SELECT COUNT(*) AS n FROM ipl_balls_by_ball").first().n == 4
 
 
 def test_entry_smoke(spark):

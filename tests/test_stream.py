@@ -33,6 +33,10 @@ def test_stream_equals_batch(spark, tmp_path):
     assert batches >= 2  # state carried across micro-batches
     assert _rows(streamed) == _rows(_batch_state(responses))
 
+    # compaction rewrites the changelog as one batch with the same current state
+    compacted = live_state.compact(spark, table, str(tmp_path / "compacted"))
+    assert _rows(live_state.read_live_state(spark, compacted)) == _rows(streamed)
+
     # a restart on the same checkpoint finds nothing new and leaves the table as it was
     q2 = live_state.start_live_state(spark, source, table, ckpt, max_files_per_trigger=1, available_now=True)
     q2.awaitTermination()
