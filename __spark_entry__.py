@@ -63,7 +63,7 @@ mt AS (
          CASE WHEN o_orderstatus = 'O' THEN o_custkey % 10 + 1 END AS win_by_wickets,
          CASE WHEN o_orderkey % 2 = 0 THEN team1 ELSE team2 END AS toss_winner,
          CASE WHEN o_orderkey % 3 = 0 THEN 'bat' ELSE 'field' END AS toss_decision,
-         CASE WHEN o_orderstatus IN ('F', 'O') THEN ['B' || CAST(o_orderkey % 200 AS VARCHAR)] END AS player_of_match,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN ['B' || CAST(o_orderkey % 200 AS VARCHAR)] ELSE CAST([] AS VARCHAR[]) END AS player_of_match,
          match_id
   FROM m
 )"""
@@ -275,8 +275,8 @@ state AS (
 ),
 current AS (
   SELECT l.match_id, f.team1, f.team2, l.team1_score, l.team2_score, l.status, l.is_ongoing, l.is_completed,
-         f.venue, """ + _dec("l.current_over", 4, 1) + """ AS current_over, CAST(l.target AS INTEGER) AS target,
-         """ + _dec("l.required_rate", 4, 2) + """ AS required_rate, l.winner, l.result_margin,
+         f.venue, CAST(""" + _dec("l.current_over", 4, 1) + """ AS DOUBLE) AS current_over, CAST(l.target AS INTEGER) AS target,
+         CAST(""" + _dec("l.required_rate", 4, 2) + """ AS DOUBLE) AS required_rate, l.winner, l.result_margin,
          l.fetched_at AS updated_at, CAST(NULL AS VARCHAR) AS date_time, CAST(NULL AS VARCHAR) AS toss_winner,
          CAST(NULL AS INTEGER) AS balls_remaining
   FROM state l JOIN state f ON l.match_id = f.match_id AND l.rn_last = 1 AND f.rn_first = 1
@@ -288,7 +288,7 @@ SELECT match_id, team1 || ' vs ' || team2 AS fixture,
        CASE WHEN is_ongoing AND current_over > 0 THEN
          'Over ' || CAST(current_over AS VARCHAR) || ' | Target: ' ||
          (CASE WHEN target > 0 THEN CAST(target AS VARCHAR) ELSE 'N/A' END) || ' | Req Rate: ' ||
-         (CASE WHEN required_rate > 0 THEN CAST(required_rate AS VARCHAR) ELSE 'N/A' END) END AS live_stats,
+         (CASE WHEN required_rate > 0 THEN printf('%.2f', required_rate) ELSE 'N/A' END) END AS live_stats,
        CASE WHEN is_completed AND winner <> '' THEN winner || ' (' || result_margin || ')' END AS result
 FROM current"""
 

@@ -119,6 +119,12 @@ def _decimal(name: str, spec: tuple[int, int]) -> Column:
     return F.col(name).try_cast(f"decimal({spec[0]},{spec[1]})")
 
 
+def _stored(name: str, spec: tuple[int, int]) -> Column:
+    """The value as the table stores it (rounded half-up to the column's
+    scale), carried as a double."""
+    return _decimal(name, spec).cast("double")
+
+
 @built_once
 def _store_problem() -> Column:
     problem = None
@@ -160,8 +166,9 @@ def current_state_aggregate(rows: DataFrame) -> DataFrame:
 
 
 def current_state_columns(agg: DataFrame) -> DataFrame:
-    """Shape the aggregate as the live_matches table (numbers at their stored
-    precision; the columns no code fills are typed nulls)."""
+    """Shape the aggregate as the live_matches table (current over and
+    required rate rounded to their stored precision; the columns no code
+    fills are typed nulls)."""
     return agg.select(*_state_columns())
 
 
@@ -171,9 +178,9 @@ def _state_columns() -> list[Column]:
     cols += [F.col(f"first.{c}").alias(c) for c in ("team1", "team2")]
     cols += [F.col(f"last.{c}").alias(c) for c in ("team1_score", "team2_score", "status", "is_ongoing", "is_completed")]
     cols.append(F.col("first.venue").alias("venue"))
-    cols.append(F.col("last.current_over").try_cast("decimal(%d,%d)" % CURRENT_OVER_DECIMAL).alias("current_over"))
+    cols.append(_stored("last.current_over", CURRENT_OVER_DECIMAL).alias("current_over"))
     cols.append(F.col("last.target").cast("int").alias("target"))
-    cols.append(F.col("last.required_rate").try_cast("decimal(%d,%d)" % REQUIRED_RATE_DECIMAL).alias("required_rate"))
+    cols.append(_stored("last.required_rate", REQUIRED_RATE_DECIMAL).alias("required_rate"))
     cols += [F.col(f"last.{c}").alias(c) for c in ("winner", "result_margin", "updated_at")]
     cols += [F.lit(None).cast(t).alias(c) for c, t in NEVER_FILLED]
     return cols
@@ -227,7 +234,7 @@ def live_report(state: DataFrame) -> DataFrame:
         F.lit(" | Target: "),
         F.when(F.col("target") > 0, F.col("target").cast("string")).otherwise(F.lit("N/A")),
         F.lit(" | Req Rate: "),
-        F.when(F.col("required_rate") > 0, F.col("required_rate").cast("string")).otherwise(F.lit("N/A")),
+        F.when(F.col("required_rate") > 0, F.format_number("required_rate", 2)).otherwise(F.lit("N/A")),
     )
     winner_line = F.concat(F.col("winner"), F.lit(" ("), F.col("result_margin"), F.lit(")"))
     return state.select(

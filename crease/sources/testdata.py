@@ -15,7 +15,7 @@ live snapshot):
   team1, odd -> team2; toss decision: key % 3 = 0 -> bat, else field
 * win_by_runs = floor(o_totalprice) % 100 + 1 when team1 won;
   win_by_wickets = o_custkey % 10 + 1 when team2 won
-* player_of_match = ['B' || o_orderkey % 200] when there is a winner
+* player_of_match = ['B' || o_orderkey % 200] when there is a winner, else []
 * delivery: batting team = team1 when l_linestatus = 'O' else team2; over =
   l_linenumber - 1; batter 'B' || l_partkey % 200; bowler 'W' || l_suppkey %
   120; non-striker 'B' || (l_partkey + 100) % 200
@@ -100,7 +100,8 @@ def match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", cust % 10 + 1).alias("win_by_wickets"),
         F.when(key % 2 == 0, team1).otherwise(team2).alias("toss_winner"),
         F.when(key % 3 == 0, F.lit("bat")).otherwise(F.lit("field")).alias("toss_decision"),
-        F.when(winner.isNotNull(), F.array(_tag("B", key % 200))).alias("player_of_match"),
+        # no winner, no player of the match: an empty list
+        F.filter(F.array(_tag("B", key % 200)), lambda _: winner.isNotNull()).alias("player_of_match"),
     )
 
 

@@ -121,7 +121,7 @@ def test_current_state_first_and_last_seen(parts):
     assert (m1.team1, m1.venue) == ("Mumbai Indians", "Wankhede")  # first seen
     assert m1.status == "CSK need 45 runs"  # the latest, not the late-arriving older file
     assert m1.updated_at == T0 + dt.timedelta(minutes=5)
-    assert str(m1.current_over) == "12.4" and str(m1.required_rate) == "5.92" and m1.target == 143
+    assert m1.current_over == 12.4 and m1.required_rate == 5.92 and m1.target == 143
     assert m1.date_time is None and m1.balls_remaining is None
 
 
