@@ -159,10 +159,19 @@ def _delivery_columns() -> dict[str, Column]:
 
 
 @_per_session
-def delivery_rows(spark: SparkSession, sf_dir: str, spread_scan: bool = True) -> DataFrame:
-    """One row per delivery keyed by its order; no match attributes yet."""
+def delivery_rows(spark: SparkSession, sf_dir: str, by_match: bool = False) -> DataFrame:
+    """One row per delivery keyed by its order; no match attributes yet.
+
+    ``by_match``: hash-partition the line items on the order (match) key
+    first, so the delivery columns are derived after that single exchange,
+    in parallel, and every later grouping by match reuses it.
+    """
     cols = _delivery_columns()
-    return load(spark, sf_dir, "lineitem", spread_scan).select(F.col("l_orderkey").alias("match_id"), *[c.alias(n) for n, c in cols.items()])
+    if by_match:
+        lines = load(spark, sf_dir, "lineitem", spread_scan=False).repartition("l_orderkey")
+    else:
+        lines = load(spark, sf_dir, "lineitem")
+    return lines.select(F.col("l_orderkey").alias("match_id"), *[c.alias(n) for n, c in cols.items()])
 
 
 @_per_session
@@ -207,7 +216,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     no group is larger than a match.  Arrays are sorted so a document is the
     same on every recomputation.
     """
-    d = delivery_rows(spark, sf_dir, spread_scan=False).repartition("match_id")
+    d = delivery_rows(spark, sf_dir, by_match=True)
     delivery = F.struct(
         "batter",
         "bowler",
