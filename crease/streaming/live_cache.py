@@ -122,14 +122,18 @@ def read_live_cache(spark: SparkSession, table_path: str, as_of: _dt.datetime |
     """The cache as of ``as_of`` (default: the latest write seen): each key's
     newest entry, kept while it has not expired."""
     log = spark.read.parquet(table_path)
-    latest = log.groupBy("cache_key").agg(
-        F.max_by(F.struct("payload", "written_at", "expires_at"), F.struct("written_at", "batch_id")).alias("c")
-    )
     if as_of is None:
         # one scalar to the driver, not data
         as_of = log.agg(F.max("written_at")).first()[0]
     as_of_col = F.lit(str(as_of)).cast("timestamp_ntz")
-    return latest.filter(F.col("c.expires_at") > as_of_col).select(
+    # expiry grows with the write time: unexpired entries first, then the
+    # newest per key (same result, and only recent rows are aggregated)
+    latest = (
+        log.filter(F.col("expires_at") > as_of_col)
+        .groupBy("cache_key")
+        .agg(F.max_by(F.struct("payload", "written_at", "expires_at"), F.struct("written_at", "batch_id")).alias("c"))
+    )
+    return latest.select(
         "cache_key",
         F.col("c.payload").alias("payload"),
         F.col("c.written_at").alias("written_at"),
