@@ -86,3 +86,16 @@ def test_cache_stream_evicts_by_ttl(spark, tmp_path):
     # each 30-minute file touches all 10 matches; once the watermark moves on,
     # state keeps only the last two 10-minute windows (writes 19:42 ... 19:57)
     assert states and states[-1] == 6 and min(states) < max(states)
+
+
+def test_text_source_parse_equals_json_source(spark, tmp_path):
+    """The from_json path (a Kafka value column, here the text source) gives
+    the same state as the JSON file source; a garbled line drops out."""
+    responses = spark.createDataFrame(RESPONSES, LIVE_RESPONSE)
+    src = live_state.land_responses(responses, str(tmp_path / "landing"), files=2)
+    with open(f"{src}/garbled.txt", "w") as fh:
+        fh.write('{"fetched_at": "2024-05-01T19:00:00.000000", "seq": 99, "data": [{"id": \n')
+    table = str(tmp_path / "state")
+    q = live_state.start_live_state(spark, src, table, str(tmp_path / "ckpt"), available_now=True, source_format="text")
+    q.awaitTermination()
+    assert _rows(live_state.read_live_state(spark, table)) == _rows(_batch_state(responses))
