@@ -10,11 +10,13 @@ re-reads Parquet instead of re-parsing JSON.
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from crease.operators.flatten import balls_by_ball, for_sink, matches_table
+from crease.operators import reports
 from crease.operators.stats import production_stats
 from crease.sources.documents import read_match_documents, split_corrupt
 from crease.sources.sinks import output_tables, read_parquet_like, save_tables, write_parquet
@@ -76,3 +78,55 @@ def run_pipeline(
     # the SQL path: every output table as an ipl_<name> view
     register_views(output_tables(stats, matches, balls))
     return PipelineResult(matches, balls, stats, spark.read.parquet(f"{output_root}/quarantine"), saved)
+
+
+def display_insights(stats: dict[str, DataFrame], k: int = reports.TOP_K) -> None:
+    """The console summary: top run scorers, top bowlers, team performance,
+    season listing and top venues.  Each is a top-k (k rows to the driver)."""
+    sections = [
+        ("TOP RUN SCORERS", reports.top_run_scorers(stats["player_batting_stats"], k)),
+        ("TOP BOWLERS", reports.top_bowlers(stats["player_bowling_stats"], k)),
+        ("TEAM PERFORMANCE", reports.team_performance(stats["team_stats"], k)),
+        ("SEASON TRENDS", reports.season_listing(stats["season_trends"])),
+        ("TOP VENUES", reports.top_venues(stats["venue_stats"], k)),
+    ]
+    for title, df in sections:
+        print(f"\n{title}")
+        df.show(reports.LISTING_ROWS, truncate=False)
+
+
+def main(argv: list[str] | None = None) -> PipelineResult:
+    """Command line: ``python -m crease INPUT OUTPUT [--json-lines] [--glob G]
+    [--jdbc-url URL --jdbc-user U --jdbc-password-file F] [--quiet]``."""
+    ap = argparse.ArgumentParser(prog="crease", description="match documents -> statistics")
+    ap.add_argument("input", help="folder of match documents")
+    ap.add_argument("output", help="output root (bronze / silver / gold / quarantine)")
+    ap.add_argument("--json-lines", action="store_true", help="documents are JSON Lines, not one per file")
+    ap.add_argument("--glob", default="*.json")
+    ap.add_argument("--jdbc-url")
+    ap.add_argument("--jdbc-user")
+    ap.add_argument("--jdbc-password-file", help="file holding the database password")
+    ap.add_argument("--jdbc-driver", default="org.postgresql.Driver")
+    ap.add_argument("--quiet", action="store_true", help="skip the console summary")
+    args = ap.parse_args(argv)
+    props = None
+    if args.jdbc_url:
+        props = {"driver": args.jdbc_driver}
+        if args.jdbc_user:
+            props["user"] = args.jdbc_user
+        if args.jdbc_password_file:
+            with open(args.jdbc_password_file) as fh:
+                props["password"] = fh.read().strip()
+    spark = SparkSession.builder.appName("crease").getOrCreate()
+    result = run_pipeline(
+        spark,
+        args.input,
+        args.output,
+        multi_line=not args.json_lines,
+        glob=args.glob,
+        jdbc_url=args.jdbc_url,
+        jdbc_properties=props,
+    )
+    if not args.quiet:
+        display_insights(result.stats)
+    return result

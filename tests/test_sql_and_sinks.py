@@ -98,3 +98,13 @@ def test_spread_only_under_split_scans(spark, tmp_path):
     assert sorted(r.id for r in spread_df.collect()) == list(range(1000))
     many = spark.range(0, 1000, 1, cores * 2)
     assert spread(many, "id") is many  # already split: untouched, no shuffle
+
+
+def test_command_line_job(spark, tmp_path, capsys):
+    from crease.plans.pipeline import main
+
+    src = write_docs(tmp_path / "in", {"a.json": DOC_A, "b.json": DOC_B})
+    res = main([src, str(tmp_path / "out")])
+    out = capsys.readouterr().out
+    assert "TOP RUN SCORERS" in out and "TOP VENUES" in out
+    assert res.balls.count() == 4 and set(res.saved) >= {"team_stats", "matches", "balls_by_ball"}
