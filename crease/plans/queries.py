@@ -44,30 +44,36 @@ def q_wicket_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.filter(F.col("is_wicket") == 1).select("match_id", "batting_team", "over_number", "batter", "bowler", "wicket_details")
 
 
-def _landed_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> str:
-    """Write the documents as JSON Lines (optionally garbling some) and return
-    the folder -- a landing zone under the shared checkpoint folder."""
+def land_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> tuple[str, str]:
+    """Land the documents as JSON Lines under the shared checkpoint folder;
+    returns (folder, glob).  With ``corrupt``, documents of low-priority
+    pending orders land truncated (unparsable), written as raw text."""
     docs = testdata.match_documents(spark, sf_dir)
-    text = F.to_json(F.struct("info", "innings", "meta"))
-    if corrupt:
-        # low-priority pending orders land truncated (unparsable)
-        orders = testdata.load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("match_id"), "o_orderstatus", "o_orderpriority")
-        docs = docs.join(orders, "match_id")
-        bad = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-        text = F.when(bad, F.substr(text, F.lit(1), (F.length(text) / 2).cast("int"))).otherwise(text)
     path = scratch_path(spark, "landed-docs")
-    docs.select(text.alias("value")).write.text(path)
-    return path
+    if not corrupt:
+        docs.select("info", "innings", "meta").write.json(path)
+        return path, "*.json"
+    text = F.to_json(F.struct("info", "innings", "meta"))
+    orders = testdata.load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("match_id"), "o_orderstatus", "o_orderpriority")
+    bad = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    garbled = F.when(bad, F.substr(text, F.lit(1), (F.length(text) / 2).cast("int"))).otherwise(text)
+    docs.join(orders, "match_id").select(garbled.alias("value")).write.text(path)
+    return path, "*.txt"
+
+
+def _read_landed(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
+    path, glob = land_documents(spark, sf_dir, corrupt)
+    return documents.read_match_documents(spark, path, multi_line=False, glob=glob)
 
 
 def q_nested_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON round trip: documents landed, read back with the schema, flattened."""
-    docs = documents.read_match_documents(spark, _landed_documents(spark, sf_dir), multi_line=False, glob="*.txt")
+    docs = _read_landed(spark, sf_dir)
     return flatten.balls_by_ball(docs, with_load_time=False).drop("match_id", "ball_id")
 
 
 def q_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents.read_match_documents(spark, _landed_documents(spark, sf_dir), multi_line=False, glob="*.txt")
+    docs = _read_landed(spark, sf_dir)
     return flatten.for_sink(flatten.matches_table(docs, with_load_time=False)).drop("match_id")
 
 
@@ -75,7 +81,7 @@ def q_corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse once into the bronze table (as the pipeline does), then split:
     a query over the JSON reader that touches only the corrupt-record column
     is refused by Spark, and re-parsing per branch would double the work."""
-    docs = documents.read_match_documents(spark, _landed_documents(spark, sf_dir, corrupt=True), multi_line=False, glob="*.txt")
+    docs = _read_landed(spark, sf_dir, corrupt=True)
     bronze = spark.read.parquet(pipeline.land_bronze(docs, scratch_path(spark, "bronze")))
     valid, quarantine = documents.split_corrupt(bronze)
     return valid.select(F.lit("valid").alias("record_state")).unionByName(
