@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from crease.functions.core import first_element, or_default
 from crease.functions.cricket import wicket_details, wicket_flag
 
+# The defaults the reference gives missing fields.
 UNKNOWN = "Unknown"
 DEFAULT_DATE = "1900-01-01"
 DEFAULT_MATCH_TYPE = "T20"

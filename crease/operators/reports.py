@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from crease.sources.tables import register_views
 
+# Report sizes of the reference's console summary.
 TOP_K = 10
 LISTING_ROWS = 20  # rows a console listing prints by default
 
