@@ -90,9 +90,10 @@ LIVE_RESPONSE = T.StructType(
 )
 
 
-# --- storage limits of the live current-state table -----------------------------
-# Column widths and numeric precisions of the live_matches table
-# as declared in the reference's DDL. A row that does not fit is not stored.
+# --- storage limits of the live current-state table, cache lifetime ----------------
+# Column widths and numeric precisions of the live_matches table as
+# the reference declares them (a row that does not fit is not stored), and the
+# lifetime of a cache entry in seconds.
 
 VARCHAR_LIMITS = {
     "match_id": 100,
