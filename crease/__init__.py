@@ -11,6 +11,7 @@ custom optimizer rules, no driver-side loops over data.
 """
 
 from crease.operators.flatten import balls_by_ball, flatten_match_documents, matches_table
+from crease.operators.live import cache_entries, current_state, live_rows, snapshot_rows, validate_snapshots
 from crease.operators.stats import (
     player_batting_stats,
     player_bowling_stats,
@@ -19,15 +20,26 @@ from crease.operators.stats import (
     team_stats,
     venue_stats,
 )
+from crease.plans.pipeline import display_insights, run_pipeline
+from crease.sources.documents import read_match_documents, split_corrupt
 
 __all__ = [
     "balls_by_ball",
+    "cache_entries",
+    "current_state",
+    "display_insights",
     "flatten_match_documents",
+    "live_rows",
     "matches_table",
     "player_batting_stats",
     "player_bowling_stats",
     "production_stats",
+    "read_match_documents",
+    "run_pipeline",
     "season_trends",
+    "snapshot_rows",
+    "split_corrupt",
     "team_stats",
+    "validate_snapshots",
     "venue_stats",
 ]
