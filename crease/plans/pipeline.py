@@ -38,12 +38,21 @@ def land_bronze(docs: DataFrame, root: str) -> str:
     return write_parquet(docs, f"{root}/bronze")
 
 
-def build_silver(spark: SparkSession, bronze: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
-    """Flatten valid documents once into Parquet matches and balls (balls
-    partitioned by season) and return them read back from Parquet."""
+def build_silver(spark: SparkSession, bronze: DataFrame, root: str, season_folders: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Flatten valid documents once into Parquet matches and balls and return
+    them read back from Parquet.
+
+    ``season_folders`` partitions balls by season so season filters prune
+    folders.  Each write task emits one file per season it holds, so this
+    suits inputs landed grouped by season (one season per task); for landing
+    that mixes seasons in every file, turn it off rather than multiply the
+    file count (a repartition by season would put each season, however large,
+    in one task).
+    """
     matches = for_sink(matches_table(bronze))
     balls = balls_by_ball(bronze)
-    where = save_tables({"matches": matches, "balls_by_ball": balls}, root, partition_by={"balls_by_ball": ["season"]})
+    layout = {"balls_by_ball": ["season"]} if season_folders else None
+    where = save_tables({"matches": matches, "balls_by_ball": balls}, root, partition_by=layout)
     return (
         read_parquet_like(spark, where["matches"], matches.schema),
         read_parquet_like(spark, where["balls_by_ball"], balls.schema),
@@ -59,13 +68,14 @@ def run_pipeline(
     glob: str = "*.json",
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
+    season_folders: bool = True,
 ) -> PipelineResult:
     """Load -> bronze -> quarantine / silver -> statistics -> sinks."""
     docs = read_match_documents(spark, input_path, multi_line=multi_line, glob=glob)
     bronze = spark.read.parquet(land_bronze(docs, output_root))
     valid, quarantine = split_corrupt(bronze)
     write_parquet(quarantine, f"{output_root}/quarantine")
-    matches, balls = build_silver(spark, valid, f"{output_root}/silver")
+    matches, balls = build_silver(spark, valid, f"{output_root}/silver", season_folders)
     stats = production_stats(matches, balls)
     silver = {"matches": f"{output_root}/silver/matches", "balls_by_ball": f"{output_root}/silver/balls_by_ball"}
     saved = save_tables(
@@ -108,6 +118,7 @@ def main(argv: list[str] | None = None) -> PipelineResult:
     ap.add_argument("--jdbc-password-file", help="file holding the database password")
     ap.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     ap.add_argument("--quiet", action="store_true", help="skip the console summary")
+    ap.add_argument("--no-season-folders", action="store_true", help="do not partition balls by season")
     args = ap.parse_args(argv)
     props = None
     if args.jdbc_url:
@@ -126,6 +137,7 @@ def main(argv: list[str] | None = None) -> PipelineResult:
         glob=args.glob,
         jdbc_url=args.jdbc_url,
         jdbc_properties=props,
+        season_folders=not args.no_season_folders,
     )
     if not args.quiet:
         display_insights(result.stats)
