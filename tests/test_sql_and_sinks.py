@@ -3,6 +3,7 @@ pipeline end to end."""
 
 from __future__ import annotations
 
+import pytest
 from conftest import SF_SMALL, write_docs
 from test_flatten import DOC_A, DOC_B, DOC_C, DOC_D
 
@@ -63,9 +64,11 @@ def test_jdbc_failure_falls_back_per_table(spark, tmp_path):
     assert where["b"].endswith("/out/b") and spark.read.parquet(where["b"]).first().x == 2
 
 
-def test_pipeline_end_to_end(spark, tmp_path):
+@pytest.mark.parametrize("season_folders", [True, False])
+def test_pipeline_end_to_end(spark, tmp_path, season_folders):
     src = write_docs(tmp_path / "in", {"a.json": DOC_A, "b.json": DOC_B, "c.json": DOC_C, "d.json": DOC_D, "bad.json": "{oops"})
-    res = run_pipeline(spark, src, str(tmp_path / "out"))
+    res = run_pipeline(spark, src, str(tmp_path / "out"), season_folders=season_folders)
+    assert any("season=" in f for f in res.balls.inputFiles()) == season_folders
     assert res.quarantine.count() == 1
     assert res.matches.count() == 4 and res.balls.count() == 4
     assert dict(res.balls.dtypes)["season"] == "string"
