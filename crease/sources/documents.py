@@ -15,6 +15,16 @@ class NoMatchDocuments(RuntimeError):
     """The input folder exists but holds no file matching the glob."""
 
 
+def _has_input(df: DataFrame) -> bool:
+    """Whether the scan found any file.  The split count is one integer from
+    the JVM's own listing; ``inputFiles()`` would ship every path to Python
+    (a hundred million strings for a hundred million match files)."""
+    try:
+        return df.rdd.getNumPartitions() > 0
+    except Exception:  # a client session without an RDD view
+        return bool(df.inputFiles())
+
+
 def read_match_documents(
     spark: SparkSession,
     path: str,
@@ -47,7 +57,7 @@ def read_match_documents(
         .option("pathGlobFilter", glob)
         .json(path)
     )
-    if not df.inputFiles():
+    if not _has_input(df):
         raise NoMatchDocuments(f"no {glob} files in {path}")
     # every info field but the player registry (hash functions take no maps)
     info_fields = [F.col(f"info.{f.name}") for f in INFO.fields if not isinstance(f.dataType, T.MapType) and f.name != "registry"]
