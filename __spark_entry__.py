@@ -12,10 +12,17 @@ through text and DECIMAL (``_r`` below) so ties such as 33.425 agree.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# the package lives next to this file; make it importable however this file is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
