@@ -10,8 +10,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None, app: str = "crease") -> SparkSession:
-    """A ``local[cpus]`` session configured the way tests and the bench expect.
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int | None = None, app: str = "crease", extra: dict[str, str] | None = None
+) -> SparkSession:
+    """A ``local[cpus]`` session configured the way tests and the bench expect
+    (``extra``: further settings, e.g. an event log for stage times).
 
     On a cluster the driver/launcher owns the session; nothing here is needed.
     """
@@ -26,8 +29,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CREASE_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
