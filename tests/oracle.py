@@ -1,5 +1,6 @@
 """Side-by-side check of a registered Spark query against its DuckDB oracle:
-row count, column names and an order-insensitive comparison of the values."""
+row count, column names and an order-insensitive, bit-exact comparison of the
+values."""
 
 from __future__ import annotations
 
@@ -28,9 +29,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v.hex()  # bit-exact: both engines must compute the same double
     if isinstance(v, Decimal):
-        return round(float(v), 9)
+        return float(v).hex()
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if isinstance(v, datetime):
