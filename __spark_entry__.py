@@ -12,6 +12,7 @@ through text and DECIMAL (``_r`` below) so ties such as 33.425 agree.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -36,7 +37,18 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from crease.plans.queries import QUERIES
 
-    return dict(QUERIES)
+    return {**QUERIES, **_training_data("QUERIES")}
+
+
+def _training_data(name: str) -> dict:
+    """QUERIES or ORACLE_SQL of the training-data subpackage, none if it is not there."""
+    try:
+        module = importlib.import_module("crease.llm.queries")
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith("crease.llm"):
+            raise
+        return {}
+    return dict(getattr(module, name))
 
 
 # --- oracle SQL --------------------------------------------------------------------
@@ -361,4 +373,5 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT seq, match_id, store_problem AS reason FROM storable WHERE store_problem IS NOT NULL",
         "live_matches_stream": f"{_LIVE} SELECT * FROM current",
         "live_cache_stream": _LIVE_CACHE,
+        **_training_data("ORACLE_SQL"),
     }
