@@ -99,12 +99,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _OP2 = """WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
 ),
 ok AS (
   SELECT vec_id, e FROM v
-  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
 ),
 link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
