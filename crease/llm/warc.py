@@ -1,18 +1,20 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are compressed one by one (a gzip member each, as WARC has it), sorted
-by key over all partitions, and dealt to files by compressed size: a record
-belongs to the file in whose stretch of ``file_bytes`` it starts, counted over
-the whole sorted output.  File contents therefore depend on the records alone,
-not on partitions, retries or the cluster.  A file is written under a temporary
-name, renamed when complete, and listed in a manifest table; the reader opens
-only what the manifest lists, so that leftovers of lost tasks are never read.
-Headers and digests are regenerated from the payloads.
+Records are put in the order of their keys and cut into shards of about
+``shard_bytes`` of payload, the edges taken from exact running sums over the whole
+order; within a shard, files are rolled by compressed size.  The files therefore
+depend on the records alone, not on partitions, retries or the cluster.  Each
+record is a gzip member of its own, compressed before it is shuffled to its
+shard.  A file is written under a temporary name, renamed when complete, and
+listed in a manifest table; the reader opens only what the manifest lists, so
+that leftovers of lost tasks are never read.  Headers and digests are
+regenerated from the payloads.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import io
 import uuid
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crease.llm.common import shuffle_partitions, staged
+from crease.llm.common import shared, shuffle_partitions, staged
 
 # fixed values of the WARC 1.1 format
 VERSION = b"WARC/1.1"
@@ -87,27 +89,56 @@ def build_record(key, url: str | None, payload: bytes, refers_to, date: str, lev
 
 
 def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_revisit_bytes: int) -> DataFrame:
-    """(key, url, payload, refers_to): of equal payloads of at least
+    """(key, tie, url, payload, refers_to): tie orders records of one key; of equal payloads of at least
     ``min_revisit_bytes`` the one with the largest key is the response, the others
     revisit it."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(
-        F.col(id_col).alias("key"), F.col(url_col).alias("url"), payload.alias("payload"),
+        F.col(id_col).alias("key"), F.xxhash64(F.col(url_col), payload).alias("tie"), F.col(url_col).alias("url"), payload.alias("payload"),
         F.when(F.octet_length(payload) >= min_revisit_bytes, F.sha2(payload.cast("binary"), 256)).alias("same"),
     )
     # only payloads that occur again are joined, by digest
     again = rows.filter("same is not null").groupBy("same").agg(F.max("key").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     joined = rows.join(staged(again.select("same", "last"), "repeats"), "same", "left")
     refers = F.when(~F.col("key").eqNullSafe(F.col("last")), F.col("last"))
-    return joined.select("key", "url", "payload", refers.alias("refers_to"))
+    return joined.select("key", "tie", "url", "payload", refers.alias("refers_to"))
 
 
-def _build(date: str, level: int):
+def _shard_edges(pages: DataFrame, id_col: str, url_col: str, payload_col: str, shard_bytes: int, max_shards: int) -> list[tuple]:
+    """First (key, tie) of every shard, from running sums over the sorted keys;
+    at most ``max_shards`` of them (shards grow beyond that)."""
+    spark = pages.sparkSession
+    payload = F.coalesce(F.col(payload_col), F.lit(""))
+    rows = pages.select(F.col(id_col).alias("key"), F.xxhash64(F.col(url_col), payload).alias("tie"), (F.octet_length(payload) + 500).cast("long").alias("bytes"))
+    ordered = rows.repartitionByRange(shuffle_partitions(spark), "key", "tie").withColumn("part", F.spark_partition_id())
+    ordered = staged(ordered, "warc-order")
+    sizes = ordered.groupBy("part").agg(F.sum("bytes").alias("n")).collect()  # a number per partition
+    starts, at = [], 0
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        starts.append((r["part"], at))
+        at += r["n"]
+    size = max(shard_bytes, -(-at // max_shards))
+    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType())])
+    shift = F.broadcast(spark.createDataFrame(starts, schema))  # as many rows as partitions
+    before = F.expr("sum(bytes) over (partition by part order by key, tie) - bytes")  # equal rows together
+    dealt = ordered.join(shift, "part").withColumn("shard", F.floor((F.col("start") + before) / F.lit(size)))
+    edges = dealt.groupBy("shard").agg(F.min(F.struct("key", "tie")).alias("first")).collect()
+    return sorted(_order(r["first"]["key"], r["first"]["tie"]) for r in edges)
+
+
+def _order(key, tie: int) -> tuple:
+    """Sorts like Spark does: nulls first."""
+    return (0, 0, tie) if key is None else (1, key, tie)
+
+
+def _build(date: str, level: int, opened):
     def run(batches):
+        edges = opened()
         for b in batches:
             cols = [c.to_pylist() for c in b.columns]
-            data = [build_record(k, u, p.encode("utf-8", "surrogatepass"), r, date, level) for k, u, p, r in zip(*cols)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary()), pa.array([len(d) for d in data], pa.int64())], names=["key", "data", "bytes"])
+            shard = [max(0, bisect.bisect_right(edges, _order(k, t)) - 1) for k, t in zip(cols[0], cols[1])]
+            data = [build_record(k, u, p.encode("utf-8", "surrogatepass"), r, date, level) for k, _, u, p, r in zip(*cols)]
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), b.column(0), b.column(1), pa.array(data, pa.binary())], names=["shard", "key", "tie", "data"])
 
     return run
 
@@ -132,10 +163,10 @@ def _warcinfo(name: str, date: str, level: int) -> bytes:
 class _File:
     """One archive file: written under a temporary name, renamed when complete."""
 
-    def __init__(self, folder: str, number: int, date: str, level: int):
+    def __init__(self, folder: str, name: str, date: str, level: int):
         self.fs, root = _store(folder)
-        self.name = f"part-{number:06d}.warc.gz"
-        self.final, self.temporary = f"{root}/{self.name}", f"{root}/.{self.name}.{uuid.uuid4().hex}"
+        self.name = name
+        self.final, self.temporary = f"{root}/{name}", f"{root}/.{name}.{uuid.uuid4().hex}"
         self.fs.create_dir(root, recursive=True)
         self.out = self.fs.open_output_stream(self.temporary, compression=None)
         self.sha, self.size, self.records = hashlib.sha1(), 0, 0
@@ -156,20 +187,22 @@ class _File:
         return {"file": self.name, "records": self.records, "bytes": self.size, "sha1": self.sha.hexdigest()}
 
 
-def _write_files(folder: str, date: str, level: int):
-    """Rows (file, data) sorted by file and key: one manifest row per file."""
+def _write_files(folder: str, file_bytes: int, date: str, level: int):
+    """Rows (shard, data) sorted by shard and key: one manifest row per file."""
 
     def run(batches):
-        open_file, number, done = None, None, []
+        out, shard, number, done = None, None, 0, []
         for b in batches:
-            for n, data in zip(b.column("file").to_pylist(), b.column("data")):
-                if n != number:
-                    if open_file:
-                        done.append(open_file.commit())
-                    open_file, number = _File(folder, n, date, level), n
-                open_file.add(data.as_py())
-        if open_file:
-            done.append(open_file.commit())
+            for n, data in zip(b.column("shard").to_pylist(), b.column("data")):
+                if out and (n != shard or out.size >= file_bytes):
+                    done.append(out.commit())
+                    out = None
+                if out is None:
+                    number = number + 1 if n == shard else 0
+                    out, shard = _File(folder, f"part-{n:06d}-{number:04d}.warc.gz", date, level), n
+                out.add(data.as_py())
+        if out:
+            done.append(out.commit())
         if done:
             yield pa.RecordBatch.from_pylist(done, schema=pa.schema([("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha1", pa.string())]))
 
@@ -182,7 +215,9 @@ def write_warc(
     id_col: str = "page_id",
     url_col: str = "url",
     payload_col: str = "html",
-    file_bytes: int = 64 << 20,
+    shard_bytes: int = 64 << 20,
+    file_bytes: int = 32 << 20,
+    max_shards: int = 200_000,
     min_revisit_bytes: int = 1000,
     date: str = "2024-01-01T00:00:00Z",
     level: int = 6,
@@ -197,26 +232,13 @@ def write_warc(
     of any type that sorts; other columns are not read.
     """
     spark = pages.sparkSession
+    # bounded: max_shards edges
+    opened = shared(spark, _shard_edges(pages, id_col, url_col, payload_col, shard_bytes, max_shards))
     records = plan_records(pages, id_col, url_col, payload_col, min_revisit_bytes)
     key = pages.schema[id_col].dataType.simpleString()
-    built = records.select("key", "url", "payload", "refers_to").mapInArrow(_build(date, level), f"key {key}, data binary, bytes long")
-    # built once: the range partitioning reads its input twice.  Equal records
-    # are interchangeable, so a hash of the record settles equal keys
-    built = staged(built.withColumn("tie", F.xxhash64("data")), "warc-built")
-    by = ["key", "tie"]
-    ordered = built.repartitionByRange(shuffle_partitions(spark), *by).sortWithinPartitions(*by)
-    ordered = staged(ordered.withColumn("part", F.spark_partition_id()), "warc-ordered")
-    sizes = ordered.groupBy("part").agg(F.sum("bytes").alias("n")).collect()  # a number per partition
-    starts, at = [], 0
-    for r in sorted(sizes, key=lambda r: r["part"]):
-        starts.append((r["part"], at))
-        at += r["n"]
-    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType())])
-    shift = F.broadcast(spark.createDataFrame(starts, schema))  # as many rows as partitions
-    before = F.expr("sum(bytes) over (partition by part order by key, tie rows between unbounded preceding and current row) - bytes")
-    dealt = ordered.join(shift, "part").withColumn("file", F.floor((F.col("start") + before) / F.lit(file_bytes)).cast("int"))
-    files = dealt.select("file", *by, "data").repartition(shuffle_partitions(spark), "file").sortWithinPartitions("file", *by)
-    manifest = files.select("file", "data").mapInArrow(_write_files(folder, date, level), "file string, records long, bytes long, sha1 string")
+    built = records.select("key", "tie", "url", "payload", "refers_to").mapInArrow(_build(date, level, opened), f"shard int, key {key}, tie long, data binary")
+    dealt = built.repartition(shuffle_partitions(spark), "shard").sortWithinPartitions("shard", "key", "tie")
+    manifest = dealt.select("shard", "data").mapInArrow(_write_files(folder, file_bytes, date, level), "file string, records long, bytes long, sha1 string")
     manifest.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
