@@ -35,7 +35,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Keep one document of each group of near copies: the one with the smallest
     id, of rows that repeat id and text one.  A document without an id is kept
     if no other of its group has one, and then one of them."""
-    key = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")).alias("text"))
+    # a string that sorts like (id, digest), so that join and duplicates share one shuffle
+    place = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    key = F.concat(F.coalesce(place, F.lit("none")), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
     keyed = docs.withColumn("__key", key)
     found = simhash.simhash_components(keyed, "__key", "text")
     keep = found.filter(F.col("__key") == F.col("component_id")).select("__key").distinct()
