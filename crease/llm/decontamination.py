@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from crease.llm.common import shared, staged
+from crease.llm.common import shared
 
 WORDS = re.compile(r"\w+")
 BLOCKS = 8
@@ -261,11 +261,28 @@ def find_contamination(
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start_word", "end_word", "hamming", "similarity")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item; every column stays.
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+    shingle: int = 5,
+    threshold: float = 0.8,
+    radius: int = 20,
+    max_index_bytes: int = 8 << 20,
+) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item; every column
+    and every other row stays, in one pass without a shuffle for every
+    ``max_index_bytes`` of benchmark."""
+    for items in _item_groups(benchmark, item_col, item_text, max_index_bytes):
+        opened = shared(docs.sparkSession, BenchmarkIndex(items, shingle, radius))  # bounded by max_index_bytes
+        at = docs.columns.index(text_col)
+
+        def run(batches, opened=opened, at=at):
+            index = opened()
+            for b in batches:
+                yield b.filter(pa.array([not index.search(t, threshold) for t in b.column(at).to_pylist()], pa.bool_()))
 
-    Decided by text: rows with equal texts go or stay together, so that null and
-    repeated ids are no matter."""
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    hits = staged(find_contamination(keyed, benchmark, "__key", text_col, **options).select("__key").distinct(), "contaminated")
-    return keyed.join(hits, "__key", "left_anti").drop("__key")
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
