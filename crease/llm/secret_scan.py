@@ -61,12 +61,13 @@ class MarkovModels:
     ratio: np.ndarray
 
     @staticmethod
-    def from_counts(random: np.ndarray, ordinary: np.ndarray, smoothing: float = 0.5) -> MarkovModels:
-        """Row-normalised counts, smoothed towards the uniform distribution."""
+    def from_counts(random: np.ndarray, ordinary: np.ndarray, prior: float = 10.0) -> MarkovModels:
+        """Row-normalised counts; rows with few counts lean on how often the next
+        character occurs at all (as ``prior`` more counts)."""
 
         def log_p(c: np.ndarray) -> np.ndarray:
-            c = c + smoothing
-            return np.log(c / c.sum(axis=1, keepdims=True))
+            overall = c.sum(axis=0) + 0.5
+            return np.log((c + prior * overall / overall.sum()) / (c.sum(axis=1, keepdims=True) + prior))
 
         return MarkovModels(log_p(random) - log_p(ordinary))
 
