@@ -353,7 +353,7 @@ def oracle_sql() -> dict[str, str]:
         "top_bowlers": f"{_BOWL} SELECT bowler, wickets_taken, economy_rate, bowling_average FROM bowl "
         "ORDER BY economy_rate, season, bowler LIMIT 10",
         "team_performance": f"{_TEAM} SELECT * FROM ts ORDER BY win_percentage DESC, season, team LIMIT 10",
-        "season_listing": f"{_SEASON} SELECT * FROM st ORDER BY season LIMIT 20",
+        "season_listing": f"{_SEASON} SELECT * FROM st ORDER BY season",
         "top_venues": f"{_VENUE} SELECT * FROM vs ORDER BY avg_runs_per_over DESC, venue NULLS FIRST LIMIT 10",
         "sql_reports_team": f"{_TEAM} SELECT * FROM ts ORDER BY win_percentage DESC, season, team LIMIT 10",
         "sql_reports_batting": f"{_BAT} SELECT * FROM bat ORDER BY total_runs DESC, season, batter LIMIT 10",

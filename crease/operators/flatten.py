@@ -105,12 +105,8 @@ def balls_by_ball(docs: DataFrame, *, with_load_time: bool = True) -> DataFrame:
     batter / bowler / non-striker default to "Unknown" and runs to 0; rows with
     an unknown season, batter or bowler are dropped.
 
-    ``ball_id`` is ``monotonically_increasing_id()`` taken after the filter:
-    unique by construction (task index in the high bits, row number in the
-    low bits) at any row count, where a 64-bit hash would collide once there
-    are ~10^10 balls.  The flatten is narrow -- no shuffle between the scan
-    and the id -- so a retried task re-reads the same split in the same order
-    and assigns the same ids; the pipeline then fixes them in silver Parquet.
+    ``ball_id`` is a hash of the match id and the ball's place in it (innings,
+    over, ball): the same on every load, retry and split layout.
     """
     flat = flatten_match_documents(docs)
     d = F.col("delivery")
@@ -133,6 +129,6 @@ def balls_by_ball(docs: DataFrame, *, with_load_time: bool = True) -> DataFrame:
     ]
     if with_load_time:
         cols.append(F.current_timestamp().alias("processed_at"))
-    out = flat.select(*cols)
-    kept = out.filter((F.col("season") != UNKNOWN) & (F.col("batter") != UNKNOWN) & (F.col("bowler") != UNKNOWN))
-    return kept.withColumn("ball_id", F.monotonically_increasing_id())
+    place = F.xxhash64("match_id", "innings_pos", "over_pos", "ball_pos")
+    out = flat.select(*cols, place.alias("ball_id"))
+    return out.filter((F.col("season") != UNKNOWN) & (F.col("batter") != UNKNOWN) & (F.col("bowler") != UNKNOWN))

@@ -206,7 +206,8 @@ def cache_entries(valid_rows: DataFrame, as_of: _dt.datetime | None = None, ttl_
         # one scalar to the driver, not data
         as_of = valid_rows.agg(F.max("fetched_at")).first()[0]
     ts_type = valid_rows.schema["fetched_at"].dataType.simpleString()
-    as_of_col = F.lit(str(as_of)).cast(ts_type)
+    # no snapshot at all: no time, and no entry
+    as_of_col = F.lit(None if as_of is None else str(as_of)).cast(ts_type)
     cutoff = as_of_col - F.make_dt_interval(secs=F.lit(ttl_seconds))
     summary = F.struct(
         F.concat_ws(" vs ", "team1", "team2").alias("teams"),
@@ -214,7 +215,7 @@ def cache_entries(valid_rows: DataFrame, as_of: _dt.datetime | None = None, ttl_
         F.col("team2_score").alias("score2"),
         "status",
     )
-    recent = valid_rows.filter(F.col("fetched_at") > cutoff)
+    recent = valid_rows.filter((F.col("fetched_at") > cutoff) & (F.col("fetched_at") <= as_of_col))
     latest = recent.groupBy("match_id").agg(
         F.max_by(F.struct(summary.alias("summary"), F.col("fetched_at").alias("written_at")), _order()).alias("l")
     )

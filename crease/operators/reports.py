@@ -63,9 +63,9 @@ def team_performance(teams: DataFrame, k: int = TOP_K) -> DataFrame:
     return teams.orderBy(F.col("win_percentage").desc(), F.col("season"), F.col("team")).limit(k)
 
 
-def season_listing(seasons: DataFrame, n: int = LISTING_ROWS) -> DataFrame:
-    """T-9: the season table in season order, as a console listing shows it."""
-    return seasons.orderBy("season").limit(n)
+def season_listing(seasons: DataFrame) -> DataFrame:
+    """T-9: the whole season table in season order (only a console cuts it)."""
+    return seasons.orderBy("season")
 
 
 def top_venues(venues: DataFrame, k: int = TOP_K) -> DataFrame:

@@ -6,9 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql import types as T
 
-from crease.schemas import CORRUPT_COLUMN, INFO, MATCH_DOCUMENT_READ
+from crease.schemas import CORRUPT_COLUMN, MATCH_DOCUMENT_READ
 
 
 class NoMatchDocuments(RuntimeError):
@@ -59,10 +58,11 @@ def read_match_documents(
     )
     if not _has_input(df):
         raise NoMatchDocuments(f"no {glob} files in {path}")
-    # every info field but the player registry (hash functions take no maps)
-    info_fields = [F.col(f"info.{f.name}") for f in INFO.fields if not isinstance(f.dataType, T.MapType) and f.name != "registry"]
+    # the JSON text names every field, so that nulls cannot change places; with
+    # the innings, matches that share their info stay apart
+    content = F.to_json(F.struct("info", "innings", "meta"))
     return df.select(
-        F.xxhash64(F.col("_metadata.file_path"), *info_fields, F.col(CORRUPT_COLUMN)).alias("match_id"),
+        F.xxhash64(F.col("_metadata.file_path"), content, F.col(CORRUPT_COLUMN)).alias("match_id"),
         "info",
         "innings",
         "meta",
@@ -81,7 +81,9 @@ def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     query on a raw JSON scan that reads only the corrupt-record column (a
     plain count of either side would be one).
     """
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    # a document that is JSON is a match, though a field of another type than
+    # declared is null in it
+    bad = F.col(CORRUPT_COLUMN).isNotNull() & F.try_parse_json(CORRUPT_COLUMN).isNull()
     valid = docs.filter(~bad).drop(CORRUPT_COLUMN)
     quarantine = docs.filter(bad).select(
         "match_id",

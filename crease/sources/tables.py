@@ -9,35 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an under-split scan over the cluster's cores.
-
-    A Parquet file with one row group is read by one task however large the
-    cluster.  When a scan yields fewer partitions than the default
-    parallelism, it is hash-repartitioned right after the scan on ``keys``
-    (only the pruned columns move).  The keys should be unique or bounded per
-    value (an order / match key, an event id): hashing them cannot create a
-    hot partition, and unlike a round-robin split it is deterministic on
-    retry without a sort.  A large input already arrives in many splits and is returned
-    untouched, so no shuffle is added at scale.
-    """
-    try:
-        spark = df.sparkSession
-        cores = spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()  # plans the scan; reads no data
-    except Exception:  # e.g. a client session without an RDD view
-        return df
-    if current >= cores:
-        return df
-    # as many partitions as a shuffle would use, so a join or aggregate on the
-    # same key reuses this partitioning instead of shuffling again -- unless
-    # that number is far above the cores (a cluster-sized default on a small
-    # input), where a few tasks per core is enough
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = max(cores, shuffle) if shuffle <= 4 * cores else 2 * cores
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
 def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Parquet read-back; naming the columns keeps the scan's ReadSchema narrow."""
     df = spark.read.parquet(path)

@@ -29,48 +29,15 @@ live snapshot):
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease.schemas import WICKET
-from crease.sources.tables import spread
-
-
-# keys to spread an under-split table on (see tables.spread): unique, or
-# bounded per value (a match has a handful of lines here), and the key the
-# table is later joined on
-SPREAD_KEYS = {
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey",),
-    "events": ("event_id",),
-}
-
-
-def _per_session(fn):
-    """Build a derived table's plan once per (session, folder, arguments).
-
-    A DataFrame is an immutable lazy plan over read-only inputs; re-deriving it
-    for every query only repeats driver-side file listing and analysis.  No
-    data is cached."""
-    plans: dict = {}
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kwargs.items())))
-        if key not in plans:
-            plans[key] = fn(spark, sf_dir, *args, **kwargs)
-        return plans[key]
-
-    return wrapper
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True) -> DataFrame:
-    """A provided table, spread over the cores when its file is under-split
-    (``spread_scan=False`` where an explicit repartition follows anyway)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, *SPREAD_KEYS.get(name, ())) if spread_scan else df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A provided table, as its files are split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _tag(prefix: str, value: Column) -> Column:
@@ -80,7 +47,6 @@ def _tag(prefix: str, value: Column) -> Column:
 # --- matches ------------------------------------------------------------------------
 
 
-@_per_session
 def match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat row per match (order) with every match-level attribute."""
     o = load(spark, sf_dir, "orders")
@@ -105,7 +71,6 @@ def match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat matches table (same columns and types as the flatten output,
     minus the nested carry-over and the load timestamp)."""
@@ -158,7 +123,6 @@ def _delivery_columns() -> dict[str, Column]:
     }
 
 
-@_per_session
 def delivery_rows(spark: SparkSession, sf_dir: str, by_match: bool = False) -> DataFrame:
     """One row per delivery keyed by its order; no match attributes yet.
 
@@ -168,13 +132,12 @@ def delivery_rows(spark: SparkSession, sf_dir: str, by_match: bool = False) -> D
     """
     cols = _delivery_columns()
     if by_match:
-        lines = load(spark, sf_dir, "lineitem", spread_scan=False).repartition("l_orderkey")
+        lines = load(spark, sf_dir, "lineitem").repartition("l_orderkey")
     else:
         lines = load(spark, sf_dir, "lineitem")
     return lines.select(F.col("l_orderkey").alias("match_id"), *[c.alias(n) for n, c in cols.items()])
 
 
-@_per_session
 def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat ball-by-ball table (flatten output shape minus the load
     timestamp and the surrogate ball id): deliveries joined to their match."""
@@ -205,7 +168,6 @@ def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- nested match documents ------------------------------------------------------------
 
 
-@_per_session
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested match documents (``match_id, info, innings, meta``) built from the
     flat tables: deliveries -> overs -> innings -> match.
@@ -278,7 +240,6 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- live snapshots -----------------------------------------------------------------
 
 
-@_per_session
 def live_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed API response per event (``fetched_at, seq, data``).
 

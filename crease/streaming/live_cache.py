@@ -125,11 +125,11 @@ def read_live_cache(spark: SparkSession, table_path: str, as_of: _dt.datetime |
     if as_of is None:
         # one scalar to the driver, not data
         as_of = log.agg(F.max("written_at")).first()[0]
-    as_of_col = F.lit(str(as_of)).cast("timestamp_ntz")
+    as_of_col = F.lit(None if as_of is None else str(as_of)).cast("timestamp_ntz")
     # expiry grows with the write time: unexpired entries first, then the
     # newest per key (same result, and only recent rows are aggregated)
     latest = (
-        log.filter(F.col("expires_at") > as_of_col)
+        log.filter((F.col("expires_at") > as_of_col) & (F.col("written_at") <= as_of_col))
         .groupBy("cache_key")
         .agg(F.max_by(F.struct("payload", "written_at", "expires_at"), F.struct("written_at", "batch_id")).alias("c"))
     )

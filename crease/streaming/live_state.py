@@ -27,10 +27,12 @@ from crease.schemas import LIVE_RESPONSE
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def land_responses(responses: DataFrame, path: str, files: int = 8) -> str:
-    """Land API responses as JSON Lines files (what a collector would drop)."""
+def land_responses(responses: DataFrame, path: str, files: int | None = None) -> str:
+    """Land API responses as JSON Lines files (what a collector would drop), by
+    default as many as the session has shuffle partitions."""
+    by = ("fetched_at", "seq")
     (
-        responses.repartitionByRange(files, "fetched_at", "seq")
+        (responses.repartitionByRange(files, *by) if files else responses.repartitionByRange(*by))
         .write.mode("overwrite")
         .option("timestampNTZFormat", TS_FORMAT)
         .option("timestampFormat", TS_FORMAT)
