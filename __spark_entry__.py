@@ -187,13 +187,10 @@ ag AS (
 vs AS (SELECT *, {_r("avg_runs_per_ball * 6", 2)} AS avg_runs_per_over FROM ag)"""
 
 _TITLES = f"""{_TEAM},
-ranked AS (
-  SELECT season, team, row_number() OVER (PARTITION BY season ORDER BY matches_won DESC, win_percentage DESC, team) AS rn
-  FROM ts
-),
 titles AS (
-  SELECT team, CAST(COUNT(*) AS INTEGER) AS titles, MAX(TRY_CAST(season AS INTEGER)) AS last_won
-  FROM ranked WHERE rn = 1 GROUP BY team
+  SELECT team, CAST(COUNT(*) FILTER (matches_won * 3 >= matches_played) AS INTEGER) AS titles,
+         MAX(TRY_CAST(season AS INTEGER)) FILTER (matches_won * 3 >= matches_played) AS last_won
+  FROM ts GROUP BY team
 )"""
 
 _LIVE = """WITH ev AS (
@@ -218,6 +215,7 @@ snap AS (
          CASE WHEN event_type IN ('view', 'purchase') THEN 2 WHEN event_type = 'click' THEN 1
               WHEN event_type = 'error' THEN 0 END AS n_score,
          CASE WHEN event_type = 'click' OR k % 9 <> 0 THEN CAST(floor(value) AS INTEGER) END AS r1,
+         event_id % 97 = 0 AS event_id_unreadable,
          k % 10 AS w1,
          CAST(20.0 AS DOUBLE) AS o1,
          CAST(floor(value / 2) AS INTEGER) AS r2,
@@ -227,7 +225,8 @@ snap AS (
 ),
 checked AS (
   SELECT *, CASE WHEN match_id IS NULL THEN 'missing id' WHEN status IS NULL THEN 'missing status'
-                 WHEN team1 IS NULL THEN 'missing team 1' WHEN team2 IS NULL THEN 'missing team 2' END AS problem
+                 WHEN team1 IS NULL THEN 'missing team 1' WHEN team2 IS NULL THEN 'missing team 2'
+                 WHEN event_id_unreadable AND n_score >= 1 AND r1 IS NOT NULL THEN 'unreadable score' END AS problem
   FROM snap
 ),
 flags AS (
@@ -303,25 +302,36 @@ current AS (
 
 _LIVE_REPORT = f"""{_LIVE}
 SELECT match_id, team1 || ' vs ' || team2 AS fixture,
+       venue, team1_score, team2_score, status,
        CASE WHEN is_ongoing THEN 'LIVE' WHEN is_completed THEN 'COMPLETED' ELSE 'UPCOMING' END AS state,
-       CASE WHEN is_ongoing AND current_over > 0 THEN
-         'Over ' || CAST(current_over AS VARCHAR) || ' | Target: ' ||
-         (CASE WHEN target > 0 THEN CAST(target AS VARCHAR) ELSE 'N/A' END) || ' | Req Rate: ' ||
-         (CASE WHEN required_rate > 0 THEN printf('%.2f', required_rate) ELSE 'N/A' END) END AS live_stats,
-       CASE WHEN is_completed AND winner <> '' THEN winner || ' (' || result_margin || ')' END AS result
+       CASE WHEN is_ongoing AND current_over > 0 THEN current_over END AS live_over,
+       CASE WHEN is_ongoing AND current_over > 0 AND target > 0 THEN target END AS live_target,
+       CASE WHEN is_ongoing AND current_over > 0 AND required_rate > 0 THEN required_rate END AS live_rate,
+       CASE WHEN is_completed AND winner <> '' THEN winner END AS winner,
+       CASE WHEN is_completed AND winner <> '' THEN result_margin END AS result_margin
 FROM current"""
 
-_LIVE_CACHE = f"""{_LIVE},
+
+
+def _live_cache(as_of: str) -> str:
+    return f"""{_LIVE},
+seen AS (SELECT * FROM rows WHERE fetched_at <= {as_of}),
 latest AS (
-  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY fetched_at DESC, seq DESC, pos DESC) AS rn FROM rows
-),
-as_of AS (SELECT MAX(fetched_at) AS t FROM rows)
+  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY fetched_at DESC, seq DESC, pos DESC) AS rn FROM seen
+)
 SELECT 'live:' || match_id AS cache_key,
        CAST(to_json(struct_pack(teams := team1 || ' vs ' || team2, score1 := team1_score,
                                 score2 := team2_score, status := status)) AS VARCHAR) AS payload,
        fetched_at AS written_at, fetched_at + INTERVAL 600 SECOND AS expires_at
-FROM latest, as_of
-WHERE rn = 1 AND fetched_at > t - INTERVAL 600 SECOND"""
+FROM latest
+WHERE rn = 1 AND fetched_at > {as_of} - INTERVAL 600 SECOND"""
+
+
+_LIVE_CACHE = _live_cache("(SELECT MAX(fetched_at) FROM rows)")
+_LIVE_QUARANTINE = f"""{_LIVE}
+SELECT seq, match_id, problem AS reason FROM checked WHERE problem IS NOT NULL
+UNION ALL
+SELECT seq, match_id, store_problem AS reason FROM storable WHERE store_problem IS NOT NULL"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -369,8 +379,9 @@ def oracle_sql() -> dict[str, str]:
         "live_matches": f"{_LIVE} SELECT * FROM current",
         "live_report": _LIVE_REPORT,
         "live_cache": _LIVE_CACHE,
-        "live_quarantine": f"{_LIVE} SELECT seq, match_id, problem AS reason FROM checked WHERE problem IS NOT NULL "
-        "UNION ALL SELECT seq, match_id, store_problem AS reason FROM storable WHERE store_problem IS NOT NULL",
+        "live_cache_as_of": _live_cache("TIMESTAMP '2024-01-15 12:00:00'"),
+        "live_quarantine": _LIVE_QUARANTINE,
+        "live_quarantine_stream": _LIVE_QUARANTINE,
         "live_matches_stream": f"{_LIVE} SELECT * FROM current",
         "live_cache_stream": _LIVE_CACHE,
         **_training_data("ORACLE_SQL"),

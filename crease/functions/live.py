@@ -44,6 +44,33 @@ def state_label(ongoing: str | Column, completed: str | Column) -> Column:
     )
 
 
+def score_numbers(score: Column) -> Column:
+    """The score entries as numbers: ``r`` and ``w`` int (a decimal loses its
+    fraction), ``o`` double.  A text that is no number, or beyond the type,
+    is null; see :func:`unreadable_score`."""
+    return F.transform(
+        score,
+        lambda e: F.struct(
+            e["r"].try_cast("double").try_cast("int").alias("r"),
+            e["w"].try_cast("double").try_cast("int").alias("w"),
+            e["o"].try_cast("double").alias("o"),
+        ),
+    )
+
+
+def unreadable_score(score: Column) -> Column:
+    """Whether one of the first two entries (those that are read) holds an
+    ``r``, ``w`` or ``o`` that is there and is no number."""
+
+    def unreadable(e: Column) -> Column:
+        def bad(name: str, kind: str) -> Column:
+            return e[name].isNotNull() & e[name].try_cast("double").try_cast(kind).isNull()
+
+        return bad("r", "int") | bad("w", "int") | bad("o", "double")
+
+    return F.coalesce(F.exists(F.slice(score, 1, 2), unreadable), F.lit(False))
+
+
 def score_entry_text(entry: Column) -> Column:
     """``r/w (o ov)`` when r, w and o are all present, else ``0/0 (0.0)``."""
     complete = entry["r"].isNotNull() & entry["w"].isNotNull() & entry["o"].isNotNull()

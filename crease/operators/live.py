@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from crease.functions import live as L
 from crease.functions.core import built_once
-from crease.schemas import CACHE_TTL_SECONDS, CURRENT_OVER_DECIMAL, REQUIRED_RATE_DECIMAL, VARCHAR_LIMITS
+from crease.schemas import CACHE_TTL_SECONDS, CORRUPT_COLUMN, CURRENT_OVER_DECIMAL, REQUIRED_RATE_DECIMAL, VARCHAR_LIMITS
 
 FIRST_SEEN = ("team1", "team2", "venue")
 LAST_SEEN = (
@@ -39,15 +39,29 @@ NEVER_FILLED = (("date_time", "string"), ("toss_winner", "string"), ("balls_rema
 
 def snapshot_rows(responses: DataFrame) -> DataFrame:
     """L-1: one row per match snapshot from landed responses
-    (``fetched_at, seq, data``).  Venue defaults to "Unknown"."""
-    # outer + explicit filter: an empty response or a null entry yields no
-    # row, and the optimizer infers no size() filter to push into the scan
-    exploded = responses.select("fetched_at", "seq", F.posexplode_outer("data").alias("pos", "m"))
+    (``fetched_at, seq, data``, and the reader's corrupt-record column if
+    there is one).  Venue defaults to "Unknown".
+
+    A response without readable ``data`` stays as one row without a position
+    (:func:`validate_snapshots` sets it aside); an empty list of matches
+    gives no row.  ``raw`` is the snapshot as JSON, or the response's text.
+    """
+    text = F.to_json(F.struct("fetched_at", "seq"))
+    if CORRUPT_COLUMN in responses.columns:
+        text = F.coalesce(F.col(CORRUPT_COLUMN), text)
+    # outer + explicit filter: the optimizer infers no size() filter to push into the scan
+    exploded = responses.select(
+        "fetched_at",
+        "seq",
+        F.when(F.col("data").isNull(), text).alias("response"),
+        F.posexplode_outer("data").alias("pos", "m"),
+    )
     m = F.col("m")
-    return exploded.filter(m.isNotNull()).select(
+    return exploded.filter(F.col("pos").isNotNull() | F.col("response").isNotNull()).select(
         "fetched_at",
         "seq",
         "pos",
+        F.coalesce(F.col("response"), F.to_json(m), F.lit("null")).alias("raw"),
         m["id"].alias("match_id"),
         m["status"].alias("status"),
         F.coalesce(m["venue"], F.lit("Unknown")).alias("venue"),
@@ -59,24 +73,46 @@ def snapshot_rows(responses: DataFrame) -> DataFrame:
 
 @built_once
 def _required_field_problem() -> Column:
-    checks = [("match_id", "missing id"), ("status", "missing status"), ("team1", "missing team 1"), ("team2", "missing team 2")]
+    checks = [
+        ("pos", "unparsable response"),
+        ("match_id", "missing id"),
+        ("status", "missing status"),
+        ("team1", "missing team 1"),
+        ("team2", "missing team 2"),
+        ("fetched_at", "missing time"),
+    ]
     expr = None
     for c, reason in checks:
         expr = (F.when(F.col(c).isNull(), F.lit(reason))) if expr is None else expr.when(F.col(c).isNull(), F.lit(reason))
-    return expr
+    return expr.when(L.unreadable_score(F.col("score")), F.lit("unreadable score"))
 
 
 def validate_snapshots(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """F-7: (valid, quarantine).  A snapshot without id, status or two team
-    names is set aside with a reason; the others go on."""
+    """F-7: (valid, quarantine).  A response that does not parse, a snapshot
+    without id, status, two team names or time, or with a score that is no
+    number, is set aside with its text and a reason; the others go on."""
     tagged = snapshots.withColumn("problem", _required_field_problem())
     valid = tagged.filter(F.col("problem").isNull()).drop("problem")
     quarantine = tagged.filter(F.col("problem").isNotNull()).select(
-        "fetched_at", "seq", "pos", "match_id", F.col("problem").alias("reason")
+        "fetched_at", "seq", "pos", "match_id", "raw", F.col("problem").alias("reason")
     )
     return valid, quarantine
 
 
+def rejected_snapshots(responses: DataFrame) -> DataFrame:
+    """Everything the current-state table leaves out, with text and reason:
+    the quarantine of :func:`validate_snapshots` and the rows that would not
+    fit the table (F-8).  One pass and no shuffle, on a batch or a stream."""
+    tagged = snapshot_rows(responses).withColumn("problem", _required_field_problem())
+    rows = _with_numbers(tagged).select("*", *_flag_columns()).select("raw", "problem", *_row_columns())
+    reason = F.coalesce(F.col("problem"), _store_problem())
+    return rows.select("fetched_at", "seq", "pos", "match_id", "raw", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def _with_numbers(snapshots: DataFrame) -> DataFrame:
+    return snapshots.withColumn("score", L.score_numbers(F.col("score")))
+
+
 @built_once
 def _flag_columns() -> list[Column]:
     return [L.is_ongoing("status").alias("is_ongoing"), L.is_completed("status").alias("is_completed")]
@@ -112,19 +148,13 @@ def _row_columns() -> list[Column]:
 def live_rows(valid: DataFrame) -> DataFrame:
     """L-2 ... L-8 on validated snapshots: flags, score texts, current over,
     target and required rate, winner and margin, state label."""
-    return valid.select("*", *_flag_columns()).select(*_row_columns())
+    return _with_numbers(valid).select("*", *_flag_columns()).select(*_row_columns())
 
 
 def _decimal(name: str, spec: tuple[int, int]) -> Column:
     return F.col(name).try_cast(f"decimal({spec[0]},{spec[1]})")
 
 
-def _stored(name: str, spec: tuple[int, int]) -> Column:
-    """The value as the table stores it (rounded half-up to the column's
-    scale), carried as a double."""
-    return _decimal(name, spec).cast("double")
-
-
 @built_once
 def _store_problem() -> Column:
     problem = None
@@ -167,8 +197,8 @@ def current_state_aggregate(rows: DataFrame) -> DataFrame:
 
 def current_state_columns(agg: DataFrame) -> DataFrame:
     """Shape the aggregate as the live_matches table (current over and
-    required rate rounded to their stored precision; the columns no code
-    fills are typed nulls)."""
+    required rate as the declared decimals, rounded half-up; the columns no
+    code fills are typed nulls)."""
     return agg.select(*_state_columns())
 
 
@@ -178,9 +208,9 @@ def _state_columns() -> list[Column]:
     cols += [F.col(f"first.{c}").alias(c) for c in ("team1", "team2")]
     cols += [F.col(f"last.{c}").alias(c) for c in ("team1_score", "team2_score", "status", "is_ongoing", "is_completed")]
     cols.append(F.col("first.venue").alias("venue"))
-    cols.append(_stored("last.current_over", CURRENT_OVER_DECIMAL).alias("current_over"))
+    cols.append(_decimal("last.current_over", CURRENT_OVER_DECIMAL).alias("current_over"))
     cols.append(F.col("last.target").cast("int").alias("target"))
-    cols.append(_stored("last.required_rate", REQUIRED_RATE_DECIMAL).alias("required_rate"))
+    cols.append(_decimal("last.required_rate", REQUIRED_RATE_DECIMAL).alias("required_rate"))
     cols += [F.col(f"last.{c}").alias(c) for c in ("winner", "result_margin", "updated_at")]
     cols += [F.lit(None).cast(t).alias(c) for c, t in NEVER_FILLED]
     return cols
@@ -202,12 +232,9 @@ def cache_entries(valid_rows: DataFrame, as_of: _dt.datetime | None = None, ttl_
     snapshots reach the aggregate (and the filter reaches the scan), not the
     whole history.  The payload is proper JSON.
     """
-    if as_of is None:
-        # one scalar to the driver, not data
-        as_of = valid_rows.agg(F.max("fetched_at")).first()[0]
-    ts_type = valid_rows.schema["fetched_at"].dataType.simpleString()
-    # no snapshot at all: no time, and no entry
-    as_of_col = F.lit(None if as_of is None else str(as_of)).cast(ts_type)
+    # the latest time stays in the plan as a scalar subquery (null without snapshots: no entry)
+    as_of_col = valid_rows.agg(F.max("fetched_at")).scalar() if as_of is None else F.lit(str(as_of))
+    as_of_col = as_of_col.cast(valid_rows.schema["fetched_at"].dataType)
     cutoff = as_of_col - F.make_dt_interval(secs=F.lit(ttl_seconds))
     summary = F.struct(
         F.concat_ws(" vs ", "team1", "team2").alias("teams"),
@@ -228,24 +255,26 @@ def cache_entries(valid_rows: DataFrame, as_of: _dt.datetime | None = None, ttl_
 
 
 def live_report(state: DataFrame) -> DataFrame:
-    """L-9: one line of live figures per match from the current state.
+    """L-9: the live report from the current state, one row per match with
+    fixture, venue, both scores, status and state.
 
-    Over, target (or N/A) and required rate (or N/A) only for an ongoing match
-    past its first ball; the winner line only for a decided match.
+    ``live_over``, ``live_target`` and ``live_rate`` only for an ongoing match
+    past its first ball, the last two only when above zero; ``winner`` and
+    ``result_margin`` only for a decided match.
     """
-    ongoing_line = F.concat(
-        F.lit("Over "),
-        F.col("current_over").cast("string"),
-        F.lit(" | Target: "),
-        F.when(F.col("target") > 0, F.col("target").cast("string")).otherwise(F.lit("N/A")),
-        F.lit(" | Req Rate: "),
-        F.when(F.col("required_rate") > 0, F.format_number("required_rate", 2)).otherwise(F.lit("N/A")),
-    )
-    winner_line = F.concat(F.col("winner"), F.lit(" ("), F.col("result_margin"), F.lit(")"))
+    live = F.col("is_ongoing") & (F.col("current_over") > 0)
+    decided = F.col("is_completed") & (F.col("winner") != "")
     return state.select(
         "match_id",
         F.concat_ws(" vs ", "team1", "team2").alias("fixture"),
+        "venue",
+        "team1_score",
+        "team2_score",
+        "status",
         L.state_label("is_ongoing", "is_completed").alias("state"),
-        F.when(F.col("is_ongoing") & (F.col("current_over") > 0), ongoing_line).alias("live_stats"),
-        F.when(F.col("is_completed") & (F.col("winner") != ""), winner_line).alias("result"),
+        F.when(live, F.col("current_over")).alias("live_over"),
+        F.when(live & (F.col("target") > 0), F.col("target")).alias("live_target"),
+        F.when(live & (F.col("required_rate") > 0), F.col("required_rate")).alias("live_rate"),
+        F.when(decided, F.col("winner")).alias("winner"),
+        F.when(decided, F.col("result_margin")).alias("result_margin"),
     )

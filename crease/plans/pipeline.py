@@ -14,12 +14,13 @@ import argparse
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crease.operators.flatten import balls_by_ball, for_sink, matches_table
 from crease.operators import reports
 from crease.operators.stats import production_stats
 from crease.sources.documents import read_match_documents, split_corrupt
-from crease.sources.sinks import output_tables, read_parquet_like, save_tables, write_parquet
+from crease.sources.sinks import output_tables, read_parquet_like, read_saved, save_tables, write_parquet
 from crease.sources.tables import register_views
 
 
@@ -43,14 +44,14 @@ def build_silver(spark: SparkSession, bronze: DataFrame, root: str, season_folde
     them read back from Parquet.
 
     ``season_folders`` partitions balls by season so season filters prune
-    folders.  Each write task emits one file per season it holds, so this
-    suits inputs landed grouped by season (one season per task); for landing
-    that mixes seasons in every file, turn it off rather than multiply the
-    file count (a repartition by season would put each season, however large,
-    in one task).
+    folders.  Rows are rebalanced on the season first: adaptive execution
+    splits a large season over tasks of the advisory size and joins small
+    ones, so the file count follows the data, not tasks x seasons.
     """
     matches = for_sink(matches_table(bronze))
     balls = balls_by_ball(bronze)
+    if season_folders:
+        balls = balls.hint("rebalance", F.col("season"))
     layout = {"balls_by_ball": ["season"]} if season_folders else None
     where = save_tables({"matches": matches, "balls_by_ball": balls}, root, partition_by=layout)
     return (
@@ -85,6 +86,8 @@ def run_pipeline(
         jdbc_properties=jdbc_properties,
         landed=silver,
     )
+    # views and reports read what was saved instead of aggregating again
+    stats = {name: read_saved(spark, saved[name], df.schema, jdbc_url, jdbc_properties) for name, df in stats.items()}
     # the SQL path: every output table as an ipl_<name> view
     register_views(output_tables(stats, matches, balls))
     return PipelineResult(matches, balls, stats, spark.read.parquet(f"{output_root}/quarantine"), saved)
@@ -94,11 +97,11 @@ def display_insights(stats: dict[str, DataFrame], k: int = reports.TOP_K) -> Non
     """The console summary: top run scorers, top bowlers, team performance,
     season listing and top venues.  Each is a top-k (k rows to the driver)."""
     sections = [
-        ("TOP RUN SCORERS", reports.top_run_scorers(stats["player_batting_stats"], k)),
-        ("TOP BOWLERS", reports.top_bowlers(stats["player_bowling_stats"], k)),
-        ("TEAM PERFORMANCE", reports.team_performance(stats["team_stats"], k)),
-        ("SEASON TRENDS", reports.season_listing(stats["season_trends"])),
-        ("TOP VENUES", reports.top_venues(stats["venue_stats"], k)),
+        ("Most runs in a season", reports.top_run_scorers(stats["player_batting_stats"], k)),
+        ("Lowest economy rates", reports.top_bowlers(stats["player_bowling_stats"], k)),
+        ("Best win percentages", reports.team_performance(stats["team_stats"], k)),
+        ("Seasons", reports.season_listing(stats["season_trends"])),
+        ("Highest-scoring venues", reports.top_venues(stats["venue_stats"], k)),
     ]
     for title, df in sections:
         print(f"\n{title}")

@@ -9,6 +9,7 @@ flat SQL.  Wall-clock columns (processed_at) are left out of checked outputs.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from crease.plans import sql as sqlpath
 from crease.session import scratch_path
 from crease.sources import documents, testdata
 from crease.sources.sinks import read_parquet_like, write_parquet
-from crease.streaming import live_cache, live_state
+from crease.streaming import live_cache, live_quarantine, live_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -242,13 +243,19 @@ def q_live_result(spark, sf_dir):
     return rows.select("seq", "match_id", "team1", "team2", "winner", "result_margin")
 
 
+def _decimals_as_doubles(df: DataFrame) -> DataFrame:
+    """The table's decimals as doubles, which every checker compares alike."""
+    return df.select(*[F.col(n).cast("double").alias(n) if t.startswith("decimal") else n for n, t in df.dtypes])
+
+
 def q_live_matches(spark, sf_dir):
     rows, _ = _live(spark, sf_dir)
-    return live.current_state(rows)
+    return _decimals_as_doubles(live.current_state(rows))
 
 
 def q_live_report(spark, sf_dir):
-    return live.live_report(q_live_matches(spark, sf_dir))
+    rows, _ = _live(spark, sf_dir)
+    return _decimals_as_doubles(live.live_report(live.current_state(rows)))
 
 
 def q_live_cache(spark, sf_dir):
@@ -256,12 +263,24 @@ def q_live_cache(spark, sf_dir):
     return live.cache_entries(rows)
 
 
+def q_live_cache_as_of(spark, sf_dir):
+    """The cache as it stood at a past instant."""
+    rows, _ = _live(spark, sf_dir)
+    return live.cache_entries(rows, as_of=dt.datetime(2024, 1, 15, 12))
+
+
 def q_live_quarantine(spark, sf_dir):
-    rows, quarantine = _live(spark, sf_dir)
-    not_stored = live.storable(rows).filter(F.col("store_problem").isNotNull())
-    return quarantine.select("seq", "match_id", "reason").unionByName(
-        not_stored.select("seq", "match_id", F.col("store_problem").alias("reason"))
-    )
+    return live.rejected_snapshots(testdata.live_responses(spark, sf_dir)).select("seq", "match_id", "reason")
+
+
+def q_live_quarantine_stream(spark, sf_dir):
+    """What the live streams leave out, kept by the quarantine stream over
+    landed response files and read back from its table."""
+    source = live_state.land_responses(testdata.live_responses(spark, sf_dir), scratch_path(spark, "reject-landing"))
+    table = scratch_path(spark, "reject-table")
+    query = live_quarantine.start_live_quarantine(spark, source, table, scratch_path(spark, "reject-ckpt"), available_now=True)
+    query.awaitTermination()
+    return spark.read.parquet(table).select("seq", "match_id", "reason")
 
 
 def q_live_matches_stream(spark, sf_dir):
@@ -280,7 +299,7 @@ def q_live_matches_stream(spark, sf_dir):
         state_partitions=cores,
     )
     query.awaitTermination()
-    return live_state.read_live_state(spark, table)
+    return _decimals_as_doubles(live_state.read_live_state(spark, table))
 
 
 def q_live_cache_stream(spark, sf_dir):
@@ -339,7 +358,9 @@ QUERIES: dict[str, Query] = {
     "live_matches": q_live_matches,
     "live_report": q_live_report,
     "live_cache": q_live_cache,
+    "live_cache_as_of": q_live_cache_as_of,
     "live_quarantine": q_live_quarantine,
+    "live_quarantine_stream": q_live_quarantine_stream,
     "live_matches_stream": q_live_matches_stream,
     "live_cache_stream": q_live_cache_stream,
 }

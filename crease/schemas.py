@@ -14,6 +14,7 @@ def _f(name: str, dtype: T.DataType) -> T.StructField:
 
 
 # --- match document (one JSON document = one match) --------------------------
+# The field names and nesting of the match documents.
 
 WICKET = T.StructType([_f("player_out", _S), _f("kind", _S)])
 
@@ -69,8 +70,11 @@ MATCH_DOCUMENT_READ = T.StructType(MATCH_DOCUMENT.fields + [_f(CORRUPT_COLUMN, _
 
 
 # --- live snapshot payload ------------------------------------------------------
+# The field names of the feed's responses.
 
-SCORE = T.StructType([_f("r", T.IntegerType()), _f("w", T.IntegerType()), _f("o", T.DoubleType())])
+# Numbers as the feed sends them -- 142, 142.0 or "142" -- read as text, so that an
+# unreadable one can be told from a missing one.
+SCORE = T.StructType([_f("r", _S), _f("w", _S), _f("o", _S)])
 
 LIVE_MATCH = T.StructType(
     [
@@ -89,6 +93,9 @@ LIVE_RESPONSE = T.StructType(
     [_f("fetched_at", T.TimestampNTZType()), _f("seq", _L), _f("data", T.ArrayType(LIVE_MATCH))]
 )
 
+# The reader schema: with the raw text of a response that does not parse.
+LIVE_RESPONSE_READ = T.StructType(LIVE_RESPONSE.fields + [_f(CORRUPT_COLUMN, _S)])
+
 
 # --- storage limits of the live current-state table, cache lifetime ----------------
 # Column widths and numeric precisions of the live_matches table as

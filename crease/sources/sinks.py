@@ -14,6 +14,8 @@ from crease.operators.flatten import for_sink
 
 log = logging.getLogger(__name__)
 
+JDBC_MARK = "jdbc:"  # where a table went, if to the database
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     """Overwrite ``path`` with ``df``.  Partitioning on a low-cardinality
@@ -32,6 +34,15 @@ def read_parquet_like(spark: SparkSession, path: str, schema: T.StructType) -> D
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def read_saved(
+    spark: SparkSession, where: str, schema: T.StructType, jdbc_url: str | None = None, jdbc_properties: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Read a table back from where :func:`save_tables` says it went."""
+    if where.startswith(JDBC_MARK):
+        return spark.read.jdbc(jdbc_url, where.removeprefix(JDBC_MARK), properties=dict(jdbc_properties or {})).select(*schema.fieldNames())
+    return read_parquet_like(spark, where, schema)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], truncate: bool = True) -> None:
     """Overwrite a database table.  ``truncate`` keeps a table declared ahead
     of time (its keys and column types) instead of dropping and recreating it.
@@ -41,6 +52,20 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     df.write.mode("overwrite").option("truncate", str(truncate).lower()).jdbc(url, table, properties=props)
 
 
+def database_error(exc: BaseException) -> bool:
+    """Whether a failed write is the database's (connection, driver, table)
+    and not the computation's: a JDBC exception among the causes, or no
+    driver for the address."""
+    if isinstance(exc, ConnectionError):
+        return True
+    cause = getattr(exc, "java_exception", None)
+    text = str(cause if cause is not None else getattr(exc, "_stackTrace", None) or exc)
+    while cause is not None:
+        text += f"\n{cause.toString()}"
+        cause = cause.getCause()
+    return any(mark in text for mark in ("java.sql.", "SQLException", "No suitable driver", "java.lang.ClassNotFoundException"))
+
+
 def output_tables(stats: Mapping[str, DataFrame], matches: DataFrame, balls: DataFrame) -> dict[str, DataFrame]:
     """S-12: the seven output tables (S-11: nested match columns dropped)."""
     out = dict(stats)
@@ -74,8 +99,10 @@ def save_tables(
         if jdbc_url:
             try:
                 jdbc_writer(df, jdbc_url, f"{table_prefix}{name}", jdbc_properties or {})
-                return f"jdbc:{table_prefix}{name}"
-            except Exception as exc:  # database down, table mismatch, ...
+                return f"{JDBC_MARK}{table_prefix}{name}"
+            except Exception as exc:
+                if not database_error(exc):
+                    raise
                 log.warning("JDBC write of %s failed (%s); writing Parquet", name, exc)
         if landed and name in landed:
             return landed[name]

@@ -253,7 +253,8 @@ def live_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     user_id % 4 = 0.  Score: signup none, error empty, click one entry, view
     and purchase two: first (r = floor(value), w = k % 10, o = 20.0; r missing
     when k % 9 = 0), second (r = floor(value / 2), w = k % 7, missing when
-    k % 4 = 0, o = k % 25 + 0.5).
+    k % 4 = 0, o = k % 25 + 0.5).  Numbers come as text, the first r with a
+    fraction (".75") when k % 5 = 0 and unreadable ("n/a") when event_id % 97 = 0.
     """
     # k is parsed once; every later expression reads the column
     e = load(spark, sf_dir, "events").select(
@@ -280,17 +281,16 @@ def live_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     team1 = F.struct(F.concat(F.lit("City"), (uid % 7).cast("string"), F.lit(" Reds")).alias("name"))
     team2 = F.struct(F.concat(F.lit("Port"), (eid % 5).cast("string"), F.lit(" Blues")).alias("name"))
     team_info = F.when(eid % 101 == 0, F.array(team1)).otherwise(F.array(team1, team2))
-    first = F.struct(
-        F.when(k % 9 != 0, F.floor("value").cast("int")).alias("r"),
-        (k % 10).alias("w"),
-        F.lit(20.0).alias("o"),
-    )
+    runs = F.floor("value").cast("int").cast("string")
+    runs = F.when(eid % 97 == 0, F.lit("n/a")).when(k % 5 == 0, F.concat(runs, F.lit(".75"))).otherwise(runs)
+    wickets = (k % 10).cast("string").alias("w")
+    first = F.struct(F.when(k % 9 != 0, runs).alias("r"), wickets, F.lit("20").alias("o"))
     second = F.struct(
-        F.floor(F.col("value") / 2).cast("int").alias("r"),
-        F.when(k % 4 != 0, k % 7).alias("w"),
-        ((k % 25) + F.lit(0.5)).cast("double").alias("o"),
+        F.floor(F.col("value") / 2).cast("int").cast("string").alias("r"),
+        F.when(k % 4 != 0, (k % 7).cast("string")).alias("w"),
+        ((k % 25) + F.lit(0.5)).cast("string").alias("o"),
     )
-    first_only = F.struct(F.floor("value").cast("int").alias("r"), (k % 10).alias("w"), F.lit(20.0).alias("o"))
+    first_only = F.struct(runs.alias("r"), wickets, F.lit("20").alias("o"))
     empty = F.filter(F.array(first), lambda _: F.lit(False))
     score = (
         F.when(et.isin("view", "purchase"), F.array(first, second))

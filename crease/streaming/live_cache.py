@@ -122,10 +122,9 @@ def read_live_cache(spark: SparkSession, table_path: str, as_of: _dt.datetime |
     """The cache as of ``as_of`` (default: the latest write seen): each key's
     newest entry, kept while it has not expired."""
     log = spark.read.parquet(table_path)
-    if as_of is None:
-        # one scalar to the driver, not data
-        as_of = log.agg(F.max("written_at")).first()[0]
-    as_of_col = F.lit(None if as_of is None else str(as_of)).cast("timestamp_ntz")
+    # the latest time stays in the plan as a scalar subquery (null for an empty log: no entry)
+    as_of_col = log.agg(F.max("written_at")).scalar() if as_of is None else F.lit(str(as_of))
+    as_of_col = as_of_col.cast("timestamp_ntz")
     # expiry grows with the write time: unexpired entries first, then the
     # newest per key (same result, and only recent rows are aggregated)
     latest = (

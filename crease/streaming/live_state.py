@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crease.operators.live import current_state_aggregate, current_state_columns, live_rows, snapshot_rows, validate_snapshots
-from crease.schemas import LIVE_RESPONSE
+from crease.schemas import CORRUPT_COLUMN, LIVE_RESPONSE_READ
 
 
 # microsecond timestamps in landed JSON (Spark's default text keeps milliseconds)
@@ -42,7 +42,8 @@ def land_responses(responses: DataFrame, path: str, files: int | None = None) ->
 
 
 def read_responses_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LIVE_RESPONSE)  # the default parser reads any fraction length
+    """Landed responses; the text of one that does not parse is in the corrupt-record column."""
+    reader = spark.readStream.schema(LIVE_RESPONSE_READ).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(path)
@@ -51,9 +52,10 @@ def read_responses_stream(spark: SparkSession, path: str, max_files_per_trigger:
 def responses_from_json(df: DataFrame, column: str = "value") -> DataFrame:
     """Parse API responses carried as JSON text in one column -- a Kafka
     topic's ``value`` (cast to string) or a text source's line -- into the
-    landed-response shape.  Unparsable messages come out with null fields
-    and drop out of :func:`snapshot_rows` (no ``data``)."""
-    parsed = F.from_json(F.col(column).cast("string"), LIVE_RESPONSE, {"timestampNTZFormat": TS_FORMAT})
+    landed-response shape.  The text of a message that does not parse is in
+    the corrupt-record column, as with the JSON reader."""
+    options = {"timestampNTZFormat": TS_FORMAT, "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    parsed = F.from_json(F.col(column).cast("string"), LIVE_RESPONSE_READ, options)
     return df.select(parsed.alias("r")).select("r.*")
 
 
@@ -67,6 +69,12 @@ def read_responses_text_stream(spark: SparkSession, path: str, max_files_per_tri
     return responses_from_json(reader.load(path))
 
 
+def open_responses(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, source_format: str = "json") -> DataFrame:
+    """The response stream, by the JSON reader or as text lines."""
+    read = read_responses_text_stream if source_format == "text" else read_responses_stream
+    return read(spark, path, max_files_per_trigger)
+
+
 def _changelog_writer(table_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         (
@@ -109,11 +117,8 @@ def start_live_state(
     reads the responses as text lines parsed with ``from_json`` -- the path a
     Kafka topic's ``value`` column takes.
     """
-    responses = (
-        read_responses_text_stream(spark, source_path, max_files_per_trigger)
-        if source_format == "text"
-        else read_responses_stream(spark, source_path, max_files_per_trigger)
-    )
+    responses = open_responses(spark, source_path, max_files_per_trigger, source_format)
+    # rejects are kept by the quarantine stream (live_quarantine.py)
     valid, _ = validate_snapshots(snapshot_rows(responses))
     agg = current_state_aggregate(live_rows(valid))
     writer = (

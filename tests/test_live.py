@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 
 from crease.operators import live
-from crease.schemas import LIVE_RESPONSE
+from crease.schemas import CORRUPT_COLUMN, LIVE_RESPONSE, LIVE_RESPONSE_READ
 
 T0 = dt.datetime(2024, 5, 1, 19, 0, 0)
 
@@ -25,6 +26,7 @@ def _resp(minute, seq, *matches):
 
 RESPONSES = [
     _resp(0, 1, _m("m1", "Match in Progress", score=[{"r": 142, "w": 3, "o": 15.2}]),
+      # a fixture: the match of the reference's own sample
       _m("m2", "Kolkata Knight Riders won by 44 runs", "Kolkata Knight Riders", "Punjab Kings",
          [{"r": 189, "w": 6, "o": 20.0}, {"r": 145, "w": 7, "o": 20.0}], venue="Eden Gardens")),
     _resp(5, 2, _m("m1", "CSK need 45 runs", t1="MI", score=[{"r": 142, "w": 3, "o": 20.0}, {"r": 98, "w": 2, "o": 12.4}],
@@ -121,7 +123,7 @@ def test_current_state_first_and_last_seen(parts):
     assert (m1.team1, m1.venue) == ("Mumbai Indians", "Wankhede")  # first seen
     assert m1.status == "CSK need 45 runs"  # the latest, not the late-arriving older file
     assert m1.updated_at == T0 + dt.timedelta(minutes=5)
-    assert m1.current_over == 12.4 and m1.required_rate == 5.92 and m1.target == 143
+    assert m1.current_over == Decimal("12.4") and m1.required_rate == Decimal("5.92") and m1.target == 143
     assert m1.date_time is None and m1.balls_remaining is None
 
 
@@ -148,6 +150,70 @@ def test_cache_ttl_and_json(parts):
 
 def test_report(parts):
     rep = {r.match_id: r for r in live.live_report(live.current_state(parts[0])).collect()}
-    assert rep["m9"].live_stats == "Over 15.0 | Target: 101 | Req Rate: N/A"
-    assert rep["m2"].result == "Kolkata Knight Riders (44 runs)" and rep["m2"].live_stats is None
-    assert rep["m6"].state == "UPCOMING"
+    m9 = rep["m9"]
+    assert (m9.live_over, m9.live_target, m9.live_rate) == (Decimal("15.0"), 101, None)
+    assert (m9.team1_score, m9.team2_score, m9.venue) == ("100/5 (20.0 ov)", "120/3 (15.0 ov)", "Wankhede")
+    m2 = rep["m2"]
+    assert (m2.winner, m2.result_margin, m2.live_over) == ("Kolkata Knight Riders", "44 runs", None)
+    assert (rep["m6"].state, rep["m6"].status) == ("UPCOMING", "Match starts at 7:30 PM")
+
+
+def _json(spark, tmp_path, lines):
+    (tmp_path / "r.json").write_text("\n".join(lines))
+    return spark.read.schema(LIVE_RESPONSE_READ).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(str(tmp_path / "r.json"))
+
+
+def _line(score, mid="x", seq=1):
+    match = {"id": mid, "status": "Live", "teamInfo": [{"name": "A"}, {"name": "B"}], "score": score}
+    return json.dumps({"fetched_at": "2024-05-01T19:00:00.000000", "seq": seq, "data": [match]})
+
+
+def test_score_numbers_in_any_notation(spark, tmp_path):
+    """Integers, decimals and numeric texts are the same number."""
+    lines = [_line([{"r": r, "w": w, "o": o}], str(i)) for i, (r, w, o) in enumerate([(142, 3, 20), (142.0, 3.0, 20.0), ("142", "3", "20"), (142.9, "3.0", "20.0")])]
+    valid, quarantine = live.validate_snapshots(live.snapshot_rows(_json(spark, tmp_path, lines)))
+    assert {r.team1_score for r in live.live_rows(valid).collect()} == {"142/3 (20.0 ov)"}
+    assert live.live_rows(valid).count() == 4 and not quarantine.select("reason").collect()
+
+
+def test_nothing_is_lost(spark, tmp_path):
+    """Every entry is stored or set aside with its text and a reason."""
+    lines = [
+        _line([{"r": 1, "w": 1, "o": 1}], "ok"),
+        _line([{"r": "x", "w": 1, "o": 1}], "bad r"),
+        _line([{"r": 1, "w": 1, "o": 1}, {"r": 1, "w": 99999999999, "o": 1}], "w too large"),
+        _line([{"w": 1}], "missing r"),
+        _line([{"r": 1, "w": 1, "o": 20}, {"r": 0, "w": 0, "o": 19.99}], "rate"),
+        '{"fetched_at": "2024-05-01T19:00:00.000000", "seq": 2, "data": [{"id": ',
+        '{"fetched_at": "2024-05-01T19:00:00.000000", "seq": 3}',
+        '{"fetched_at": "2024-05-01T19:00:00.000000", "seq": 4, "data": []}',
+        '{"fetched_at": "2024-05-01T19:00:00.000000", "seq": 5, "data": [null]}',
+        _line(None, "no time").replace("2024-05-01T", "someday"),
+    ]
+    responses = _json(spark, tmp_path, lines)
+    valid, _ = live.validate_snapshots(live.snapshot_rows(responses))
+    stored = {r.match_id for r in live.current_state(live.live_rows(valid)).collect()}
+    assert stored == {"ok", "missing r"}
+    rejected = live.rejected_snapshots(responses).collect()
+    assert sorted((r.match_id or "", r.reason) for r in rejected) == [
+        ("", "missing id"),
+        ("", "unparsable response"),
+        ("", "unparsable response"),
+        ("bad r", "unreadable score"),
+        ("no time", "missing time"),
+        ("rate", "required_rate overflow"),
+        ("w too large", "unreadable score"),
+    ]
+    texts = {r.reason: r.raw for r in rejected}
+    assert lines[5] in {r.raw for r in rejected}
+    assert '"99999999999"' in next(r.raw for r in rejected if r.match_id == "w too large")
+    assert all(texts.values())
+    assert live.snapshot_rows(responses).count() == len(stored) + len(rejected)
+
+
+def test_cache_of_nothing_and_of_the_past(spark, parts):
+    nothing = parts[0].limit(0)
+    assert live.cache_entries(nothing).collect() == []
+    past = live.cache_entries(parts[0], as_of=T0 + dt.timedelta(seconds=30)).collect()
+    assert sorted(r.cache_key for r in past) == ["live:m1", "live:m2"]
+    assert max(r.written_at for r in past) <= T0 + dt.timedelta(seconds=30)

@@ -32,3 +32,22 @@ def test_query_matches_oracle(spark, con, name):
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
+
+
+ORDERED = ["team_stats_sorted", "player_batting_sorted", "player_bowling_sorted", "season_trends_sorted", "venue_stats_sorted",
+           "top_run_scorers", "top_bowlers", "team_performance", "season_listing", "top_venues"]
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_order_matches_oracle(spark, con, name):
+    """The rows come in the order of the oracle's ORDER BY."""
+    got = QUERIES[name](spark, SF_CHECK)
+    rel = con.sql(ORACLE[name])
+    rows = rel.fetchall()
+    at = [rel.columns.index(c) for c in got.columns]
+    assert rows and [tuple(r) for r in got.collect()] == [tuple(r[i] for i in at) for r in rows]
+
+
+def test_sql_filter_decides(spark):
+    """Some teams pass the filter and some do not."""
+    assert 0 < QUERIES["sql_filter"](spark, SF_CHECK).count() < QUERIES["team_titles"](spark, SF_CHECK).count()

@@ -99,3 +99,26 @@ def test_text_source_parse_equals_json_source(spark, tmp_path):
     q = live_state.start_live_state(spark, src, table, str(tmp_path / "ckpt"), available_now=True, source_format="text")
     q.awaitTermination()
     assert _rows(live_state.read_live_state(spark, table)) == _rows(_batch_state(responses))
+
+
+def test_live_job_keeps_every_reject(spark, tmp_path):
+    """The three streams over one landing folder: stored state as in batch,
+    rejects with text and reason, nothing twice after a restart."""
+    from crease.plans import live as job
+
+    responses = spark.createDataFrame(RESPONSES, LIVE_RESPONSE)
+    src = live_state.land_responses(responses, str(tmp_path / "landing"), files=3)
+    garbled = '{"fetched_at": "2024-05-01T19:00:00.000000", "seq": 99, "data": [{"id": '
+    with open(f"{src}/garbled.json", "w") as fh:
+        fh.write(garbled + "\n")
+    root = str(tmp_path / "root")
+    for _ in range(2):
+        for query in job.start_live(spark, src, root, max_files_per_trigger=1, available_now=True).values():
+            query.awaitTermination()
+    where = job.publish_live(spark, root, str(tmp_path / "published"))
+    assert _rows(spark.read.parquet(where["live_matches"])) == _rows(_batch_state(responses))
+    got = spark.table("ipl_live_quarantine").collect()
+    want = [((r.match_id or ""), r.reason) for r in live.rejected_snapshots(responses).collect()] + [("", "unparsable response")]
+    assert sorted(((r.match_id or ""), r.reason) for r in got) == sorted(want)
+    assert [r.raw for r in got if r.reason == "unparsable response"] == [garbled]
+    assert spark.table("ipl_live_report").count() == spark.table("ipl_live_matches").count()
