@@ -334,6 +334,21 @@ UNION ALL
 SELECT seq, match_id, store_problem AS reason FROM storable WHERE store_problem IS NOT NULL"""
 
 
+def _pipeline_stats() -> str:
+    figures = [
+        ("team_stats", _TEAM, "ts", "season", "team", "matches_won"),
+        ("player_batting_stats", _BAT, "bat", "season", "batter", "total_runs"),
+        ("player_bowling_stats", _BOWL, "bowl", "season", "bowler", "runs_conceded"),
+        ("season_trends", _SEASON, "st", "season", "NULL", "total_runs"),
+        ("venue_stats", _VENUE, "vs", "NULL", "venue", "total_balls"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS statistic, CAST({season} AS VARCHAR) AS season, CAST({of} AS VARCHAR) AS \"of\", "
+        f"CAST({figure} AS BIGINT) AS figure FROM ({ctes} SELECT * FROM {table})"
+        for name, ctes, table, season, of, figure in figures
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     matches = f"WITH {_M} SELECT {_MATCH_COLS}, match_id FROM mt"
     balls = f"WITH {_B} SELECT match_id, {_BALL_COLS} FROM b"
@@ -345,8 +360,15 @@ def oracle_sql() -> dict[str, str]:
         "json_scan": f"WITH {_M} SELECT {_MATCH_COLS} FROM mt",
         "corrupt_quarantine": (
             "SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'quarantined' ELSE 'valid' END "
-            "AS record_state, COUNT(*) AS n_documents FROM orders GROUP BY 1"
+            "AS record_state, COUNT(*) AS n_documents, "
+            "COUNT(CASE WHEN NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW') THEN 1 END) AS n_with_season "
+            "FROM orders GROUP BY 1"
+        ),
+        "id_uniqueness": (
+            "SELECT 'match' AS level, COUNT(*) AS n_rows, COUNT(*) AS n_ids FROM orders "
+            "UNION ALL SELECT 'ball', COUNT(*), COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
         ),
+        "pipeline_stats": _pipeline_stats(),
         "parquet_round_trip": balls,
         "team_stats": f"{_TEAM} SELECT * FROM ts",
         "player_batting_stats": f"{_BAT} SELECT * FROM bat",

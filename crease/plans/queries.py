@@ -10,6 +10,7 @@ flat SQL.  Wall-clock columns (processed_at) are left out of checked outputs.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,8 @@ def q_wicket_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> tuple[str, str]:
     """Land the documents as JSON Lines under the shared checkpoint folder;
     returns (folder, glob).  With ``corrupt``, documents of low-priority
-    pending orders land truncated (unparsable), written as raw text."""
+    pending orders land truncated (unparsable), and those of urgent finished
+    ones with a revision that is no number (still a match), as raw text."""
     docs = testdata.match_documents(spark, sf_dir)
     path = scratch_path(spark, "landed-docs")
     if not corrupt:
@@ -57,7 +59,12 @@ def land_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> t
     text = F.to_json(F.struct("info", "innings", "meta"))
     orders = testdata.load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("match_id"), "o_orderstatus", "o_orderpriority")
     bad = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    garbled = F.when(bad, F.substr(text, F.lit(1), (F.length(text) / 2).cast("int"))).otherwise(text)
+    odd = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    garbled = (
+        F.when(bad, F.substr(text, F.lit(1), (F.length(text) / 2).cast("int")))
+        .when(odd, F.replace(text, F.lit('"revision":1'), F.lit('"revision":"draft"')))
+        .otherwise(text)
+    )
     docs.join(orders, "match_id").select(garbled.alias("value")).write.text(path)
     return path, "*.txt"
 
@@ -85,9 +92,47 @@ def q_corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read_landed(spark, sf_dir, corrupt=True)
     bronze = spark.read.parquet(pipeline.land_bronze(docs, scratch_path(spark, "bronze")))
     valid, quarantine = documents.split_corrupt(bronze)
-    return valid.select(F.lit("valid").alias("record_state")).unionByName(
-        quarantine.select(F.lit("quarantined").alias("record_state"))
-    ).groupBy("record_state").agg(F.count(F.lit(1)).alias("n_documents"))
+    return valid.select(F.lit("valid").alias("record_state"), "info").unionByName(
+        quarantine.select(F.lit("quarantined").alias("record_state"), F.lit(None).cast(docs.schema["info"].dataType).alias("info"))
+    ).groupBy("record_state").agg(F.count(F.lit(1)).alias("n_documents"), F.count("info.season").alias("n_with_season"))
+
+
+def q_id_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, balls and their distinct ids, through the JSON reader."""
+    docs = _read_landed(spark, sf_dir)
+    bronze = spark.read.parquet(pipeline.land_bronze(docs, scratch_path(spark, "bronze-ids")))
+    balls = flatten.balls_by_ball(bronze, with_load_time=False)
+
+    def counts(df: DataFrame, level: str, key: str) -> DataFrame:
+        # one distinct aggregate over the ids, whose own counts give the rows
+        per_id = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        return per_id.agg(F.lit(level).alias("level"), F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"))
+
+    return counts(bronze, "match", "match_id").unionByName(counts(balls, "ball", "ball_id"))
+
+
+def q_pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over landed documents (bronze, silver, gold): one figure
+    per group of each of the five saved statistics."""
+    path, glob = land_documents(spark, sf_dir)
+    job = pipeline.run_pipeline(spark, path, scratch_path(spark, "job"), multi_line=False, glob=glob)
+    figures = {
+        "team_stats": ("season", "team", "matches_won"),
+        "player_batting_stats": ("season", "batter", "total_runs"),
+        "player_bowling_stats": ("season", "bowler", "runs_conceded"),
+        "season_trends": ("season", None, "total_runs"),
+        "venue_stats": (None, "venue", "total_balls"),
+    }
+    parts = [
+        job.stats[name].select(
+            F.lit(name).alias("statistic"),
+            (F.col(season) if season else F.lit(None).cast("string")).alias("season"),
+            (F.col(of) if of else F.lit(None).cast("string")).alias("of"),
+            F.col(figure).cast("bigint").alias("figure"),
+        )
+        for name, (season, of, figure) in figures.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def q_parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +373,8 @@ QUERIES: dict[str, Query] = {
     "nested_flatten": q_nested_flatten,
     "json_scan": q_json_scan,
     "corrupt_quarantine": q_corrupt_quarantine,
+    "id_uniqueness": q_id_uniqueness,
+    "pipeline_stats": q_pipeline_stats,
     "parquet_round_trip": q_parquet_round_trip,
     "team_stats": q_team_stats,
     "player_batting_stats": q_batting,
