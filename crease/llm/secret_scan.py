@@ -8,7 +8,9 @@ transitions on the executors and returns two small matrices.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -50,6 +52,26 @@ def base_matches(text: str) -> list[tuple[int, int, str, int, int]]:
     return sorted(found)
 
 
+class Reach:
+    """For sorted (start, ..., end) spans: how far those reach that start before
+    a place.  One bisection a question, however many spans a text has."""
+
+    def __init__(self, spans: list[tuple]):
+        self.starts = [s[0] for s in spans]
+        self.ends = list(itertools.accumulate((s[-1] for s in spans), max))
+
+    def before(self, place: int) -> int:
+        """The largest end among the spans that start before ``place`` (0: none)."""
+        k = bisect.bisect_left(self.starts, place)
+        return self.ends[k - 1] if k else 0
+
+    def holds(self, start: int, end: int) -> bool:
+        return self.before(start + 1) >= end
+
+    def meets(self, start: int, end: int) -> bool:
+        return self.before(end) > start
+
+
 def _codes(token: str) -> np.ndarray:
     return np.array([CODE[c] for c in token], dtype=np.int64)
 
@@ -84,8 +106,9 @@ def labelled_strings(text: str) -> Iterator[tuple[str, bool]]:
     for _, _, value, start, end in base_matches(text):
         yield value, True
         spans.append((start, end))
+    secrets = Reach(sorted(spans))
     for m in WORD.finditer(text):
-        if not any(c.isdigit() for c in m[0]) and not any(s < m.end() and m.start() < e for s, e in spans):
+        if not any(c.isdigit() for c in m[0]) and not secrets.meets(m.start(), m.end()):
             yield m[0], False
 
 
@@ -124,9 +147,10 @@ def spans_of(text: str, models: MarkovModels, min_score: float, min_mean: float)
     """(start, kind index, end): the base spans, and tokens that the models call
     random outside of them."""
     base = [(start, kind, end) for start, kind, _, _, end in base_matches(text)]
+    known = Reach(base)
     added = []
     for m in TOKEN.finditer(text):
-        if any(s <= m.start() and m.end() <= e for s, _, e in base):
+        if known.holds(m.start(), m.end()):
             continue
         score = models.score(m[0])
         if score >= min_score and score >= min_mean * len(m[0]):
