@@ -141,10 +141,7 @@ def mix_sources(
 
     # permuted blocks of each source and the tokens before each
     blocks = dealt(narrow).groupBy("source", "block", "full", "rest", "blocks").agg(F.sum("tokens").alias("block_tokens"))
-    order = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), F.lit("block"), "block", "full"), "block")
-    blocks = blocks.withColumn("block_rank", F.row_number().over(order) - 1).withColumn(
-        "before", F.sum("block_tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("block_tokens")
-    )
+    blocks = _ranked(blocks.withColumn("place", F.xxhash64(F.lit(seed), F.lit("block"), "block", "full")))
     whole = (F.col("before") + F.col("block_tokens") <= F.col("rest")).alias("whole")
     edge = ((F.col("before") < F.col("rest")) & ~(F.col("before") + F.col("block_tokens") <= F.col("rest"))).alias("edge")
     blocks = staged(blocks.select(F.col("source").alias("of"), F.col("block").alias("of_block"), "block_rank", "before", whole, edge), "mix-blocks")
@@ -170,6 +167,28 @@ def mix_sources(
     )
 
 
+def _ranked(blocks: DataFrame) -> DataFrame:
+    """Rank of each block in its source by (place, block), and the tokens before it.
+
+    The places of a source are cut into as many equal stretches as the square
+    root of its blocks: running sums go over the stretches, then within each,
+    so that no task orders all blocks of a large source."""
+    stretches = F.ceil(F.sqrt("blocks"))
+    at = F.col("place") / F.lit(2.0**64) + F.lit(0.5)  # grows with the place
+    blocks = blocks.withColumn("stretch", F.least(F.floor(at * stretches), stretches - 1).cast("long"))
+    past = Window.unboundedPreceding
+    along = Window.partitionBy("of").orderBy("in_stretch").rowsBetween(past, -1)
+    sums = blocks.groupBy(F.col("source").alias("of"), F.col("stretch").alias("in_stretch")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("block_tokens").alias("t")
+    )
+    sums = sums.select("of", "in_stretch", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("n0"), F.coalesce(F.sum("t").over(along), F.lit(0)).alias("t0"))
+    within = Window.partitionBy("source", "stretch").orderBy("place", "block")
+    upto = F.sum("block_tokens").over(within.rowsBetween(past, Window.currentRow))
+    blocks = blocks.withColumn("rank", F.row_number().over(within) - 1).withColumn("upto", upto - F.col("block_tokens"))
+    joined = blocks.join(sums, F.col("source").eqNullSafe(F.col("of")) & (F.col("stretch") == F.col("in_stretch"))).drop("of", "in_stretch")
+    return joined.withColumn("block_rank", F.col("n0") + F.col("rank")).withColumn("before", F.col("t0") + F.col("upto"))
+
+
 def realise(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as the mixture takes
     it, with the columns of ``docs``."""
