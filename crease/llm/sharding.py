@@ -2,11 +2,10 @@
 
 Groups of equal texts are indivisible.  Differencing keeps partial partitions
 (``shards`` subset sizes each) and repeatedly combines the two with the largest
-spread, the largest subset of one with the smallest of the other.  It runs on
-two levels: each bucket of groups (dealt by text digest, about
-``bucket_groups`` each) is differenced into one partial partition on an
-executor; then the buckets' partial partitions, a few numbers each, are
-differenced among themselves.
+spread, the largest subset of one with the smallest of the other.  It runs in
+levels, all on executors: each bucket of groups (dealt by text digest, about
+``bucket_groups`` each) is differenced into one partial partition; then the
+partial partitions, a few numbers each, ``fan`` at a time, until one is left.
 """
 
 from __future__ import annotations
@@ -14,9 +13,8 @@ from __future__ import annotations
 import heapq
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from crease.llm.common import staged
 
@@ -82,6 +80,45 @@ def _difference_buckets(shards: int):
     return run
 
 
+def _difference_partials(shards: int):
+    """Per parent: the subset of it that each subset of its partial partitions
+    joins, as (bucket, subset, parent, joins, size)."""
+
+    def run(key, table):
+        by_bucket: dict[int, list[int]] = {}
+        for bucket, subset, size in zip(*(table.column(c).to_pylist() for c in ("bucket", "subset", "size"))):
+            by_bucket.setdefault(bucket, [0] * shards)[subset] = size
+        names = sorted(by_bucket)
+        _, where = difference([by_bucket[b] for b in names])
+        rows = [(b, s, key[0].as_py(), w[s], by_bucket[b][s]) for b, w in zip(names, where) for s in range(shards)]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("bucket", "subset", "parent", "joins", "size"), zip(*rows), kinds)})
+
+    return run
+
+
+def shard_of_subset(local: DataFrame, shards: int, buckets: int, fan: int) -> DataFrame:
+    """(bucket, subset, shard): the buckets' partial partitions (``local``:
+    bucket, subset, size) differenced level by level, then followed back."""
+    partials = local.groupBy("bucket", "subset").agg(F.sum("size").alias("size"))
+    levels = []
+    while buckets > 1:
+        joined = partials.withColumn("of", F.floor(F.col("bucket") / F.lit(fan))).groupBy("of")
+        level = staged(
+            joined.applyInArrow(_difference_partials(shards), "bucket long, subset int, parent long, joins int, size long"), "partials"
+        )
+        levels.append(level)
+        partials = level.groupBy(F.col("parent").alias("bucket"), F.col("joins").alias("subset")).agg(F.sum("size").alias("size"))
+        buckets = -(-buckets // fan)
+    if not levels:
+        return partials.select("bucket", "subset", F.col("subset").alias("shard"))
+    place = levels.pop().select("bucket", "subset", F.col("joins").alias("shard"))
+    while levels:
+        above = place.select(F.col("bucket").alias("parent"), F.col("subset").alias("joins"), "shard")
+        place = levels.pop().join(above, ["parent", "joins"]).select("bucket", "subset", "shard")
+    return place
+
+
 def shard_by_bytes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -89,6 +126,7 @@ def shard_by_bytes(
     shards: int = 8,
     bucket_groups: int = 20_000,
     slot_rows: int = 100_000,
+    fan: int = 2_000,
 ) -> DataFrame:
     """(id_col, size, text_crc32, law, shard, slot, grown_shard), a row per row.
 
@@ -99,7 +137,6 @@ def shard_by_bytes(
     ids keep a slot each; other columns are not read; an empty table gives an
     empty table.  text_crc32 of a null text is null.
     """
-    spark = docs.sparkSession
     text = F.col(text_col)
     rows = docs.select(
         F.col(id_col).alias("id"),
@@ -115,30 +152,18 @@ def shard_by_bytes(
         dealt.groupBy("bucket").applyInArrow(_difference_buckets(shards), "bucket long, digest string, subset int, size long"),
         "subsets",
     )
-    # at most buckets x shards numbers, one per 20,000 groups and shard
-    sums = local.groupBy("bucket", "subset").agg(F.sum("size").alias("size")).collect()
-    by_bucket: dict[int, list[int]] = {}
-    for r in sorted(sums, key=lambda r: (r["bucket"], r["subset"])):
-        by_bucket.setdefault(r["bucket"], [0] * shards)[r["subset"]] = r["size"]
-    names = sorted(by_bucket)
-    where = difference([by_bucket[b] for b in names])[1] if names else []
-    place = [(b, s, w[s]) for b, w in zip(names, where) for s in range(shards)]
-    schema = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("subset", T.IntegerType()), T.StructField("shard", T.IntegerType())])
-    of_group = local.join(spark.createDataFrame(place, schema), ["bucket", "subset"]).select("digest", "shard")
+    of_group = local.join(shard_of_subset(local, shards, buckets, fan), ["bucket", "subset"]).select("digest", "shard")
     placed = staged(rows.join(of_group, "digest"), "placed")
 
     # slots: dense within (stretch, shard), shifted by the stretches before
     total = placed.count()
     stretches = max(1, -(-total // slot_rows))
     placed = placed.withColumn("stretch", F.pmod(F.xxhash64("id", "digest"), F.lit(stretches)))
-    per = placed.groupBy("stretch", "shard").agg(F.count(F.lit(1)).alias("n")).collect()  # stretches x shards numbers
-    shift, run = [], [0] * shards
-    for r in sorted(per, key=lambda r: (r["stretch"], r["shard"])):
-        shift.append((r["stretch"], r["shard"], run[r["shard"]]))
-        run[r["shard"]] += r["n"]
-    schema = T.StructType([T.StructField("stretch", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("shift", T.LongType())])
-    within = F.expr("row_number() over (partition by stretch, shard order by id, digest)")
-    numbered = placed.withColumn("rank", within).join(spark.createDataFrame(shift, schema), ["stretch", "shard"])
+    before = Window.partitionBy("shard").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    per = placed.groupBy("stretch", "shard").agg(F.count(F.lit(1)).alias("n"))  # a row for about slot_rows rows and shard
+    shift = per.select("stretch", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    within = F.row_number().over(Window.partitionBy("stretch", "shard").orderBy("id", "digest"))
+    numbered = placed.withColumn("rank", within).join(shift, ["stretch", "shard"])
     return numbered.select(
         F.col("id").alias(id_col),
         "size",

@@ -380,7 +380,7 @@ def test_differencing_keeps_sums_and_balances():
 def test_shards(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     for df, groups in ((docs, 20_000), (docs, 100), (odd, 3)):
-        got = sharding.shard_by_bytes(df, bucket_groups=groups, slot_rows=150).collect()
+        got = sharding.shard_by_bytes(df, bucket_groups=groups, slot_rows=150, fan=3).collect()
         texts = Counter((r["doc_id"], r["text"]) for r in df.collect())
         assert len(got) == sum(texts.values())
         for s in {r["shard"] for r in got}:
@@ -474,3 +474,18 @@ def test_url_model_learns(spark):
 def test_url_query_runs_no_python(spark):
     plan = QUERIES["op10_url_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_spans_of_many_matches_equal_a_plain_search():
+    """Containment and overlap by bisection agree with a look at every span."""
+    import random
+
+    draw = random.Random(7)
+    for _ in range(300):
+        spans = sorted((s := draw.randrange(60), 0, s + draw.randrange(1, 20)) for _ in range(draw.randrange(8)))
+        reach = secret_scan.Reach(spans)
+        for _ in range(20):
+            a = draw.randrange(70)
+            b = a + draw.randrange(1, 15)
+            assert reach.holds(a, b) == any(s <= a and b <= e for s, _, e in spans)
+            assert reach.meets(a, b) == any(s < b and a < e for s, _, e in spans)
