@@ -29,6 +29,8 @@ from crease.llm.common import shared
 
 WORDS = re.compile(r"\w+")
 BLOCKS = 8
+MAX_CELLS = 1 << 24  # window and item pairs marked at a time
+MAX_ITEMS = 1 << 15  # of a group: an item takes 2 KB in the multi-index
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -165,7 +167,7 @@ class BenchmarkIndex:
     def _search_stretch(self, group: _Items, codes: np.ndarray, offset: int, threshold: float, best: dict) -> None:
         s = _shingles(codes, group.width)
         per = group.words - group.width + 1
-        step = 1 << 14  # windows at a time
+        step = max(1, min(1 << 14, MAX_CELLS // len(group.ids)))  # windows at a time
         for a in range(0, len(s) - per + 1, step):
             part = s[a : a + step + per - 1]
             total = np.concatenate((np.zeros((1, 64), dtype=np.int32), np.cumsum(_signs(part), axis=0, dtype=np.int32)))
@@ -194,11 +196,12 @@ def _stretches(anchors: np.ndarray, size: int, width: int, n: int):
 
 
 def _item_groups(benchmark: DataFrame, item_col: str, item_text: str, max_bytes: int):
-    """The benchmark in groups of about ``max_bytes`` of text, so that what is
-    sent to the executors stays bounded however large the benchmark is."""
+    """The benchmark in groups of about ``max_bytes`` of text and MAX_ITEMS items,
+    so that what is sent to the executors stays bounded however large the
+    benchmark and however short its items are."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).filter("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, -(-int(total) // max_bytes))
+    n, total = items.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    groups = max(1, -(-int(total or 0) // max_bytes), -(-n // MAX_ITEMS))
     for g in range(groups):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(groups)) == g)
         yield [(r["item"], r["text"]) for r in part.collect()]
