@@ -30,6 +30,7 @@ from crease.llm.common import run_bounds, staged
 from crease.llm.suffix_arrays import common_prefixes, join_strings, suffix_array
 
 GRAM = 32
+HOT_KEYS = 200  # a key with more than this share of all windows is hot: there are fewer such keys
 CHUNK = 1 << 20  # start positions handled at a time, so that long texts need bounded memory
 _BASE = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15)  # odd: invertible modulo 2^64
 _powers: dict = {}
@@ -266,6 +267,16 @@ def removed_spans(lo: np.ndarray, hi: np.ndarray, length: int) -> tuple[np.ndarr
     return begin[at], end[np.append(at[1:] - 1, len(end) - 1)]
 
 
+def _hot_join(rows: DataFrame, by_key: DataFrame, on: list[str], key: str, hot: list[int]) -> DataFrame:
+    """Inner join of ``rows`` with ``by_key``, which has a row for each key.  Rows
+    of the ``hot`` keys, fewer than HOT_KEYS, stay where they are and meet a
+    broadcast of those keys, so that no task gets all rows of one."""
+    if not hot:
+        return rows.join(by_key, on)
+    is_hot = F.col(key).isin(hot)
+    return rows.filter(~is_hot).join(by_key.filter(~is_hot), on).unionByName(rows.filter(is_hot).join(F.broadcast(by_key.filter(is_hot)), on))
+
+
 def repeated_stretches(texts: DataFrame, length: int, shard_windows: int = 2048) -> DataFrame:
     """``texts``: (text string, key binary: equal for equal texts alone).  Returns
     (key, stretches array<struct<lo, hi>>) for every key with repeated strings:
@@ -275,8 +286,11 @@ def repeated_stretches(texts: DataFrame, length: int, shard_windows: int = 2048)
         texts.filter(F.octet_length("text") >= length).select("text", "key").mapInArrow(_windows(length), "anchor long, window long, text binary, lo int, hi int"),
         "windows",
     )
-    anchors = windows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("window").alias("a"), F.max("window").alias("b")).filter("n > 1")
-    hits = staged(windows.join(anchors.select("anchor", (F.col("a") != F.col("b")).alias("varied")), "anchor"), "hits")
+    anchors = windows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("window").alias("a"), F.max("window").alias("b"))
+    anchors = staged(anchors.filter("n > 1").select("anchor", "n", (F.col("a") != F.col("b")).alias("varied")), "anchors")
+    many = max(shard_windows, windows.count() // HOT_KEYS)  # windows of a key that is hot
+    hot = [r["anchor"] for r in anchors.filter(F.col("n") > many).select("anchor").collect()]  # fewer than HOT_KEYS
+    hits = staged(_hot_join(windows, anchors.drop("n"), ["anchor"], "anchor", hot), "hits")
 
     # one window of each text, of the anchors that have different ones
     variants = hits.filter("varied").groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("text", "lo", "hi")).alias("one"))
@@ -302,7 +316,9 @@ def repeated_stretches(texts: DataFrame, length: int, shard_windows: int = 2048)
     ranges = ranges.groupBy("anchor", "window").agg(F.collect_list(F.arrays_zip("starts", "ends")).alias("r"))
     ranges = ranges.select("anchor", "window", F.flatten("r").alias("r"))
 
-    some = hits.filter("varied").join(ranges, ["anchor", "window"]).select("text", "lo", F.explode("r").alias("r"))
+    hot = [r["window"] for r in variants.filter(F.col("n") > many).select("window").distinct().collect()]  # fewer than HOT_KEYS
+    some = _hot_join(hits.filter("varied"), staged(ranges, "ranges"), ["anchor", "window"], "window", hot)
+    some = some.select("text", "lo", F.explode("r").alias("r"))
     some = some.select("text", (F.col("lo") + F.col("r.starts")).alias("s"), (F.col("lo") + F.col("r.ends")).alias("e"))
     every = hits.filter("not varied").select("text", F.col("lo").alias("s"), F.col("hi").alias("e")).unionByName(some)
     # copies of a text have the same stretches: a set is bounded by the text
