@@ -358,7 +358,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("key"))
-    found = repeated_stretches(rows, length, shard_windows).withColumnRenamed("key", "of")
+    # a table of its own, so that adaptive execution can split a text with very many copies
+    found = staged(repeated_stretches(rows, length, shard_windows).withColumnRenamed("key", "of"), "stretches")
     joined = rows.join(found, F.col("key") == F.col("of"), "left").select("id", "text", "stretches")
     kind = docs.schema[id_col].dataType.simpleString()
     out = joined.mapInArrow(_strip(length), f"id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string")
