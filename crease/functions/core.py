@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ def built_once(fn):
         session = SparkSession.getActiveSession()
         try:
             key = session.sparkContext.applicationId if session is not None else None
-        except Exception:
+        except PySparkAttributeError:  # a client session
             key = None
         if key is None:
             return fn()

@@ -3,10 +3,10 @@ input guard (S-2) and corrupt-record quarantine (S-4)."""
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from crease.schemas import CORRUPT_COLUMN, MATCH_DOCUMENT_READ
 
 
@@ -20,7 +20,7 @@ def _has_input(df: DataFrame) -> bool:
     (a hundred million strings for a hundred million match files)."""
     try:
         return df.rdd.getNumPartitions() > 0
-    except Exception:  # a client session without an RDD view
+    except (PySparkAttributeError, PySparkNotImplementedError):  # a client session without an RDD view
         return bool(df.inputFiles())
 
 
