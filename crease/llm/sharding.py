@@ -2,10 +2,11 @@
 
 Groups of equal texts are indivisible.  Differencing keeps partial partitions
 (``shards`` subset sizes each) and repeatedly combines the two with the largest
-spread, the largest subset of one with the smallest of the other.  It runs in
-levels, all on executors: each bucket of groups (dealt by text digest, about
-``bucket_groups`` each) is differenced into one partial partition; then the
-partial partitions, a few numbers each, ``fan`` at a time, until one is left.
+spread, the largest subset of one with the smallest of the other.  It runs over all
+groups in one task.  Of more than ``bucket_groups`` groups, those that hold less
+than that share of all bytes are first packed into ``bucket_groups`` indivisible
+bundles by digest; every larger group stays an item of its own, so the items are
+at most twice ``bucket_groups`` and a heavy group meets all that can even it out.
 """
 
 from __future__ import annotations
@@ -64,61 +65,20 @@ def difference(parts: list[list[int]]) -> tuple[list[int], list[list[int]]]:
     return final, where
 
 
-def _difference_buckets(shards: int):
-    """Per bucket: the subset of each of its groups, and the subset sizes."""
+def _difference_items(shards: int):
+    """The shard of each item, over all items in one task."""
 
-    def run(key, table):
-        t = table.sort_by([("size", "descending"), ("digest", "ascending")])
-        sizes = t.column("size").to_pylist()
-        parts = [[s] + [0] * (shards - 1) for s in sizes]
-        _, where = difference(parts)
-        subset = [w[0] for w in where]
-        return pa.table(
-            {"bucket": pa.array([key[0].as_py()] * len(sizes), pa.int64()), "digest": t.column("digest"), "subset": pa.array(subset, pa.int32()), "size": t.column("size")}
-        )
+    def run(batches):
+        t = pa.Table.from_batches(batches, pa.schema([("item", pa.string()), ("size", pa.int64())]))
+        if t.num_rows:
+            t = t.sort_by([("size", "descending"), ("item", "ascending")])
+            _, where = difference([[s] + [0] * (shards - 1) for s in t.column("size").to_pylist()])
+            item = t.column("item").combine_chunks()
+            yield pa.RecordBatch.from_arrays([item, pa.array([w[0] for w in where], pa.int32())], names=["item", "shard"])
 
     return run
 
 
-def _difference_partials(shards: int):
-    """Per parent: the subset of it that each subset of its partial partitions
-    joins, as (bucket, subset, parent, joins, size)."""
-
-    def run(key, table):
-        by_bucket: dict[int, list[int]] = {}
-        for bucket, subset, size in zip(*(table.column(c).to_pylist() for c in ("bucket", "subset", "size"))):
-            by_bucket.setdefault(bucket, [0] * shards)[subset] = size
-        names = sorted(by_bucket)
-        _, where = difference([by_bucket[b] for b in names])
-        rows = [(b, s, key[0].as_py(), w[s], by_bucket[b][s]) for b, w in zip(names, where) for s in range(shards)]
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("bucket", "subset", "parent", "joins", "size"), zip(*rows), kinds)})
-
-    return run
-
-
-def shard_of_subset(local: DataFrame, shards: int, buckets: int, fan: int) -> DataFrame:
-    """(bucket, subset, shard): the buckets' partial partitions (``local``:
-    bucket, subset, size) differenced level by level, then followed back."""
-    partials = local.groupBy("bucket", "subset").agg(F.sum("size").alias("size"))
-    levels = []
-    while buckets > 1:
-        joined = partials.withColumn("of", F.floor(F.col("bucket") / F.lit(fan))).groupBy("of")
-        level = staged(
-            joined.applyInArrow(_difference_partials(shards), "bucket long, subset int, parent long, joins int, size long"), "partials"
-        )
-        levels.append(level)
-        partials = level.groupBy(F.col("parent").alias("bucket"), F.col("joins").alias("subset")).agg(F.sum("size").alias("size"))
-        buckets = -(-buckets // fan)
-    if not levels:
-        return partials.select("bucket", "subset", F.col("subset").alias("shard"))
-    place = levels.pop().select("bucket", "subset", F.col("joins").alias("shard"))
-    while levels:
-        above = place.select(F.col("bucket").alias("parent"), F.col("subset").alias("joins"), "shard")
-        place = levels.pop().join(above, ["parent", "joins"]).select("bucket", "subset", "shard")
-    return place
-
-
 def shard_by_bytes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -126,7 +86,7 @@ def shard_by_bytes(
     shards: int = 8,
     bucket_groups: int = 20_000,
     slot_rows: int = 100_000,
-    fan: int = 2_000,
+    fan: int | None = None,
 ) -> DataFrame:
     """(id_col, size, text_crc32, law, shard, slot, grown_shard), a row per row.
 
@@ -135,7 +95,8 @@ def shard_by_bytes(
     shard sizes are as near equal as indivisible groups allow.  slot: 0, 1, 2...
     within a shard, in an order drawn from id and text.  Repeated rows and null
     ids keep a slot each; other columns are not read; an empty table gives an
-    empty table.  text_crc32 of a null text is null.
+    empty table.  text_crc32 of a null text is null.  ``fan`` has no effect any
+    more (there are no levels); callers may still give it.
     """
     text = F.col(text_col)
     rows = docs.select(
@@ -145,14 +106,15 @@ def shard_by_bytes(
         F.coalesce(F.md5(text.cast("binary")), F.lit("null")).alias("digest"),
     )
     groups = staged(rows.groupBy("digest").agg(F.sum("size").alias("size")), "groups")
-    n = groups.count()
-    buckets = max(1, -(-n // bucket_groups))
-    dealt = groups.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)))
-    local = staged(
-        dealt.groupBy("bucket").applyInArrow(_difference_buckets(shards), "bucket long, digest string, subset int, size long"),
-        "subsets",
-    )
-    of_group = local.join(shard_of_subset(local, shards, buckets, fan), ["bucket", "subset"]).select("digest", "shard")
+    n, total = groups.agg(F.count(F.lit(1)), F.sum("size")).first()
+    item = F.col("digest")
+    if n > bucket_groups:
+        bundle = F.concat(F.lit("bundle "), F.pmod(F.xxhash64("digest"), F.lit(bucket_groups)).cast("string"))
+        item = F.when(F.col("size") < -(-total // bucket_groups), bundle).otherwise(item)
+    dealt = groups.withColumn("item", item)
+    items = dealt.groupBy("item").agg(F.sum("size").alias("size")).repartition(1)  # at most 2 x bucket_groups rows
+    place = staged(items.mapInArrow(_difference_items(shards), "item string, shard int"), "items")
+    of_group = dealt.join(F.broadcast(place), "item").select("digest", "shard")
     placed = staged(rows.join(of_group, "digest"), "placed")
 
     # slots: dense within (stretch, shard), shifted by the stretches before
