@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns plus character Markov models.
 
 Two first-order models over the characters of a token, one of random strings
-and one of ordinary identifiers, are trained from labelled samples; a token
-whose log-likelihood ratio is high enough is a secret.  Training counts
-transitions on the executors and returns two small matrices.
+and one of ordinary identifiers, are trained from labelled samples; a stretch of a
+token whose log-likelihood ratio is high enough is a secret, whatever ordinary
+name or path is written around it.  Training counts transitions on the executors
+and returns two small matrices.
 """
 
 from __future__ import annotations
@@ -32,7 +33,10 @@ MIN_ASSIGN, MIN_ACCESS = 8, 16
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 SYMBOLS = len(ALPHABET)
 CODE = {c: k for k, c in enumerate(ALPHABET)}
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+SEPARATORS = "/_.=-"
+PIECE = re.compile(r"[^/_.=-]+")
+MIN_TOKEN = 16
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_TOKEN)
 WORD = re.compile(r"[A-Za-z0-9+/_.=-]{4,}")
 
 
@@ -95,8 +99,78 @@ class MarkovModels:
 
     def score(self, token: str) -> float:
         """Nats by which the random model explains the token better."""
+        return float(self.gains(token).sum())
+
+    def gains(self, token: str) -> np.ndarray:
+        """The nats of each transition."""
         c = _codes(token)
-        return float(self.ratio[c[:-1], c[1:]].sum()) if len(c) > 1 else 0.0
+        return self.ratio[c[:-1], c[1:]]
+
+
+def best_stretches(gains: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """The disjoint maximal stretches [a, b) of ``gains`` (Ruzzo and Tompa) that
+    sum to ``least`` or more, by start; linear time."""
+    sums = np.concatenate(([0.0], np.cumsum(gains)))
+    if (sums - np.minimum.accumulate(sums)).max() < least:
+        return []
+    sums = sums.tolist()
+    parts: list[tuple[int, int, int]] = []  # start, end, the last part before it that starts lower (-1: none)
+    for k, gain in enumerate(gains.tolist()):
+        if gain <= 0:
+            continue
+        a, b = k, k + 1
+        while True:
+            j = len(parts) - 1
+            while j >= 0 and sums[parts[j][0]] >= sums[a]:
+                j = parts[j][2]
+            if j < 0 or sums[parts[j][1]] >= sums[b]:
+                parts.append((a, b, j))
+                break
+            a = parts[j][0]
+            del parts[j:]
+    return [(a, b) for a, b, _ in parts if sums[b] - sums[a] >= least]
+
+
+def secret_stretches(token: str, models: MarkovModels, min_score: float, min_mean: float) -> list[tuple[int, int]]:
+    """[start, end) of the parts of a token that the models call random.
+
+    A part is a maximal stretch of transitions, each less ``min_mean``, with
+    ``min_score`` nats, so that a long ordinary name between two secrets hides neither;
+    where there is none, a maximal stretch with that score and mean.  A part reaches
+    out to the separators around it, so that no end of a secret is left behind,
+    but not over pieces at its ends that are ordinary by themselves; it has
+    MIN_TOKEN characters at least."""
+    gains = models.gains(token)
+    found: list[tuple[int, int]] = []
+    for a, b in best_stretches(gains, min_score):
+        inner = [(a + x, a + y) for x, y in best_stretches(gains[a:b] - min_mean, 0.0)]
+        inner = [(x, y) for x, y in inner if gains[x:y].sum() >= min_score]
+        if not inner and gains[a:b].sum() >= min_mean * (b - a + 1):
+            inner = [(a, b)]
+        found += inner
+    out: list[tuple[int, int]] = []
+    for a, b in found:
+        a, b = _whole_pieces(token, gains, a, b + 1)
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))  # two stretches of one piece
+        else:
+            out.append((a, b))
+    return [(a, b) for a, b in out if b - a >= MIN_TOKEN]
+
+
+def _whole_pieces(token: str, gains: np.ndarray, a: int, b: int) -> tuple[int, int]:
+    """[a, b) out to the separators around it, without those at its ends and
+    without the pieces there that are ordinary by themselves."""
+    while a > 0 and token[a - 1] not in SEPARATORS:
+        a -= 1
+    while b < len(token) and token[b] not in SEPARATORS:
+        b += 1
+    pieces = [m.span() for m in PIECE.finditer(token, a, b)]
+    ordinary = [bool(gains[x : y - 1].sum() < 0) for x, y in pieces]
+    if all(ordinary):
+        return a, b
+    last = len(pieces) - 1 - ordinary[::-1].index(False)
+    return pieces[ordinary.index(False)][0], pieces[last][1]
 
 
 def labelled_strings(text: str) -> Iterator[tuple[str, bool]]:
@@ -144,17 +218,17 @@ def training_sample(docs: DataFrame, id_col: str, max_documents: int, seed: int
 
 
 def spans_of(text: str, models: MarkovModels, min_score: float, min_mean: float) -> list[tuple[int, int, int]]:
-    """(start, kind index, end): the base spans, and tokens that the models call
-    random outside of them."""
+    """(start, kind index, end): the base spans, and the parts of tokens that the
+    models call random outside of them."""
     base = [(start, kind, end) for start, kind, _, _, end in base_matches(text)]
     known = Reach(base)
     added = []
     for m in TOKEN.finditer(text):
         if known.holds(m.start(), m.end()):
             continue
-        score = models.score(m[0])
-        if score >= min_score and score >= min_mean * len(m[0]):
-            added.append((m.start(), 3, m.end()))
+        for a, b in secret_stretches(m[0], models, min_score, min_mean):
+            if not known.holds(m.start() + a, m.start() + b):
+                added.append((m.start() + a, 3, m.start() + b))
     return sorted(base + added)
 
 
