@@ -8,8 +8,11 @@ value in that ball finds all items within the radius.  Those are verified by
 the exact similarity of their weighted shingle sets (sum of the smaller counts
 over sum of the larger ones).
 
-Windows without a single shingle of the benchmark cannot be similar to an item
-and are not fingerprinted; that is the only thing skipped.
+A text of fewer words than an item is a single window.
+
+Windows without a single shingle of the benchmark, and texts with too few shingles
+for the similarity, cannot be similar to an item and are not fingerprinted; that is
+the only thing skipped.
 """
 
 from __future__ import annotations
@@ -158,7 +161,12 @@ class BenchmarkIndex:
         codes = _word_codes(words)
         best: dict[object, tuple] = {}
         for group in self.groups:
-            if group.width not in anchors or len(words) < group.words:
+            if group.width not in anchors:
+                continue
+            if len(words) < group.words:
+                # fewer shingles than the threshold's share of the item's cannot be similar enough
+                if len(words) - group.width + 1 >= threshold * (group.words - group.width + 1):
+                    self._search_stretch(group, codes, 0, threshold, best)
                 continue
             for a, b in _stretches(anchors[group.width], group.words, group.width, len(words)):
                 self._search_stretch(group, codes[a:b], a, threshold, best)
@@ -166,7 +174,7 @@ class BenchmarkIndex:
 
     def _search_stretch(self, group: _Items, codes: np.ndarray, offset: int, threshold: float, best: dict) -> None:
         s = _shingles(codes, group.width)
-        per = group.words - group.width + 1
+        per = min(group.words - group.width + 1, len(s))  # a shorter text is a window of its own
         step = max(1, min(1 << 14, MAX_CELLS // len(group.ids)))  # windows at a time
         for a in range(0, len(s) - per + 1, step):
             part = s[a : a + step + per - 1]
@@ -176,7 +184,7 @@ class BenchmarkIndex:
                 similar = weighted_similarity(Counter(part[w1 : w1 + per].tolist()), group.counts[i1])
                 if similar >= threshold:
                     start = offset + a + w1
-                    found = (group.ids[i1], start, start + group.words, d, similar)
+                    found = (group.ids[i1], start, start + per + group.width - 1, d, similar)
                     old = best.get(found[0])
                     if old is None or (-similar, start) < (-old[4], old[1]):
                         best[found[0]] = found
