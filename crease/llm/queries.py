@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import decontamination, embedding_dedup, language_id, mixing, secret_scan, sharding, simhash, suffix_dedup, url_filter, warc
+from crease.llm import decontamination, embedding_dedup, filter_audit, language_id, mixing, secret_scan, sharding, simhash, suffix_dedup, token_counts, url_filter, warc
 from crease.llm.common import load
 from crease.session import scratch_path
 
@@ -23,6 +23,8 @@ URL_RULES = [
 
 TARGET_ENTROPY = 0.95  # of the greatest possible one
 SECRET_SAMPLE = 20_000  # documents the Markov models are trained on
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +80,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=TOKEN_LIMIT)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_counts": op12_token_counts,
 }
 
 _OP2 = """WITH RECURSIVE v AS (
@@ -127,4 +141,53 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN last_id <> page_id THEN last_id END AS refers_to
 FROM p LEFT JOIN last ON d = payload_digest AND payload_bytes >= 1000"""
 
-ORACLE_SQL: dict[str, str] = {"op2_embedding_dedup": _OP2, "op3_warc": _OP3}
+_OP11 = r"""WITH RECURSIVE d AS (
+  SELECT doc_id, COALESCE(lang, '') AS part, COALESCE(text, '') AS text FROM documents
+),
+w AS (
+  SELECT doc_id, part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d
+),
+first AS (SELECT text AS t, MIN(doc_id) AS first_id FROM d GROUP BY 1),
+known AS (SELECT doc_id AS of_id, MAX(quality = 1) AS good, MAX(toxic = 1) AS toxic FROM labels GROUP BY 1),
+m AS (
+  SELECT part, COALESCE(good, false) AS good, COALESCE(toxic, false) AS toxic,
+         len(words) < 100 AS a,
+         100 * len(list_distinct(words)) < 80 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         COALESCE(first_id < doc_id, false) AS e
+  FROM w JOIN first ON t = text LEFT JOIN known ON of_id = doc_id
+),
+cells AS (
+  SELECT part, a::INT + b::INT * 2 + c::INT * 4 + d::INT * 8 + e::INT * 16 AS mask, COUNT(*) AS n,
+         COUNT(*) FILTER (good) AS good, COUNT(*) FILTER (toxic) AS toxic
+  FROM m GROUP BY ALL
+),
+orders(filter_order, active) AS (
+  SELECT '', 0
+  UNION ALL
+  SELECT filter_order || f, active + bit FROM orders, (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, bit)
+  WHERE active & bit = 0
+),
+steps AS (
+  SELECT o.filter_order, s.step, substr(o.filter_order, s.step, 1) AS f,
+         1 << (ascii(substr(o.filter_order, s.step, 1)) - 65) AS bit,
+         COALESCE((SELECT SUM(1 << (ascii(substr(o.filter_order, k, 1)) - 65)) FROM range(1, s.step) r(k)), 0)::INT AS before
+  FROM orders o, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s WHERE length(o.filter_order) = 5
+),
+run AS (
+  SELECT part, filter_order, step, f,
+         COALESCE(SUM(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+         COALESCE(SUM(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS removed,
+         COALESCE(SUM(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0) AS redundant,
+         COALESCE(SUM(n) FILTER (mask = bit), 0) AS unique_fails,
+         COALESCE(SUM(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS good_lost,
+         COALESCE(SUM(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(SUM(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM run"""
+
+ORACLE_SQL: dict[str, str] = {"op2_embedding_dedup": _OP2, "op3_warc": _OP3, "op11_filter_audit": _OP11}

@@ -1,0 +1,144 @@
+"""Prefix counts against the tokenizer library, prefix by prefix, and the
+questions answered from the table."""
+
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from crease.llm import scans, token_counts
+from crease.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SF = "/root/testdata/sf0.001"
+TEXTS = [
+    "", " ", "don're we'll can't 's 'S  'r 'll' 'lx", "áb́́c é", "각 각 ᄀ",
+    "İstanbul ΑΣ ΣΑΣ ς", "<|endoftext|>a<|startoftext|><|endoftext|", "x<|endoftext|>́y",
+    "日本語テキスト ☃☃ \U0001f600\U0001f44d\U0001f3fd", "a\x1cb\x85c\xa0d e​",
+    "</w> x</w>y <w></w></w>", "=====-----=====", "¼½² 12345 ٣٤", "ﬁ Å Å Ω K",
+    "क्षि नि", "a" * 100 + "b" * 50, "̈́ क़", "OÜ ßS  tail   ",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return token_counts.PrefixCounter(token_counts.read_tokenizer(PATH))
+
+
+def n_tokens(library, text):
+    return len(library.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_every_prefix_is_counted_as_the_library_does(counter, library, text):
+    counts = counter.counts(text)
+    assert len(counts) == len(text) and (not text or counts[-1] == n_tokens(library, text))
+    for i, c in enumerate(counts):
+        assert c in (token_counts.NO_CUT, n_tokens(library, text[: i + 1])), text[: i + 1]
+    assert sum(c == token_counts.NO_CUT for c in counts) < max(1, len(text) * 0.6)
+
+
+def test_prefixes_of_documents(spark, counter, library):
+    rng = random.Random(3)
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect():
+        text = (r["text"] or "")[:3000]
+        counts = counter.counts(text)
+        for i in rng.sample(range(len(text)), min(len(text), 12)):
+            assert counts[i] == n_tokens(library, text[: i + 1])
+
+
+def test_merges_alone_give_the_same_words(counter, library):
+    for word in ("internationalization", "xqzjkvw", "the", "a"):
+        assert counter.bpe.prefixes(word)[-1] == len(counter.bpe.merged(word, True)) == n_tokens(library, word)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rows = [(k, t, 1, "x", 2) for k, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, piece int, counts string, tokens int")
+    return token_counts.prefix_table(docs, token_counts.read_tokenizer(PATH), piece=16).cache()
+
+
+def test_truncation(table, library):
+    for limit in (0, 1, 4, 30):
+        for r in token_counts.truncated(table, limit).collect():
+            text = TEXTS[r["id"]]
+            assert r["n_chars"] == len(text) and r["cut_tokens"] <= limit
+            assert r["cut_tokens"] == n_tokens(library, text[: r["cut_chars"]])
+            longer = [i for i in range(r["cut_chars"] + 1, len(text) + 1) if n_tokens(library, text[:i]) <= limit]
+            assert not longer or all(0x300 <= ord(text[i]) for i in longer if i < len(text)) and longer[-1] < len(text)
+
+
+def test_counts_of_single_prefixes(spark, table, library):
+    asked = [(k, n) for k, t in enumerate(TEXTS) for n in (-1, 0, 1, 15, 16, 17, len(t), len(t) + 1)] + [(99, 1), (None, 1), (3, None)]
+    got = token_counts.tokens_of(table, spark.createDataFrame(asked, "id long, chars long"), piece=16).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        text = TEXTS[r["id"]] if r["id"] is not None and r["id"] < len(TEXTS) else None
+        if text is None or r["chars"] is None or r["chars"] > len(text):
+            assert r["n_tokens"] is None
+        elif r["n_tokens"] is not None:
+            assert r["n_tokens"] == n_tokens(library, text[: max(0, r["chars"])])
+
+
+@pytest.mark.parametrize("budget", [0, 1, 40, 75, 10_000])
+def test_budget_takes_texts_in_order(table, library, budget):
+    got = token_counts.within_budget(table, budget).orderBy("id").collect()
+    assert [r["id"] for r in got] == list(range(len(TEXTS)))
+    before = 0
+    for r, text in zip(got, TEXTS):
+        total = n_tokens(library, text)
+        assert r["before"] == before and r["n_tokens"] == total
+        assert r["taken"] == n_tokens(library, text[: r["cut_chars"]]) <= max(0, budget - before)
+        if before + total <= budget:
+            assert r["cut_chars"] == len(text)
+        before += total
+
+
+def test_rows_of_every_kind(spark, library):
+    long = "word " * 60_000
+    rows = [(None, None), (None, "a b"), (1, ""), (1, "a b"), (1, "a b"), (2, long)]
+    docs = spark.createDataFrame([(*r, 5, True) for r in rows], "doc_id long, text string, n_tokens int, last boolean")
+    got = token_counts.count_tokens(docs, PATH, limit=2).collect()
+    assert sorted([(r["doc_id"] or 0, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in got]) == sorted(
+        (k or 0, len(t or ""), n_tokens(library, t or ""), n_tokens(library, t or "") > 2) for k, t in rows
+    )
+    assert token_counts.count_tokens(docs.limit(0), PATH).collect() == []
+
+
+def test_query_counts_as_the_library(spark, library):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = QUERIES["op12_token_counts"](spark, SF)
+    assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    rows = got.collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n = n_tokens(library, texts[r["doc_id"]])
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(texts[r["doc_id"]].encode()), n, n > 2048)
+
+
+@pytest.mark.parametrize("bits", [None, 20])
+def test_running_sums(spark, bits):
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 2, 2, 2, 2, 2, 2, 7, 9]), k, rng.randrange(1 << 20), k % 5) for k in range(5000)]
+    df = spark.createDataFrame(rows, "s long, k long, v long, w long").repartition(7)
+    got = scans.running_sums(df, ["s", "k"], ["v", "w"], segment="s", bits=bits).collect()
+    want, sums = {}, {}
+    for s, k, v, w in sorted(rows):
+        a, b = sums.get(s, (0, 0))
+        a, b = a + v, b + w
+        sums[s] = (a % (1 << bits), b % (1 << bits)) if bits else (a, b)
+        want[k] = sums[s]
+    assert {r["k"]: (r["v_upto"], r["w_upto"]) for r in got} == want
+    every = scans.running_sums(df.select("k", "w"), ["k"], ["w"]).agg(F.max("w_upto")).first()[0]
+    assert every == sum(r[3] for r in rows)
+    assert scans.running_sums(df.limit(0), ["s", "k"], ["v"], segment="s").collect() == []
