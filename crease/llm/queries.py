@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import decontamination, embedding_dedup, filter_audit, language_id, mixing, secret_scan, sharding, simhash, suffix_dedup, token_counts, url_filter, warc
+from crease.llm import conversation_trie, decontamination, embedding_dedup, filter_audit, language_id, mixing, secret_scan, sharding, simhash, suffix_dedup, token_counts, url_filter, warc
 from crease.llm.common import load
 from crease.session import scratch_path
 
@@ -90,6 +90,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=TOKEN_LIMIT)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(load(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
     "op11_filter_audit": op11_filter_audit,
     "op12_token_counts": op12_token_counts,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 _OP2 = """WITH RECURSIVE v AS (
@@ -190,4 +195,58 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(SUM(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
 FROM run"""
 
-ORACLE_SQL: dict[str, str] = {"op2_embedding_dedup": _OP2, "op3_warc": _OP3, "op11_filter_audit": _OP11}
+# crc32 of the few bytes of a decimal number, bit by bit over the reflected polynomial 0xEDB88320
+_OP13 = r"""WITH RECURSIVE convs AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+crc(conv_id, k, c) AS (
+  SELECT conv_id, 0, 4294967295::BIGINT FROM convs
+  UNION ALL
+  SELECT conv_id, k + 1, list_reduce(
+    list_prepend(xor(c, ascii(substr(conv_id::VARCHAR, k + 1, 1))), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+  FROM crc WHERE k < length(conv_id::VARCHAR)
+),
+h AS (SELECT conv_id, xor(c, 4294967295) % 6 AS h FROM crc WHERE k = length(conv_id::VARCHAR)),
+t AS (
+  SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''), COALESCE(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+r AS (
+  SELECT h.conv_id, 0 AS own, pos, role, text FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 100 AND pos <= h
+  UNION ALL
+  SELECT h.conv_id, 1, pos, role, text FROM h JOIN t ON t.conv_id = h.conv_id AND pos > h
+),
+seq AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS d FROM r
+),
+keyed AS (
+  SELECT conv_id, d, length(text) AS chars,
+         list(md5(role || chr(1) || text)) OVER (PARTITION BY conv_id ORDER BY d) AS key
+  FROM seq
+),
+node AS (
+  SELECT d, key, md5(array_to_string(key, '')) AS id, CASE WHEN d > 1 THEN md5(array_to_string(key[:d - 1], '')) ELSE 'root' END AS up,
+         MIN(conv_id) AS conv_id, COUNT(*) AS n, MIN(chars) AS chars
+  FROM keyed GROUP BY d, key
+  UNION ALL
+  SELECT 0, [], 'root', NULL, MIN(conv_id), COUNT(*), 0 FROM convs HAVING COUNT(*) > 0
+),
+ends AS (
+  SELECT id, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT c.conv_id, COALESCE((SELECT md5(array_to_string(arg_max(k.key, k.d), '')) FROM keyed k WHERE k.conv_id = c.conv_id), 'root') AS id FROM convs c)
+  GROUP BY id
+),
+kids AS (SELECT up AS id, COUNT(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up),
+above(id, anc) AS (
+  SELECT id, id FROM node UNION ALL SELECT above.id, node.up FROM above JOIN node ON node.id = above.anc WHERE node.up IS NOT NULL
+),
+sums AS (
+  SELECT anc AS id, COUNT(*) FILTER (kids.id IS NULL) AS n_leaves, SUM((n - 1) * chars) AS saved_tokens
+  FROM above JOIN node ON node.id = above.id LEFT JOIN kids ON kids.id = above.id GROUP BY anc
+)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(node.n AS BIGINT) AS n_convs,
+       CAST(COALESCE(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(COALESCE(ids, '')) AS ends_sha256
+FROM node JOIN sums ON sums.id = node.id LEFT JOIN kids ON kids.id = node.id LEFT JOIN ends ON ends.id = node.id LEFT JOIN node p ON p.id = node.up"""
+
+ORACLE_SQL: dict[str, str] = {"op2_embedding_dedup": _OP2, "op3_warc": _OP3, "op11_filter_audit": _OP11, "op13_conversation_trie": _OP13}

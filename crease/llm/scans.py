@@ -79,3 +79,52 @@ def running_sums(df: DataFrame, order: list[str], values: list[str], segment: st
         total = F.col(f"{v}_upto") + F.when(F.col("__open"), F.col(n)).otherwise(F.lit(0))
         joined = joined.withColumn(f"{v}_upto", total.bitwiseAND(F.lit(mask)) if mask else total)
     return joined.drop("__part", "__row", "__open", *names)
+
+
+def _local_next(segment: list[str], value: str):
+    def run(batches):
+        part, held = TaskContext.get().partitionId(), None
+        first = True
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b] if held is None else [held, b])
+            keys = [t.column(s).to_numpy() for s in segment]
+            same = np.ones(t.num_rows - 1, dtype=bool)
+            for k in keys:
+                same &= k[1:] == k[:-1]
+            nxt = pa.array(t.column(value).to_numpy()[1:], mask=~same)
+            body = t.slice(0, t.num_rows - 1).combine_chunks()
+            if body.num_rows:
+                begins = np.zeros(body.num_rows, dtype=bool)
+                begins[0], first = first, False
+                yield from _with(body, nxt, part, begins, False)
+            held = t.slice(t.num_rows - 1).combine_chunks().to_batches()[0]
+        if held is not None:
+            yield from _with(pa.Table.from_batches([held]), pa.array([None], pa.int64()), part, np.array([first]), True)
+
+    def _with(t, nxt, part, begins, ends):
+        n = t.num_rows
+        t = t.append_column("__next", nxt).append_column("__part", pa.array(np.full(n, part, dtype=np.int32)))
+        t = t.append_column("__begins", pa.array(begins)).append_column("__ends", pa.array(np.full(n, ends)))
+        return t.combine_chunks().to_batches()
+
+    return run
+
+
+def next_values(df: DataFrame, segment: list[str], value: str, into: str, name: str = "next") -> DataFrame:
+    """``df`` and ``into``: the next larger ``value`` (longs, distinct in a segment)
+    of the rows with the same ``segment`` (longs); null for the largest."""
+    spark = df.sparkSession
+    order = [*segment, value]
+    rows = df.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    kinds = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+    local = staged(rows.mapInArrow(_local_next(segment, value), f"{kinds}, __next long, __part int, __begins boolean, __ends boolean"), name)
+    key = [*segment, value]
+    edges = local.filter("__begins or __ends").select("__part", "__begins", "__ends", *key).collect()  # two rows per partition
+    begin = sorted((r["__part"], tuple(r[k] for k in key)) for r in edges if r["__begins"])
+    end = {r["__part"]: tuple(r[k] for k in key) for r in edges if r["__ends"]}
+    found = [(p, after[-1]) for (p, _), (_, after) in zip(begin, begin[1:]) if end[p][:-1] == after[:-1]]
+    joined = local.join(F.broadcast(spark.createDataFrame(found, "__part int, __after long")), "__part", "left")
+    nxt = F.when(F.col("__ends"), F.col("__after")).otherwise(F.col("__next"))
+    return joined.withColumn(into, nxt).drop("__next", "__part", "__begins", "__ends", "__after")
