@@ -28,21 +28,22 @@ from crease.llm.common import shared
 from crease.llm.scans import running_sums
 
 PIECE = 1 << 16  # prefixes in a row of the table
-MEMO = 400_000  # words and prefixes remembered by a task, which then starts anew
+MEMO = 400_000  # words (twice) and prefixes remembered by a worker
 MEMO_CHARS = 32  # longest remembered prefix
+WORD_CHARS = 60  # a word up to this length has fewer than 256 tokens
 NO_CUT = -1  # a place inside characters that are normalised together
 
 
-_SHORT = (2, 1)  # sizes of tokens that any symbols may end with
+_SHORT = (3, 2, 1)  # sizes of tokens that any symbols may end with
 
 
 def _sizes(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
-    """Sizes that a token can have where a word's prefix ends with these symbols, the last three at most."""
+    """Sizes that a token can have where a word's prefix ends with these four symbols."""
     found: dict[str, set[int]] = {}
     for symbols in tokens:
-        if len(symbols) >= 3:
-            found.setdefault(symbols[-3:], set()).add(len(symbols))
-    return {tail: (*sorted(sizes, reverse=True), *_SHORT) for tail, sizes in found.items()}
+        if len(symbols) >= 4:
+            found.setdefault(symbols[-4:], set()).add(len(symbols))
+    return {tail: (*_SHORT, *sorted(sizes)) for tail, sizes in found.items()}
 
 
 class Bpe:
@@ -56,7 +57,8 @@ class Bpe:
         self.final: dict[str, int] = {}  # symbols -> token that ends one
         self.symbols: dict[int, str] = {}
         self.ends: set[int] = set()
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], tuple[int, int]] = {}  # pair -> place of its merge and token made
+        self.parts: dict[int, tuple[int, int, int]] = {}  # token -> place of its merge and the pair
         for c in (c for c in vocab if len(c) == 1):
             self.inner[c] = vocab[c]
             self.symbols[vocab[c]] = c
@@ -69,6 +71,7 @@ class Bpe:
             if made in self.symbols:
                 raise ValueError(f"two merges make {symbols!r}")
             self.rank[left, right] = (k, made)
+            self.parts[made] = (k, left, right)
             if right in self.ends:
                 self._end(made, symbols)
             else:
@@ -78,7 +81,7 @@ class Bpe:
             self.final = self.inner
         self.suffix = suffix
         self.inner_sizes, self.final_sizes = _sizes(self.inner), _sizes(self.final)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by before << 32 | token
         self.states: dict[str, tuple[int, int, int]] = {}
 
     def _end(self, token: int, symbols: str) -> None:
@@ -100,49 +103,88 @@ class Bpe:
         return ids
 
     def fit(self, before: int, token: int) -> bool:
-        """Whether ``token`` can follow ``before`` (-1: begins the word)."""
-        known = self.fits.get((before, token))
-        if known is None:
-            if len(self.fits) > 5 * MEMO:
-                self.fits.clear()
-            symbols = self.symbols[token] if before < 0 else self.symbols[before] + self.symbols[token]
-            known = self.merged(symbols, token in self.ends) == ([token] if before < 0 else [before, token])
-            self.fits[before, token] = known
+        """Whether ``token`` can follow ``before`` (-1: begins the word); remembered."""
+        if before < 0:
+            known = self.merged(self.symbols[token], token in self.ends) == [token]
+        else:
+            known = not self.crosses(before, token)
+        if len(self.fits) > 3 * MEMO:
+            self.fits.clear()
+        self.fits[before << 32 | token] = known
         return known
 
+    def crosses(self, left: int, right: int) -> bool:
+        """Whether merges join the two sides: undo the merges at their border, the latest
+        first, and see if the pair met there would have been merged before the one undone.
+        Of equal merges the left one comes first."""
+        undone, of_left = len(self.rank), False
+        while True:
+            meet = self.rank.get((left, right))
+            if meet is not None and (meet[0] < undone or meet[0] == undone and not of_left):
+                return True
+            made_left, made_right = self.parts.get(left), self.parts.get(right)
+            if made_left is None and made_right is None:
+                return False
+            of_left = made_right is None or made_left is not None and made_left[0] > made_right[0]
+            if of_left:
+                undone, left = made_left[0], made_left[2]
+            else:
+                undone, right = made_right[0], made_right[1]
+
+    def last_token(self, word: str, i: int, last: list[int], tokens: dict[str, int], sizes: dict[str, tuple[int, ...]]) -> tuple[int, int]:
+        """The token of ``tokens`` that ends word[:i] and fits the one before it, and where it begins."""
+        fits = self.fits
+        for size in sizes.get(word[i - 4 : i], _SHORT) if i >= 4 else _SHORT[-i:]:
+            at = i - size
+            if at >= 0:
+                token = tokens.get(word[at:i])
+                if token is not None:
+                    fit = fits.get(last[at] << 32 | token)
+                    if fit or fit is None and self.fit(last[at], token):
+                        return token, at
+        raise ValueError(f"no encoding of {word[:i]!r}")
+
     def prefixes(self, word: str) -> list[int]:
         """Tokens of word[:1], word[:2], ... where each ends a word."""
-        states, inner, final = self.states, self.inner, self.final
+        states = self.states
         last, count, out = [-1], [0], []
         for i in range(1, len(word) + 1):
-            state = states.get(word[:i]) if i <= MEMO_CHARS else None
+            prefix = word[:i] if i <= MEMO_CHARS else ""
+            state = states.get(prefix)
             if state is None:
-                tail, token, at = word[max(0, i - 3) : i], None, 0
-                for size in self.inner_sizes.get(tail, _SHORT):
-                    at = i - size
-                    token = inner.get(word[at:i]) if at >= 0 else None
-                    if token is not None and self.fit(last[at], token):
-                        break
-                state_count = count[at] + 1
-                ended = state_count
+                token, at = self.last_token(word, i, last, self.inner, self.inner_sizes)
+                state_count = ended = count[at] + 1
                 if self.suffix:
-                    for size in self.final_sizes.get(tail, _SHORT):
-                        at = i - size
-                        end = final.get(word[at:i]) if at >= 0 else None
-                        if end is not None and self.fit(last[at], end):
-                            break
-                    ended = count[at] + 1
+                    ended = count[self.last_token(word, i, last, self.final, self.final_sizes)[1]] + 1
                 state = (token, state_count, ended)
-                if i <= MEMO_CHARS:
+                if prefix:
                     if len(states) > MEMO:
                         states.clear()
-                    states[word[:i]] = state
+                    states[prefix] = state
             last.append(state[0])
             count.append(state[1])
             out.append(state[2])
         return out
 
 
+class _Words(dict):
+    """Counts of the prefixes of words, a byte each: of those met lately, as a full
+    half becomes the old one and what is met there again moves on."""
+
+    def __init__(self, count):
+        self.count, self.old = count, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self.count(word)
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class PrefixCounter:
     """Token counts of the prefixes of texts, for one tokenizer file."""
 
@@ -177,45 +219,38 @@ class PrefixCounter:
         self.simple = bool(self.library.normalizer) and self._normal("Aé") == "aé"
         # symbols of the bytes that go on with a character, from letters whose second byte takes every value
         self.inside = {self.library.pre_tokenizer.pre_tokenize_str(chr(k))[0][0][-1] for k in range(0x180, 0x1C0)}
-        self.words: dict[str, np.ndarray] = {}
+        # the symbols of each Latin character, as the library writes its bytes
+        symbols = {c: [x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(chr(c))] for c in range(256)}
+        self.latin = {c: x[0] for c, x in symbols.items() if x}
+        self.words = _Words(lambda w: bytes(self._word(w, w.rstrip())))
         self.clusters: dict[str, str] = {}
 
     def _normal(self, text: str) -> str:
         return self.library.normalizer.normalize_str(text) if self.library.normalizer else text
 
-    def _word(self, word: str, bare: str) -> np.ndarray:
+    def _word(self, word: str, bare: str) -> list[int]:
         """Counts after each character of a word, ``bare`` without the white space behind it."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        pieces = self.library.pre_tokenizer.pre_tokenize_str(bare) if bare else []
-        counts: list[int] = []
-        if pieces:
-            symbols = pieces[0][0]
-            ends = [k for k in range(len(symbols)) if k + 1 == len(symbols) or symbols[k + 1] not in self.inside]
-            tokens = self.bpe.prefixes(symbols)
-            counts = [tokens[k] for k in ends]
-            if bare[0] == "'" and 1 < len(bare) <= 3 and bare[1].isalpha():  # its prefixes are words of another kind
-                for k in range(1, len(bare)):
-                    counts[k - 1] = sum(self.bpe.prefixes(p)[-1] for p, _ in self.library.pre_tokenizer.pre_tokenize_str(bare[:k]))
-        counts += [counts[-1] if counts else 0] * (len(word) - len(bare))
-        out = np.array(counts, dtype=np.int32)
-        if len(word) <= 2 * MEMO_CHARS:
-            if len(self.words) > MEMO:
-                self.words.clear()
-            self.words[word] = out
-        return out
+        if not bare:
+            return [0] * len(word)
+        symbols = bare.translate(self.latin) if _latin(bare) else self.library.pre_tokenizer.pre_tokenize_str(bare)[0][0]
+        counts = self.bpe.prefixes(symbols)
+        if len(symbols) > len(bare):
+            counts = [n for n, after in zip(counts, [*symbols[1:], ""]) if after not in self.inside]
+        if bare[0] == "'" and 1 < len(bare) <= 3 and bare[1].isalpha():  # its prefixes are words of another kind
+            for k in range(1, len(bare)):
+                counts[k - 1] = sum(self.bpe.prefixes(p)[-1] for p, _ in self.library.pre_tokenizer.pre_tokenize_str(bare[:k]))
+        return counts + counts[-1:] * (len(word) - len(bare))
 
     def _sum(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros(0, dtype=np.int32)
-        known = self.words.get
-        parts = [w if (w := known(x)) is not None else self._word(x, x.rstrip()) for x in words]
-        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        out = np.concatenate(parts)
-        ends = np.cumsum(sizes)
-        total = out[ends - 1]
-        out += np.repeat(np.cumsum(total) - total, sizes)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        if sizes.max() <= WORD_CHARS:
+            out = np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=np.uint8).astype(np.int32)
+        else:
+            out = np.concatenate([np.frombuffer(self.words[w], dtype=np.uint8) if len(w) <= WORD_CHARS else np.array(self._word(w, w.rstrip())) for w in words]).astype(np.int32)
+        total = out[np.cumsum(sizes) - 1]
+        out += np.repeat((np.cumsum(total) - total).astype(np.int32), sizes)
         return out
 
     def _ordinary(self, text: str) -> np.ndarray:
@@ -254,7 +289,7 @@ class PrefixCounter:
         parts, base = [], 0
         for w in words:
             pieces = self.library.pre_tokenizer.pre_tokenize_str(w)
-            part = self._word(w, w) if pieces else np.zeros(len(w), dtype=np.int32)
+            part = np.array(self._word(w, w) if pieces else [0] * len(w), dtype=np.int32)
             parts.append(part + base)
             base += int(part[-1]) if len(part) else 0
         return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
