@@ -17,6 +17,8 @@ budget questions are answered from that table; no text is encoded again.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from crease.llm.common import shared
 from crease.llm.scans import running_sums
 
 PIECE = 1 << 16  # prefixes in a row of the table
-MEMO = 400_000  # words (twice) and prefixes remembered by a worker
+MEMO = 600_000  # words (twice), prefixes and pairs of tokens remembered by a worker
 MEMO_CHARS = 32  # longest remembered prefix
 WORD_CHARS = 60  # a word up to this length has fewer than 256 tokens
 NO_CUT = -1  # a place inside characters that are normalised together
@@ -82,7 +84,7 @@ class Bpe:
         self.suffix = suffix
         self.inner_sizes, self.final_sizes = _sizes(self.inner), _sizes(self.final)
         self.fits: dict[int, bool] = {}  # by before << 32 | token
-        self.states: dict[str, tuple[int, int, int]] = {}
+        self.states: dict[str, int] = {}  # prefix -> token << 16 | tokens << 8 | tokens if the word ends there
 
     def _end(self, token: int, symbols: str) -> None:
         self.final[symbols] = token
@@ -108,7 +110,7 @@ class Bpe:
             known = self.merged(self.symbols[token], token in self.ends) == [token]
         else:
             known = not self.crosses(before, token)
-        if len(self.fits) > 3 * MEMO:
+        if len(self.fits) > MEMO:
             self.fits.clear()
         self.fits[before << 32 | token] = known
         return known
@@ -131,39 +133,45 @@ class Bpe:
             else:
                 undone, right = made_right[0], made_right[1]
 
-    def last_token(self, word: str, i: int, last: list[int], tokens: dict[str, int], sizes: dict[str, tuple[int, ...]]) -> tuple[int, int]:
-        """The token of ``tokens`` that ends word[:i] and fits the one before it, and where it begins."""
-        fits = self.fits
-        for size in sizes.get(word[i - 4 : i], _SHORT) if i >= 4 else _SHORT[-i:]:
-            at = i - size
-            if at >= 0:
-                token = tokens.get(word[at:i])
-                if token is not None:
-                    fit = fits.get(last[at] << 32 | token)
-                    if fit or fit is None and self.fit(last[at], token):
-                        return token, at
-        raise ValueError(f"no encoding of {word[:i]!r}")
-
     def prefixes(self, word: str) -> list[int]:
         """Tokens of word[:1], word[:2], ... where each ends a word."""
-        states = self.states
+        states, fits, fit = self.states, self.fits, self.fit
         last, count, out = [-1], [0], []
         for i in range(1, len(word) + 1):
             prefix = word[:i] if i <= MEMO_CHARS else ""
             state = states.get(prefix)
-            if state is None:
-                token, at = self.last_token(word, i, last, self.inner, self.inner_sizes)
-                state_count = ended = count[at] + 1
-                if self.suffix:
-                    ended = count[self.last_token(word, i, last, self.final, self.final_sizes)[1]] + 1
-                state = (token, state_count, ended)
-                if prefix:
-                    if len(states) > MEMO:
-                        states.clear()
-                    states[prefix] = state
-            last.append(state[0])
-            count.append(state[1])
-            out.append(state[2])
+            if state is not None:
+                last.append(state >> 16)
+                count.append(state >> 8 & 255)
+                out.append(state & 255)
+                continue
+            tail = word[i - 4 : i] if i >= 4 else ""
+            for size in self.inner_sizes.get(tail, _SHORT):
+                at = i - size
+                if at >= 0 and (token := self.inner.get(word[at:i])) is not None:
+                    known = fits.get(last[at] << 32 | token)
+                    if known or known is None and fit(last[at], token):
+                        break
+            else:
+                raise ValueError(f"no encoding of {word[:i]!r}")
+            inside = ended = count[at] + 1
+            if self.suffix:
+                for size in self.final_sizes.get(tail, _SHORT):
+                    at = i - size
+                    if at >= 0 and (end := self.final.get(word[at:i])) is not None:
+                        known = fits.get(last[at] << 32 | end)
+                        if known or known is None and fit(last[at], end):
+                            break
+                else:
+                    raise ValueError(f"no encoding of {word[:i]!r}")
+                ended = count[at] + 1
+            if prefix:
+                if len(states) > MEMO:
+                    states.clear()
+                states[prefix] = token << 16 | inside << 8 | ended
+            last.append(token)
+            count.append(inside)
+            out.append(ended)
         return out
 
 
@@ -205,15 +213,18 @@ class PrefixCounter:
             raise ValueError("special strings that take in their surroundings are not supported")
         self.library = Tokenizer.from_str(tokenizer_json)
         self.bpe = Bpe(spec["model"])
-        self.split = regex.compile(rf"(?:{pattern})\s*|\s+")
+        # for Latin texts, with the classes spelled out
+        self.split = re.compile(_latin_classes(pattern))
+        self.white = np.array([chr(c).isspace() for c in range(256)])
         words = sorted((t["content"] for t in special), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, words))) if words else None
         one = lambda x: [x[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(x)]
-        own = lambda x: [w for w in (w.strip() for w in self.split.findall(x)) if w]
+        own = self.split.findall
         # characters that the two pattern engines, or the normaliser, see in another way
         odd = [
             c for c in map(chr, range(256))
-            if any(one(x) != own(x) for x in (c + c, "a" + c + "a", "1" + c, "." + c, c + ".")) or self._normal(c) not in (c.lower(), " ")
+            if any(one(x) != own(x) for x in (c + c, "a" + c + "a", "1" + c, "." + c, c + "."))
+            or self._normal(c) not in (c.lower(), " ") or c.isspace() != (not one(c))
         ]
         self.odd = regex.compile("[" + "".join(map(regex.escape, odd)) + "]") if odd else None
         self.simple = bool(self.library.normalizer) and self._normal("Aé") == "aé"
@@ -222,43 +233,45 @@ class PrefixCounter:
         # the symbols of each Latin character, as the library writes its bytes
         symbols = {c: [x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(chr(c))] for c in range(256)}
         self.latin = {c: x[0] for c, x in symbols.items() if x}
-        self.words = _Words(lambda w: bytes(self._word(w, w.rstrip())))
+        self.words = _Words(lambda w: bytes(self._word(w)))
         self.clusters: dict[str, str] = {}
 
     def _normal(self, text: str) -> str:
         return self.library.normalizer.normalize_str(text) if self.library.normalizer else text
 
-    def _word(self, word: str, bare: str) -> list[int]:
-        """Counts after each character of a word, ``bare`` without the white space behind it."""
-        if not bare:
-            return [0] * len(word)
-        symbols = bare.translate(self.latin) if _latin(bare) else self.library.pre_tokenizer.pre_tokenize_str(bare)[0][0]
+    def _word(self, word: str) -> list[int]:
+        """Counts after each character of a word."""
+        symbols = word.translate(self.latin) if _latin(word) is not None else self.library.pre_tokenizer.pre_tokenize_str(word)[0][0]
         counts = self.bpe.prefixes(symbols)
-        if len(symbols) > len(bare):
+        if len(symbols) > len(word):
             counts = [n for n, after in zip(counts, [*symbols[1:], ""]) if after not in self.inside]
-        if bare[0] == "'" and 1 < len(bare) <= 3 and bare[1].isalpha():  # its prefixes are words of another kind
-            for k in range(1, len(bare)):
-                counts[k - 1] = sum(self.bpe.prefixes(p)[-1] for p, _ in self.library.pre_tokenizer.pre_tokenize_str(bare[:k]))
-        return counts + counts[-1:] * (len(word) - len(bare))
-
-    def _sum(self, words: list[str]) -> np.ndarray:
+        if word[0] == "'" and 1 < len(word) <= 3 and word[1].isalpha():  # its prefixes are words of another kind
+            for k in range(1, len(word)):
+                counts[k - 1] = sum(self.bpe.prefixes(p)[-1] for p, _ in self.library.pre_tokenizer.pre_tokenize_str(word[:k]))
+        return counts
+
+    def _words_sum(self, words: list[str], white: np.ndarray) -> np.ndarray:
+        """Counts after each character of a text, ``words`` being all of it that is not
+        ``white``: behind a word the count stays."""
         if not words:
-            return np.zeros(0, dtype=np.int32)
+            return np.zeros(len(white), dtype=np.int32)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         if sizes.max() <= WORD_CHARS:
-            out = np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=np.uint8).astype(np.int32)
+            counts = np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=np.uint8)
         else:
-            out = np.concatenate([np.frombuffer(self.words[w], dtype=np.uint8) if len(w) <= WORD_CHARS else np.array(self._word(w, w.rstrip())) for w in words]).astype(np.int32)
-        total = out[np.cumsum(sizes) - 1]
-        out += np.repeat((np.cumsum(total) - total).astype(np.int32), sizes)
-        return out
+            counts = np.concatenate([np.frombuffer(self.words[w], dtype=np.uint8) if len(w) <= WORD_CHARS else np.array(self._word(w)) for w in words])
+        total = counts[np.cumsum(sizes) - 1].astype(np.int32)
+        upto = np.zeros(len(counts) + 1, dtype=np.int32)
+        upto[1:] = counts + np.repeat(np.cumsum(total, dtype=np.int32) - total, sizes)
+        return upto[np.cumsum(~white)]
 
     def _ordinary(self, text: str) -> np.ndarray:
         """Counts after each code point of a text without special strings."""
         if not text:
             return np.zeros(0, dtype=np.int32)
-        if self.simple and (text.isascii() or _latin(text)) and (self.odd is None or not self.odd.search(text)):
-            return self._sum(self.split.findall(text.lower()))
+        latin = _latin(text) if self.simple and (self.odd is None or not self.odd.search(text)) else None
+        if latin is not None:
+            return self._words_sum(self.split.findall(text.lower()), self.white[np.frombuffer(latin, dtype=np.uint8)])
         clusters = _clusters(text)
         normal = []
         for c in clusters:
@@ -270,30 +283,16 @@ class PrefixCounter:
                 self.clusters[c] = n
             normal.append(n)
         joined = "".join(normal)
-        at, words = 0, []
+        white, words = np.ones(len(joined), dtype=bool), []
         for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(joined):
-            if a > at:
-                words.append(joined[at:a])
             words.append(joined[a:b])
-            at = b
-        if at < len(joined):
-            words.append(joined[at:])
-        counts = np.concatenate([[0], self._sum_exact(words)]).astype(np.int32)
+            white[a:b] = False
+        counts = np.concatenate([[0], self._words_sum(words, white)]).astype(np.int32)
         after = counts[np.cumsum([len(n) for n in normal])]
         out = np.full(len(text), NO_CUT, dtype=np.int32)
         out[np.cumsum([len(c) for c in clusters]) - 1] = after
         return out
 
-    def _sum_exact(self, words: list[str]) -> np.ndarray:
-        """As ``_sum`` for words and white space apart, as the library cuts them."""
-        parts, base = [], 0
-        for w in words:
-            pieces = self.library.pre_tokenizer.pre_tokenize_str(w)
-            part = np.array(self._word(w, w) if pieces else [0] * len(w), dtype=np.int32)
-            parts.append(part + base)
-            base += int(part[-1]) if len(part) else 0
-        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
-
     def counts(self, text: str) -> np.ndarray:
         """Entry i: tokens of the first i + 1 code points, NO_CUT where the text
         cannot end there without changing the characters before."""
@@ -312,16 +311,23 @@ class PrefixCounter:
         return np.concatenate(out).astype(np.int32) if len(out) > 1 else out[0]
 
 
+def _latin_classes(pattern: str) -> str:
+    """The pattern for characters below U+0100: letters and numbers by name."""
+    for name, of in ((r"\p{L}", "L"), (r"\p{N}", "N")):
+        pattern = pattern.replace(name, "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == of))
+    return pattern
+
+
 def _last(counts: np.ndarray) -> int:
     return int(counts[-1]) if len(counts) else 0
 
 
-def _latin(text: str) -> bool:
+def _latin(text: str) -> bytes | None:
+    """The text as one byte a character, if it has none beyond U+00FF."""
     try:
-        text.encode("latin-1")
+        return text.encode("latin-1")
     except UnicodeEncodeError:
-        return False
-    return True
+        return None
 
 
 _joining: list = []
@@ -334,7 +340,6 @@ def _clusters(text: str) -> list[str]:
 
     if not _joining:
         import sys
-        import unicodedata
 
         second = set()
         for k in range(sys.maxunicode + 1):
