@@ -214,11 +214,14 @@ snap AS (
          CASE WHEN event_id % 101 <> 0 THEN 'Port' || CAST(event_id % 5 AS VARCHAR) || ' Blues' END AS team2,
          CASE WHEN event_type IN ('view', 'purchase') THEN 2 WHEN event_type = 'click' THEN 1
               WHEN event_type = 'error' THEN 0 END AS n_score,
-         CASE WHEN event_type = 'click' OR k % 9 <> 0 THEN CAST(floor(value) AS INTEGER) END AS r1,
-         event_id % 97 = 0 AS event_id_unreadable,
+         CASE WHEN event_type = 'click' OR k % 9 <> 0 THEN
+                (CASE WHEN event_id % 103 = 0 THEN 2147483647 ELSE CAST(floor(value) AS INTEGER) END) END AS r1,
+         event_id % 97 = 0 AS r1_unreadable,
+         event_id % 199 = 0 AS w1_unreadable,
+         event_id % 197 = 0 OR event_id % 193 = 0 AS o2_unreadable,
          k % 10 AS w1,
          CAST(20.0 AS DOUBLE) AS o1,
-         CAST(floor(value / 2) AS INTEGER) AS r2,
+         CASE WHEN event_id % 113 = 0 THEN -2147483648 ELSE CAST(floor(value / 2) AS INTEGER) END AS r2,
          CASE WHEN k % 4 <> 0 THEN k % 7 END AS w2,
          CAST(k % 25 AS DOUBLE) + 0.5 AS o2
   FROM ev
@@ -226,7 +229,8 @@ snap AS (
 checked AS (
   SELECT *, CASE WHEN match_id IS NULL THEN 'missing id' WHEN status IS NULL THEN 'missing status'
                  WHEN team1 IS NULL THEN 'missing team 1' WHEN team2 IS NULL THEN 'missing team 2'
-                 WHEN event_id_unreadable AND n_score >= 1 AND r1 IS NOT NULL THEN 'unreadable score' END AS problem
+                 WHEN n_score >= 1 AND (r1_unreadable AND r1 IS NOT NULL OR w1_unreadable) THEN 'unreadable score'
+                 WHEN n_score >= 2 AND o2_unreadable THEN 'unreadable score' END AS problem
   FROM snap
 ),
 flags AS (
@@ -252,9 +256,9 @@ rows AS (
               WHEN n_score = 1 THEN 'Yet to bat' ELSE 'Not started' END AS team2_score,
          status, is_ongoing, is_completed, venue,
          CASE WHEN n_score >= 2 THEN o2 WHEN n_score = 1 THEN o1 ELSE CAST(0.0 AS DOUBLE) END AS current_over,
-         CASE WHEN n_score >= 2 AND r1 IS NOT NULL THEN r1 + 1 ELSE 0 END AS target,
+         CASE WHEN n_score >= 2 AND r1 IS NOT NULL THEN CAST(r1 AS BIGINT) + 1 ELSE 0 END AS target,
          CASE WHEN n_score >= 2 AND r1 IS NOT NULL THEN
-                (CASE WHEN 20.0 - o2 > 0 THEN CAST((r1 + 1) - COALESCE(r2, 0) AS DOUBLE) / (20.0 - o2) ELSE CAST(0.0 AS DOUBLE) END)
+                (CASE WHEN 20.0 - o2 > 0 THEN CAST((CAST(r1 AS BIGINT) + 1) - COALESCE(r2, 0) AS DOUBLE) / (20.0 - o2) ELSE CAST(0.0 AS DOUBLE) END)
               ELSE CAST(0.0 AS DOUBLE) END AS required_rate,
          CASE WHEN NOT is_completed THEN ''
               WHEN contains(ls, 'won') AND contains(ls, last1) THEN team1
@@ -282,6 +286,7 @@ storable AS (
               WHEN length(winner) > 100 THEN 'winner longer than 100'
               WHEN length(result_margin) > 100 THEN 'result_margin longer than 100'
               WHEN """ + _dec("current_over", 4, 1) + """ IS NULL THEN 'current_over overflow'
+              WHEN target > 2147483647 THEN 'target overflow'
               WHEN """ + _dec("required_rate", 4, 2) + """ IS NULL THEN 'required_rate overflow' END AS store_problem
   FROM rows
 ),
@@ -328,6 +333,44 @@ WHERE rn = 1 AND fetched_at > {as_of} - INTERVAL 600 SECOND"""
 
 
 _LIVE_CACHE = _live_cache("(SELECT MAX(fetched_at) FROM rows)")
+
+_PAYLOAD = """CAST(to_json(struct_pack(teams := team1 || ' vs ' || team2, score1 := team1_score,
+                                score2 := team2_score, status := status)) AS VARCHAR)"""
+
+_CACHE_HISTORY = f"""{_LIVE},
+asked(as_of) AS (VALUES (TIMESTAMP '2024-01-05 06:00:00'), (TIMESTAMP '2024-01-15 12:00:00'), (TIMESTAMP '2024-01-25 18:30:00')),
+alive AS (
+  SELECT *, row_number() OVER (PARTITION BY as_of, match_id ORDER BY fetched_at DESC, seq DESC, pos DESC) AS rn
+  FROM rows JOIN asked ON fetched_at <= as_of AND fetched_at > as_of - INTERVAL 600 SECOND
+)
+SELECT as_of, 'live:' || match_id AS cache_key, {_PAYLOAD} AS payload,
+       fetched_at AS written_at, fetched_at + INTERVAL 600 SECOND AS expires_at
+FROM alive WHERE rn = 1"""
+
+_CACHE_INTERVALS = f"""{_LIVE},
+following AS (
+  SELECT *, lead(fetched_at) OVER (PARTITION BY match_id ORDER BY fetched_at, seq, pos) AS next_at FROM rows
+),
+valid AS (
+  SELECT 'live:' || match_id AS cache_key, {_PAYLOAD} AS payload, fetched_at AS valid_from,
+         least(fetched_at + INTERVAL 600 SECOND, COALESCE(next_at, fetched_at + INTERVAL 600 SECOND)) AS valid_to
+  FROM following
+)
+SELECT * FROM valid WHERE valid_from < valid_to"""
+
+_CACHE_SESSIONS = f"""{_LIVE},
+gaps AS (
+  SELECT *, CASE WHEN fetched_at < lag(fetched_at) OVER w + INTERVAL 600 SECOND THEN 0 ELSE 1 END AS begins
+  FROM rows WINDOW w AS (PARTITION BY match_id ORDER BY fetched_at, seq, pos)
+),
+lives AS (SELECT *, SUM(begins) OVER (PARTITION BY match_id ORDER BY fetched_at, seq, pos) AS life FROM gaps),
+closed AS (
+  SELECT match_id, life, MIN(fetched_at) AS opened_at, MAX(fetched_at) AS last_written_at, COUNT(*) AS n_writes,
+         arg_max({_PAYLOAD}, (fetched_at, seq, pos)) AS payload
+  FROM lives GROUP BY match_id, life
+)
+SELECT 'live:' || match_id AS cache_key, opened_at, last_written_at, last_written_at + INTERVAL 600 SECOND AS expired_at, n_writes, payload
+FROM closed WHERE last_written_at + INTERVAL 600 SECOND <= (SELECT MAX(fetched_at) FROM rows) - INTERVAL 600 SECOND"""
 _LIVE_QUARANTINE = f"""{_LIVE}
 SELECT seq, match_id, problem AS reason FROM checked WHERE problem IS NOT NULL
 UNION ALL
@@ -406,5 +449,8 @@ def oracle_sql() -> dict[str, str]:
         "live_quarantine_stream": _LIVE_QUARANTINE,
         "live_matches_stream": f"{_LIVE} SELECT * FROM current",
         "live_cache_stream": _LIVE_CACHE,
+        "live_cache_history": _CACHE_HISTORY,
+        "live_cache_intervals": _CACHE_INTERVALS,
+        "live_cache_sessions": _CACHE_SESSIONS,
         **_training_data("ORACLE_SQL"),
     }

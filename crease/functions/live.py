@@ -44,69 +44,53 @@ def state_label(ongoing: str | Column, completed: str | Column) -> Column:
     )
 
 
-def score_numbers(score: Column) -> Column:
-    """The score entries as numbers: ``r`` and ``w`` int (a decimal loses its
-    fraction), ``o`` double.  A text that is no number, or beyond the type,
-    is null; see :func:`unreadable_score`."""
-    return F.transform(
-        score,
-        lambda e: F.struct(
-            e["r"].try_cast("double").try_cast("int").alias("r"),
-            e["w"].try_cast("double").try_cast("int").alias("w"),
-            e["o"].try_cast("double").alias("o"),
-        ),
+LARGEST_DOUBLE = 1.7976931348623157e308
+
+
+def _entry_numbers(entry: Column) -> list[Column]:
+    r, w, o = (entry[n].try_cast("double") for n in ("r", "w", "o"))
+    return [r.try_cast("int"), w.try_cast("int"), F.when(o.between(-LARGEST_DOUBLE, LARGEST_DOUBLE), o)]
+
+
+def score_summary(score: Column) -> Column:
+    """What is read of a score array, as one struct: ``n`` entries, the numbers
+    of the first two -- ``r`` and ``w`` int (a decimal loses its fraction), ``o``
+    a finite double -- and ``unreadable``: whether one of these is there and is no
+    such number."""
+    entries = [F.get(score, 0), F.get(score, 1)]
+    numbers = [_entry_numbers(e) for e in entries]
+    bad = [e[name].isNotNull() & x.isNull() for e, xs in zip(entries, numbers) for name, x in zip("rwo", xs)]
+    return F.struct(
+        F.greatest(F.coalesce(F.size(score), F.lit(0)), F.lit(0)).alias("n"),
+        *[x.alias(f"{name}{k}") for k, xs in enumerate(numbers, 1) for name, x in zip("rwo", xs)],
+        F.coalesce(reduce(lambda x, y: x | y, bad), F.lit(False)).alias("unreadable"),
     )
 
 
-def unreadable_score(score: Column) -> Column:
-    """Whether one of the first two entries (those that are read) holds an
-    ``r``, ``w`` or ``o`` that is there and is no number."""
-
-    def unreadable(e: Column) -> Column:
-        def bad(name: str, kind: str) -> Column:
-            return e[name].isNotNull() & e[name].try_cast("double").try_cast(kind).isNull()
-
-        return bad("r", "int") | bad("w", "int") | bad("o", "double")
-
-    return F.coalesce(F.exists(F.slice(score, 1, 2), unreadable), F.lit(False))
-
-
-def score_entry_text(entry: Column) -> Column:
-    """``r/w (o ov)`` when r, w and o are all present, else ``0/0 (0.0)``."""
-    complete = entry["r"].isNotNull() & entry["w"].isNotNull() & entry["o"].isNotNull()
-    text = F.concat(
-        entry["r"].cast("string"),
-        F.lit("/"),
-        entry["w"].cast("string"),
-        F.lit(" ("),
-        entry["o"].cast("string"),
-        F.lit(" ov)"),
-    )
-    return F.when(complete, text).otherwise(F.lit(NO_SCORE))
+def score_entry_text(score: Column, k: int) -> Column:
+    """``r/w (o ov)`` of entry ``k`` when r, w and o are all present, else ``0/0 (0.0)``."""
+    r, w, o = (score[f"{name}{k}"] for name in "rwo")
+    text = F.concat(r.cast("string"), F.lit("/"), w.cast("string"), F.lit(" ("), o.cast("string"), F.lit(" ov)"))
+    return F.coalesce(text, F.lit(NO_SCORE))
 
 
 def score_texts(score: str | Column) -> tuple[Column, Column]:
-    """(team1_score, team2_score) from the score array.
+    """(team1_score, team2_score) from a score summary.
 
     Missing or empty array: both ``Not started``; one entry: the second is
     ``Yet to bat``.
     """
     s = col_or(score)
-    n = F.coalesce(F.size(s), F.lit(0))
-    first, second = F.get(s, 0), F.get(s, 1)
-    t1 = F.when(n >= 1, score_entry_text(first)).otherwise(F.lit(NOT_STARTED))
-    t2 = (
-        F.when(n >= 2, score_entry_text(second))
-        .when(n >= 1, F.lit(YET_TO_BAT))
-        .otherwise(F.lit(NOT_STARTED))
-    )
+    n = s["n"]
+    t1 = F.when(n >= 1, score_entry_text(s, 1)).otherwise(F.lit(NOT_STARTED))
+    t2 = F.when(n >= 2, score_entry_text(s, 2)).when(n >= 1, F.lit(YET_TO_BAT)).otherwise(F.lit(NOT_STARTED))
     return t1, t2
 
 
 def current_over(score: str | Column) -> Column:
     """Overs of the second entry, else of the first, else 0.0."""
     s = col_or(score)
-    return F.coalesce(F.get(s, 1)["o"], F.get(s, 0)["o"], F.lit(0.0))
+    return F.coalesce(s["o2"], s["o1"], F.lit(0.0))
 
 
 def chase(score: str | Column) -> tuple[Column, Column]:
@@ -115,17 +99,17 @@ def chase(score: str | Column) -> tuple[Column, Column]:
     Only with two entries and a first-innings total: target = r1 + 1 and
     rate = (target - r2) / (20 - o2) when the divisor is positive, else 0.0
     (missing r2 / o2 count as 0).  Otherwise (0, 0.0).  No clamp: the rate can
-    be zero or negative once the chase is over.
+    be zero or negative once the chase is over.  Runs are added as bigint, so
+    that no score overflows.
     """
     s = col_or(score)
-    first, second = F.get(s, 0), F.get(s, 1)
-    applies = (F.coalesce(F.size(s), F.lit(0)) >= 2) & first["r"].isNotNull()
-    target = first["r"] + F.lit(1)
-    runs2 = F.coalesce(second["r"], F.lit(0))
-    remaining = F.lit(CHASE_OVERS) - F.coalesce(second["o"], F.lit(0.0))
+    applies = (s["n"] >= 2) & s["r1"].isNotNull()
+    target = s["r1"].cast("bigint") + F.lit(1)
+    runs2 = F.coalesce(s["r2"], F.lit(0)).cast("bigint")
+    remaining = F.lit(CHASE_OVERS) - F.coalesce(s["o2"], F.lit(0.0))
     rate = F.when(remaining > 0, (target - runs2).cast("double") / remaining).otherwise(F.lit(0.0))
     return (
-        F.when(applies, target).otherwise(F.lit(0)),
+        F.when(applies, target).otherwise(F.lit(0).cast("bigint")),
         F.when(applies, rate).otherwise(F.lit(0.0)),
     )
 

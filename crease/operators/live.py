@@ -44,7 +44,9 @@ def snapshot_rows(responses: DataFrame) -> DataFrame:
 
     A response without readable ``data`` stays as one row without a position
     (:func:`validate_snapshots` sets it aside); an empty list of matches
-    gives no row.  ``raw`` is the snapshot as JSON, or the response's text.
+    gives no row.  ``raw`` is the snapshot as JSON, or the response's text;
+    ``score`` what is read of its score array
+    (:func:`crease.functions.live.score_summary`).
     """
     text = F.to_json(F.struct("fetched_at", "seq"))
     if CORRUPT_COLUMN in responses.columns:
@@ -54,9 +56,10 @@ def snapshot_rows(responses: DataFrame) -> DataFrame:
         "fetched_at",
         "seq",
         F.when(F.col("data").isNull(), text).alias("response"),
-        F.posexplode_outer("data").alias("pos", "m"),
+        # scores are read here, once a snapshot: a column of the generator is not computed again by what reads it
+        F.posexplode_outer(F.transform("data", lambda m: F.struct(m.alias("m"), L.score_summary(m["score"]).alias("score")))).alias("pos", "e"),
     )
-    m = F.col("m")
+    m = F.col("e")["m"]
     return exploded.filter(F.col("pos").isNotNull() | F.col("response").isNotNull()).select(
         "fetched_at",
         "seq",
@@ -67,7 +70,7 @@ def snapshot_rows(responses: DataFrame) -> DataFrame:
         F.coalesce(m["venue"], F.lit("Unknown")).alias("venue"),
         F.get(m["teamInfo"], 0)["name"].alias("team1"),
         F.get(m["teamInfo"], 1)["name"].alias("team2"),
-        m["score"].alias("score"),
+        F.col("e")["score"].alias("score"),
     )
 
 
@@ -84,13 +87,13 @@ def _required_field_problem() -> Column:
     expr = None
     for c, reason in checks:
         expr = (F.when(F.col(c).isNull(), F.lit(reason))) if expr is None else expr.when(F.col(c).isNull(), F.lit(reason))
-    return expr.when(L.unreadable_score(F.col("score")), F.lit("unreadable score"))
+    return expr.when(F.col("score")["unreadable"], F.lit("unreadable score"))
 
 
 def validate_snapshots(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """F-7: (valid, quarantine).  A response that does not parse, a snapshot
     without id, status, two team names or time, or with a score that is no
-    number, is set aside with its text and a reason; the others go on."""
+    finite number, is set aside with its text and a reason; the others go on."""
     tagged = snapshots.withColumn("problem", _required_field_problem())
     valid = tagged.filter(F.col("problem").isNull()).drop("problem")
     quarantine = tagged.filter(F.col("problem").isNotNull()).select(
@@ -104,15 +107,11 @@ def rejected_snapshots(responses: DataFrame) -> DataFrame:
     the quarantine of :func:`validate_snapshots` and the rows that would not
     fit the table (F-8).  One pass and no shuffle, on a batch or a stream."""
     tagged = snapshot_rows(responses).withColumn("problem", _required_field_problem())
-    rows = _with_numbers(tagged).select("*", *_flag_columns()).select("raw", "problem", *_row_columns())
+    rows = tagged.select("*", *_flag_columns()).select("raw", "problem", *_row_columns())
     reason = F.coalesce(F.col("problem"), _store_problem())
     return rows.select("fetched_at", "seq", "pos", "match_id", "raw", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def _with_numbers(snapshots: DataFrame) -> DataFrame:
-    return snapshots.withColumn("score", L.score_numbers(F.col("score")))
-
-
 @built_once
 def _flag_columns() -> list[Column]:
     return [L.is_ongoing("status").alias("is_ongoing"), L.is_completed("status").alias("is_completed")]
@@ -148,7 +147,7 @@ def _row_columns() -> list[Column]:
 def live_rows(valid: DataFrame) -> DataFrame:
     """L-2 ... L-8 on validated snapshots: flags, score texts, current over,
     target and required rate, winner and margin, state label."""
-    return _with_numbers(valid).select("*", *_flag_columns()).select(*_row_columns())
+    return valid.select("*", *_flag_columns()).select(*_row_columns())
 
 
 def _decimal(name: str, spec: tuple[int, int]) -> Column:
@@ -162,8 +161,10 @@ def _store_problem() -> Column:
         cond = F.length(c) > n
         reason = F.lit(f"{c} longer than {n}")
         problem = F.when(cond, reason) if problem is None else problem.when(cond, reason)
-    return problem.when(_decimal("current_over", CURRENT_OVER_DECIMAL).isNull(), F.lit("current_over overflow")).when(
-        _decimal("required_rate", REQUIRED_RATE_DECIMAL).isNull(), F.lit("required_rate overflow")
+    return (
+        problem.when(_decimal("current_over", CURRENT_OVER_DECIMAL).isNull(), F.lit("current_over overflow"))
+        .when(F.col("target").try_cast("int").isNull(), F.lit("target overflow"))
+        .when(_decimal("required_rate", REQUIRED_RATE_DECIMAL).isNull(), F.lit("required_rate overflow"))
     )
 
 

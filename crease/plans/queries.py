@@ -366,6 +366,40 @@ def q_live_cache_stream(spark, sf_dir):
     return live_cache.read_live_cache(spark, table)
 
 
+CACHE_INSTANTS = [dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 15, 12), dt.datetime(2024, 1, 25, 18, 30)]
+
+
+def _cache_log(spark, sf_dir):
+    """Every cache write, appended by a stream over landed response files."""
+    source = live_state.land_responses(testdata.live_responses(spark, sf_dir), scratch_path(spark, "log-landing"))
+    table = scratch_path(spark, "cache-log")
+    live_cache.start_cache_log(spark, source, table, scratch_path(spark, "log-ckpt"), available_now=True).awaitTermination()
+    return spark.read.parquet(table)
+
+
+def q_live_cache_history(spark, sf_dir):
+    """The cache as it stood at three past instants, from the stream's write log."""
+    return live_cache.cache_at(_cache_log(spark, sf_dir), CACHE_INSTANTS)
+
+
+def q_live_cache_intervals(spark, sf_dir):
+    """From when to when each cache entry was valid."""
+    return live_cache.cache_intervals(_cache_log(spark, sf_dir))
+
+
+def q_live_cache_sessions(spark, sf_dir):
+    """Lives of expired cache entries, emitted by the append-mode stream.  One
+    micro-batch takes all files, the next one, without data, closes what has
+    expired: no write is late, in whatever order the files were written."""
+    source = live_state.land_responses(testdata.live_responses(spark, sf_dir), scratch_path(spark, "session-landing"))
+    table = scratch_path(spark, "session-table")
+    query = live_cache.start_cache_sessions(
+        spark, source, table, scratch_path(spark, "session-ckpt"), available_now=True, state_partitions=spark.sparkContext.defaultParallelism
+    )
+    query.awaitTermination()
+    return spark.read.parquet(table)
+
+
 QUERIES: dict[str, Query] = {
     "matches": q_matches,
     "balls_by_ball": q_balls_by_ball,
@@ -410,4 +444,7 @@ QUERIES: dict[str, Query] = {
     "live_quarantine_stream": q_live_quarantine_stream,
     "live_matches_stream": q_live_matches_stream,
     "live_cache_stream": q_live_cache_stream,
+    "live_cache_history": q_live_cache_history,
+    "live_cache_intervals": q_live_cache_intervals,
+    "live_cache_sessions": q_live_cache_sessions,
 }

@@ -255,6 +255,10 @@ def live_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     when k % 9 = 0), second (r = floor(value / 2), w = k % 7, missing when
     k % 4 = 0, o = k % 25 + 0.5).  Numbers come as text, the first r with a
     fraction (".75") when k % 5 = 0 and unreadable ("n/a") when event_id % 97 = 0.
+    Extremes: the first r is the largest int when event_id % 103 = 0 (and 97 does
+    not divide it), the second r the smallest one when event_id % 113 = 0, the
+    first w beyond an int when event_id % 199 = 0, the second o infinite when
+    event_id % 197 = 0 and no number (NaN) when event_id % 193 = 0.
     """
     # k is parsed once; every later expression reads the column
     e = load(spark, sf_dir, "events").select(
@@ -282,13 +286,20 @@ def live_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     team2 = F.struct(F.concat(F.lit("Port"), (eid % 5).cast("string"), F.lit(" Blues")).alias("name"))
     team_info = F.when(eid % 101 == 0, F.array(team1)).otherwise(F.array(team1, team2))
     runs = F.floor("value").cast("int").cast("string")
-    runs = F.when(eid % 97 == 0, F.lit("n/a")).when(k % 5 == 0, F.concat(runs, F.lit(".75"))).otherwise(runs)
-    wickets = (k % 10).cast("string").alias("w")
+    runs = (
+        F.when(eid % 97 == 0, F.lit("n/a"))
+        .when(eid % 103 == 0, F.lit("2147483647"))
+        .when(k % 5 == 0, F.concat(runs, F.lit(".75")))
+        .otherwise(runs)
+    )
+    wickets = F.when(eid % 199 == 0, F.lit("1e12")).otherwise((k % 10).cast("string")).alias("w")
+    runs2 = F.when(eid % 113 == 0, F.lit("-2147483648")).otherwise(F.floor(F.col("value") / 2).cast("int").cast("string"))
+    over2 = F.when(eid % 197 == 0, F.lit("Infinity")).when(eid % 193 == 0, F.lit("NaN")).otherwise(((k % 25) + F.lit(0.5)).cast("string"))
     first = F.struct(F.when(k % 9 != 0, runs).alias("r"), wickets, F.lit("20").alias("o"))
     second = F.struct(
-        F.floor(F.col("value") / 2).cast("int").cast("string").alias("r"),
+        runs2.alias("r"),
         F.when(k % 4 != 0, (k % 7).cast("string")).alias("w"),
-        ((k % 25) + F.lit(0.5)).cast("string").alias("o"),
+        over2.alias("o"),
     )
     first_only = F.struct(runs.alias("r"), wickets, F.lit("20").alias("o"))
     empty = F.filter(F.array(first), lambda _: F.lit(False))

@@ -9,8 +9,8 @@ batch path -> ``groupBy(match_id).agg(min_by, max_by)`` in update mode ->
 * Order: state keeps the earliest and latest snapshot by (fetched_at, seq,
   pos), so a late file cannot overwrite a newer state.
 * Reading the table: the newest changelog row per match (an aggregate, again
-  partial-aggregated map-side).  ``compact`` rewrites the changelog as one
-  batch when it grows.
+  partial-aggregated map-side).  ``compact_live_state`` folds it while the
+  stream runs.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crease.operators.live import current_state_aggregate, current_state_columns, live_rows, snapshot_rows, validate_snapshots
 from crease.schemas import CORRUPT_COLUMN, LIVE_RESPONSE_READ
-
+from crease.streaming import changelog
 
 # microsecond timestamps in landed JSON (Spark's default text keeps milliseconds)
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -75,7 +75,7 @@ def open_responses(spark: SparkSession, path: str, max_files_per_trigger: int |
     return read(spark, path, max_files_per_trigger)
 
 
-def _changelog_writer(table_path: str):
+def _changelog_writer(table_path: str, compact_every: int | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         (
             current_state_columns(batch)
@@ -83,6 +83,8 @@ def _changelog_writer(table_path: str):
             .write.mode("overwrite")
             .parquet(f"{table_path}/batch_id={batch_id}")
         )
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_live_state(batch.sparkSession, table_path)
 
     return write
 
@@ -102,6 +104,7 @@ def start_live_state(
     state_partitions: int | None = None,
     rocksdb_state: bool = True,
     source_format: str = "json",
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start the current-state stream.
 
@@ -109,60 +112,63 @@ def start_live_state(
     ``state_partitions`` fixes the number of state-store partitions for the
     life of the checkpoint (default: the session's shuffle partitions);
     ``rocksdb_state`` keeps the state off the JVM heap, which matters when it
-    grows with the number of matches.  Both apply to this query only: a
-    streaming query runs on a clone of the session taken at start, so the
-    caller's settings are restored right after.
+    grows with the number of matches.  Both are set in a session of the query's
+    own (:func:`stream_session`); the caller's settings are not touched.
     ``max_files_per_trigger`` should be at least the number of cores, or a
     micro-batch parses its files with idle cores.  ``source_format="text"``
     reads the responses as text lines parsed with ``from_json`` -- the path a
-    Kafka topic's ``value`` column takes.
+    Kafka topic's ``value`` column takes.  ``compact_every``: fold the changelog
+    after every so many micro-batches (:func:`compact_live_state`).
     """
-    responses = open_responses(spark, source_path, max_files_per_trigger, source_format)
+    session = stream_session(spark, state_partitions, rocksdb_state)
+    responses = open_responses(session, source_path, max_files_per_trigger, source_format)
     # rejects are kept by the quarantine stream (live_quarantine.py)
     valid, _ = validate_snapshots(snapshot_rows(responses))
     agg = current_state_aggregate(live_rows(valid))
     writer = (
         agg.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_path)
-        .foreachBatch(_changelog_writer(table_path))
+        .foreachBatch(_changelog_writer(table_path, compact_every))
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return start_stateful(spark, writer, state_partitions, rocksdb_state)
+    return triggered(writer, available_now, processing_time).start()
+
+
+def triggered(writer, available_now: bool, processing_time: str):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
 
 
-def start_stateful(spark: SparkSession, writer, state_partitions: int | None = None, rocksdb_state: bool = True) -> StreamingQuery:
-    """Start a stateful query with its own state-partition count and state
-    store; the caller's session settings are restored right after (the query
-    runs on a clone of the session taken at start)."""
-    overrides = {}
+def stream_session(spark: SparkSession, state_partitions: int | None = None, rocksdb_state: bool = True) -> SparkSession:
+    """A session of its own for one stateful query: the caller's settings as they
+    are now, the number of state partitions and the state store."""
+    session = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            session.conf.set(k, v)
     if state_partitions:
-        overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
+        session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     if rocksdb_state:
-        overrides["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-    saved = {k: spark.conf.get(k, None) for k in overrides}
-    for k, v in overrides.items():
-        spark.conf.set(k, v)
-    try:
-        return writer.start()
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return session
+
+
+def _newest_per_match(log: DataFrame) -> DataFrame:
+    cols = [c for c in log.columns if c not in ("match_id", "batch_id")]
+    latest = log.groupBy("match_id").agg(F.max_by(F.struct(*cols, "batch_id"), F.col("batch_id")).alias("s"))
+    return latest.select("match_id", *[F.col(f"s.{c}").alias(c) for c in cols], F.col("s.batch_id").alias("batch_id"))
 
 
 def read_live_state(spark: SparkSession, table_path: str) -> DataFrame:
     """The current state: the newest changelog row of each match."""
-    log = spark.read.parquet(table_path)
-    cols = [c for c in log.columns if c not in ("match_id", "batch_id")]
-    latest = log.groupBy("match_id").agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("s"))
-    return latest.select("match_id", *[F.col(f"s.{c}").alias(c) for c in cols])
+    return _newest_per_match(changelog.read_changelog(spark, table_path)).drop("batch_id")
+
+
+def compact_live_state(spark: SparkSession, table_path: str) -> str:
+    """Fold the changelog to one row per match; what readers see stays the same."""
+    return changelog.fold(spark, table_path, _newest_per_match)
 
 
 def compact(spark: SparkSession, table_path: str, out_path: str) -> str:
-    """Rewrite the changelog as a single batch (run between streams or on a
-    copy; the new folder replaces the old one)."""
+    """A copy of the table as a changelog of a single batch."""
     state = read_live_state(spark, table_path).withColumn("batch_id", F.lit(0).cast("bigint"))
     state.write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
     return out_path

@@ -15,7 +15,7 @@ from crease.schemas import CORRUPT_COLUMN, LIVE_RESPONSE, LIVE_RESPONSE_READ
 T0 = dt.datetime(2024, 5, 1, 19, 0, 0)
 
 
-def _m(mid, status, t1="Mumbai Indians", t2="Chennai Super Kings", score=None, venue="Wankhede", teams=None):
+def _m(mid, status, t1="Harbour Hawks", t2="River Wolves", score=None, venue="Dockside", teams=None):
     info = teams if teams is not None else [{"name": t1}, {"name": t2}]
     return {"id": mid, "status": status, "venue": venue, "teamInfo": info, "score": score}
 
@@ -25,14 +25,13 @@ def _resp(minute, seq, *matches):
 
 
 RESPONSES = [
-    _resp(0, 1, _m("m1", "Match in Progress", score=[{"r": 142, "w": 3, "o": 15.2}]),
-      # a fixture: the match of the reference's own sample
-      _m("m2", "Kolkata Knight Riders won by 44 runs", "Kolkata Knight Riders", "Punjab Kings",
-         [{"r": 189, "w": 6, "o": 20.0}, {"r": 145, "w": 7, "o": 20.0}], venue="Eden Gardens")),
-    _resp(5, 2, _m("m1", "CSK need 45 runs", t1="MI", score=[{"r": 142, "w": 3, "o": 20.0}, {"r": 98, "w": 2, "o": 12.4}],
+    _resp(0, 1, _m("m1", "Match in Progress", score=[{"r": 137, "w": 3, "o": 14.3}]),
+      _m("m2", "Granite Owls won by 37 runs", "Granite Owls", "Meadow Kings",
+         [{"r": 176, "w": 6, "o": 20.0}, {"r": 139, "w": 7, "o": 20.0}], venue="Quarry Field")),
+    _resp(5, 2, _m("m1", "Wolves need 47 runs", t1="HH", score=[{"r": 137, "w": 3, "o": 20.0}, {"r": 91, "w": 2, "o": 11.5}],
                    venue="Elsewhere")),
-    _resp(3, 3, _m("m1", "Innings Break", score=[{"r": 142, "w": 3, "o": 20.0}])),  # late file, older snapshot
-    _resp(1, 4, _m("m3", "Punjab Kings won by 5 wickets", "Kolkata Knight Riders", "Punjab Kings", []),
+    _resp(3, 3, _m("m1", "Innings Break", score=[{"r": 137, "w": 3, "o": 20.0}])),  # late file, older snapshot
+    _resp(1, 4, _m("m3", "Meadow Kings won by 5 wickets", "Granite Owls", "Meadow Kings", []),
       _m("m4", "No result", "Rajasthan Royals", "Delhi Capitals"),
       _m("m5", "Rajasthan won the toss, batting first", "Rajasthan Royals", "Sunrisers Hyderabad"),
       _m("m6", "Match starts at 7:30 PM", "Gujarat Titans", "Lucknow Giants", venue=None),
@@ -80,9 +79,9 @@ def test_flags_and_labels(rows):
 
 def test_score_texts_and_over(rows):
     r = rows["m1", 1]
-    assert (r.team1_score, r.team2_score, r.current_over) == ("142/3 (15.2 ov)", "Yet to bat", 15.2)
+    assert (r.team1_score, r.team2_score, r.current_over) == ("137/3 (14.3 ov)", "Yet to bat", 14.3)
     r = rows["m1", 2]
-    assert (r.team1_score, r.team2_score, r.current_over) == ("142/3 (20.0 ov)", "98/2 (12.4 ov)", 12.4)
+    assert (r.team1_score, r.team2_score, r.current_over) == ("137/3 (20.0 ov)", "91/2 (11.5 ov)", 11.5)
     assert (rows["m6", 4].team1_score, rows["m6", 4].team2_score, rows["m6", 4].current_over) == ("Not started", "Not started", 0.0)
     assert rows["m3", 4].team1_score == "Not started"  # empty score array
     assert (rows["m7", 4].team1_score, rows["m7", 4].current_over) == ("0/0 (0.0)", 3.0)  # r missing
@@ -91,16 +90,16 @@ def test_score_texts_and_over(rows):
 
 def test_chase(rows):
     r = rows["m1", 2]
-    assert r.target == 143 and r.required_rate == pytest.approx(45 / 7.6)
-    assert (rows["m2", 1].target, rows["m2", 1].required_rate) == (190, 0.0)  # 20 overs gone
+    assert r.target == 138 and r.required_rate == pytest.approx(47 / 8.5)
+    assert (rows["m2", 1].target, rows["m2", 1].required_rate) == (177, 0.0)  # 20 overs gone
     assert (rows["m8", 4].target, rows["m8", 4].required_rate) == (0, 0.0)  # first innings lacks r
     assert rows["m9", 4].required_rate == pytest.approx(-3.8)  # target passed: no clamp
     assert rows["m10", 4].required_rate == pytest.approx(402.0)
 
 
 def test_winner_and_margin(rows):
-    assert (rows["m2", 1].winner, rows["m2", 1].result_margin) == ("Kolkata Knight Riders", "44 runs")
-    assert (rows["m3", 4].winner, rows["m3", 4].result_margin) == ("Punjab Kings", "5 wickets")
+    assert (rows["m2", 1].winner, rows["m2", 1].result_margin) == ("Granite Owls", "37 runs")
+    assert (rows["m3", 4].winner, rows["m3", 4].result_margin) == ("Meadow Kings", "5 wickets")
     assert (rows["m4", 4].winner, rows["m4", 4].result_margin) == ("", "No result")
     m5 = rows["m5", 4]
     assert (m5.winner, m5.result_margin) == ("", "Rajasthan won the toss, batting first")
@@ -120,10 +119,10 @@ def test_current_state_first_and_last_seen(parts):
     state = {r.match_id: r for r in live.current_state(parts[0]).collect()}
     assert "m10" not in state and "m11" not in state  # not storable
     m1 = state["m1"]
-    assert (m1.team1, m1.venue) == ("Mumbai Indians", "Wankhede")  # first seen
-    assert m1.status == "CSK need 45 runs"  # the latest, not the late-arriving older file
+    assert (m1.team1, m1.venue) == ("Harbour Hawks", "Dockside")  # first seen
+    assert m1.status == "Wolves need 47 runs"  # the latest, not the late-arriving older file
     assert m1.updated_at == T0 + dt.timedelta(minutes=5)
-    assert m1.current_over == Decimal("12.4") and m1.required_rate == Decimal("5.92") and m1.target == 143
+    assert m1.current_over == Decimal("11.5") and m1.required_rate == Decimal("5.53") and m1.target == 138
     assert m1.date_time is None and m1.balls_remaining is None
 
 
@@ -152,9 +151,9 @@ def test_report(parts):
     rep = {r.match_id: r for r in live.live_report(live.current_state(parts[0])).collect()}
     m9 = rep["m9"]
     assert (m9.live_over, m9.live_target, m9.live_rate) == (Decimal("15.0"), 101, None)
-    assert (m9.team1_score, m9.team2_score, m9.venue) == ("100/5 (20.0 ov)", "120/3 (15.0 ov)", "Wankhede")
+    assert (m9.team1_score, m9.team2_score, m9.venue) == ("100/5 (20.0 ov)", "120/3 (15.0 ov)", "Dockside")
     m2 = rep["m2"]
-    assert (m2.winner, m2.result_margin, m2.live_over) == ("Kolkata Knight Riders", "44 runs", None)
+    assert (m2.winner, m2.result_margin, m2.live_over) == ("Granite Owls", "37 runs", None)
     assert (rep["m6"].state, rep["m6"].status) == ("UPCOMING", "Match starts at 7:30 PM")
 
 
@@ -217,3 +216,35 @@ def test_cache_of_nothing_and_of_the_past(spark, parts):
     past = live.cache_entries(parts[0], as_of=T0 + dt.timedelta(seconds=30)).collect()
     assert sorted(r.cache_key for r in past) == ["live:m1", "live:m2"]
     assert max(r.written_at for r in past) <= T0 + dt.timedelta(seconds=30)
+
+
+def test_extreme_scores_stop_nothing(spark, tmp_path):
+    """The largest and smallest numbers, infinite ones and none: stored, or set
+    aside with a reason, in the rows, the state, the cache and the rejects."""
+    top, low = 2147483647, -2147483648
+    cases = {
+        "top": [{"r": top, "w": 1, "o": 20}, {"r": 3, "w": 1, "o": 5}],
+        "low": [{"r": 5, "w": low, "o": 20}, {"r": low, "w": 1, "o": 5}],
+        "both": [{"r": top, "w": top, "o": 20}, {"r": low, "w": low, "o": -1e300}],
+        "alone": [{"r": top, "w": 1, "o": 20}],
+        "fraction": [{"r": 2147483647.75, "w": 1, "o": 20}],
+        "over": [{"r": 2147483648, "w": 1, "o": 20}],
+        "inf": [{"r": 1, "w": 1, "o": 20}, {"r": 1, "w": 1, "o": "Infinity"}],
+        "-inf": [{"r": 1, "w": 1, "o": "-Infinity"}],
+        "nan": [{"r": 1, "w": 1, "o": "NaN"}],
+        "inf r": [{"r": "Infinity", "w": 1, "o": 2}],
+        "huge o": [{"r": 1, "w": 1, "o": 1e308}],
+        "third": [{"r": 1, "w": 1, "o": 20}, {"r": 1, "w": 1, "o": 2}, {"r": "x", "w": "NaN", "o": "Infinity"}],
+    }
+    responses = _json(spark, tmp_path, [_line(score, mid) for mid, score in cases.items()])
+    valid, _ = live.validate_snapshots(live.snapshot_rows(responses))
+    rows = {r.match_id: r for r in live.live_rows(valid).collect()}
+    assert rows["top"].target == 2147483648 and rows["both"].target == 2147483648
+    reasons = {r.match_id: r.reason for r in live.rejected_snapshots(responses).collect()}
+    assert reasons == {
+        "top": "target overflow", "low": "required_rate overflow", "both": "current_over overflow", "over": "unreadable score",
+        "inf": "unreadable score", "-inf": "unreadable score", "nan": "unreadable score", "inf r": "unreadable score", "huge o": "current_over overflow",
+    }
+    stored = {r.match_id for r in live.current_state(live.live_rows(valid)).collect()}
+    assert stored == {"alone", "fraction", "third"} and stored | set(reasons) == set(cases)
+    assert {r.cache_key for r in live.cache_entries(live.live_rows(valid)).collect()} == {f"live:{m}" for m in rows}
