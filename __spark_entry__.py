@@ -377,7 +377,18 @@ UNION ALL
 SELECT seq, match_id, store_problem AS reason FROM storable WHERE store_problem IS NOT NULL"""
 
 
-def _pipeline_stats() -> str:
+def _pipeline_stats(twice: int | None = None) -> str:
+    """One figure per group of the five statistics; ``twice``: documents whose key
+    it divides were loaded twice, as two matches."""
+
+    def repeated(ctes: str) -> str:
+        if twice is None:
+            return ctes
+        ctes = ctes.replace("m AS (\n  SELECT o_orderkey AS match_id,", "m AS (\n  SELECT o_orderkey * 2 + copy AS match_id,", 1)
+        ctes = ctes.replace("o_totalprice, o_orderpriority\n  FROM orders", f"o_totalprice, o_orderpriority\n  FROM orders, range(2) c(copy) WHERE copy = 0 OR o_orderkey % {twice} = 0", 1)
+        ctes = ctes.replace("SELECT l_orderkey AS match_id,", "SELECT l_orderkey * 2 + copy AS match_id,", 1)
+        return ctes.replace("FROM lineitem\n", "FROM lineitem, range(2) c(copy)\n", 1)
+
     figures = [
         ("team_stats", _TEAM, "ts", "season", "team", "matches_won"),
         ("player_batting_stats", _BAT, "bat", "season", "batter", "total_runs"),
@@ -387,11 +398,26 @@ def _pipeline_stats() -> str:
     ]
     return " UNION ALL ".join(
         f"SELECT '{name}' AS statistic, CAST({season} AS VARCHAR) AS season, CAST({of} AS VARCHAR) AS \"of\", "
-        f"CAST({figure} AS BIGINT) AS figure FROM ({ctes} SELECT * FROM {table})"
+        f"CAST({figure} AS BIGINT) AS figure FROM ({repeated(ctes)} SELECT * FROM {table})"
         for name, ctes, table, season, of, figure in figures
     )
 
 
+_DRIFT = """WITH found AS (
+  SELECT 'meta' AS level, 'revision' AS field, 'long' AS declared, 'string' AS found, COUNT(*) AS n_values
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+  UNION ALL
+  SELECT 'innings.overs', 'over', 'long', 'string', COUNT(*)
+  FROM (SELECT DISTINCT l_orderkey, l_linestatus = 'O', l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE o_orderstatus = 'O' AND o_orderpriority = '2-HIGH')
+  UNION ALL
+  SELECT 'info', 'umpire', NULL, 'object', COUNT(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM'
+  UNION ALL
+  SELECT 'info', 'outcome', 'struct', 'array', COUNT(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'
+)
+SELECT * FROM found WHERE n_values > 0"""
+
+
 def oracle_sql() -> dict[str, str]:
     matches = f"WITH {_M} SELECT {_MATCH_COLS}, match_id FROM mt"
     balls = f"WITH {_B} SELECT match_id, {_BALL_COLS} FROM b"
@@ -402,15 +428,25 @@ def oracle_sql() -> dict[str, str]:
         "nested_flatten": f"WITH {_B} SELECT {_BALL_COLS} FROM b",
         "json_scan": f"WITH {_M} SELECT {_MATCH_COLS} FROM mt",
         "corrupt_quarantine": (
-            "SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'quarantined' ELSE 'valid' END "
+            "SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED') THEN 'quarantined' ELSE 'valid' END "
             "AS record_state, COUNT(*) AS n_documents, "
-            "COUNT(CASE WHEN NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW') THEN 1 END) AS n_with_season "
+            "COUNT(CASE WHEN NOT (o_orderstatus = 'P' AND o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED')) THEN 1 END) AS n_with_season "
             "FROM orders GROUP BY 1"
         ),
         "id_uniqueness": (
-            "SELECT 'match' AS level, COUNT(*) AS n_rows, COUNT(*) AS n_ids FROM orders "
-            "UNION ALL SELECT 'ball', COUNT(*), COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+            "WITH o AS (SELECT o_orderkey AS k, 1 + CAST(o_orderkey % 50 = 0 AS BIGINT) AS times FROM orders), "
+            "n AS (SELECT 'match' AS level, SUM(times) AS n FROM o "
+            "UNION ALL SELECT 'ball', SUM(times) FROM lineitem JOIN o ON l_orderkey = k) "
+            "SELECT level, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_ids, CAST(n AS BIGINT) AS n_shared FROM n"
         ),
+        "incremental_load": f"""WITH {_B},
+times AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE match_id % 50 = 0)
+SELECT season, COUNT(*) AS n_balls, COUNT(*) AS n_ids,
+       COUNT(DISTINCT match_id) + COUNT(DISTINCT CASE WHEN match_id % 50 = 0 THEN match_id END) AS n_matches,
+       CAST(SUM(runs_total) AS BIGINT) AS runs
+FROM times GROUP BY season""",
+        "incremental_stats": _pipeline_stats(50),
+        "schema_drift": _DRIFT,
         "pipeline_stats": _pipeline_stats(),
         "parquet_round_trip": balls,
         "team_stats": f"{_TEAM} SELECT * FROM ts",
@@ -447,6 +483,7 @@ def oracle_sql() -> dict[str, str]:
         "live_cache_as_of": _live_cache("TIMESTAMP '2024-01-15 12:00:00'"),
         "live_quarantine": _LIVE_QUARANTINE,
         "live_quarantine_stream": _LIVE_QUARANTINE,
+        "live_quarantine_replay": _LIVE_QUARANTINE,
         "live_matches_stream": f"{_LIVE} SELECT * FROM current",
         "live_cache_stream": _LIVE_CACHE,
         "live_cache_history": _CACHE_HISTORY,

@@ -28,9 +28,9 @@ NESTED_MATCH_COLUMNS = ("players_registry", "innings_data")
 def _match_id(docs: DataFrame):
     if "match_id" in docs.columns:
         return F.col("match_id")
-    # documents that did not come through the reader: a content hash, still
-    # assigned before any explode and stable under recomputation
-    return F.xxhash64(F.to_json(F.struct("info", "innings")))
+    # documents that did not come through the reader: 128 bits of their content,
+    # still assigned before any explode and stable under recomputation
+    return F.md5(F.to_json(F.struct("info", "innings")))
 
 
 def matches_table(docs: DataFrame, *, keep_nested: bool = True, with_load_time: bool = True) -> DataFrame:
@@ -105,8 +105,8 @@ def balls_by_ball(docs: DataFrame, *, with_load_time: bool = True) -> DataFrame:
     batter / bowler / non-striker default to "Unknown" and runs to 0; rows with
     an unknown season, batter or bowler are dropped.
 
-    ``ball_id`` is a hash of the match id and the ball's place in it (innings,
-    over, ball): the same on every load, retry and split layout.
+    ``ball_id`` is the match id and the ball's place in it (innings, over, ball):
+    the same on every load, retry and split layout, and as distinct as match ids.
     """
     flat = flatten_match_documents(docs)
     d = F.col("delivery")
@@ -129,6 +129,6 @@ def balls_by_ball(docs: DataFrame, *, with_load_time: bool = True) -> DataFrame:
     ]
     if with_load_time:
         cols.append(F.current_timestamp().alias("processed_at"))
-    place = F.xxhash64("match_id", "innings_pos", "over_pos", "ball_pos")
+    place = F.concat(F.col("match_id").cast("string"), F.lit(":"), F.concat_ws(".", *[F.col(c).cast("string") for c in ("innings_pos", "over_pos", "ball_pos")]))
     out = flat.select(*cols, place.alias("ball_id"))
     return out.filter((F.col("season") != UNKNOWN) & (F.col("batter") != UNKNOWN) & (F.col("bowler") != UNKNOWN))

@@ -21,6 +21,7 @@ from crease.functions import live as L
 from crease.functions.core import built_once
 from crease.schemas import CACHE_TTL_SECONDS, CORRUPT_COLUMN, CURRENT_OVER_DECIMAL, REQUIRED_RATE_DECIMAL, VARCHAR_LIMITS
 
+ARRIVAL = "arrived_at"  # when a response was landed, if the source tells
 FIRST_SEEN = ("team1", "team2", "venue")
 LAST_SEEN = (
     "team1_score",
@@ -52,9 +53,11 @@ def snapshot_rows(responses: DataFrame) -> DataFrame:
     if CORRUPT_COLUMN in responses.columns:
         text = F.coalesce(F.col(CORRUPT_COLUMN), text)
     # outer + explicit filter: the optimizer infers no size() filter to push into the scan
+    arrival = [ARRIVAL] if ARRIVAL in responses.columns else []
     exploded = responses.select(
         "fetched_at",
         "seq",
+        *arrival,
         F.when(F.col("data").isNull(), text).alias("response"),
         # scores are read here, once a snapshot: a column of the generator is not computed again by what reads it
         F.posexplode_outer(F.transform("data", lambda m: F.struct(m.alias("m"), L.score_summary(m["score"]).alias("score")))).alias("pos", "e"),
@@ -71,6 +74,7 @@ def snapshot_rows(responses: DataFrame) -> DataFrame:
         F.get(m["teamInfo"], 0)["name"].alias("team1"),
         F.get(m["teamInfo"], 1)["name"].alias("team2"),
         F.col("e")["score"].alias("score"),
+        *arrival,
     )
 
 
@@ -107,9 +111,21 @@ def rejected_snapshots(responses: DataFrame) -> DataFrame:
     the quarantine of :func:`validate_snapshots` and the rows that would not
     fit the table (F-8).  One pass and no shuffle, on a batch or a stream."""
     tagged = snapshot_rows(responses).withColumn("problem", _required_field_problem())
-    rows = tagged.select("*", *_flag_columns()).select("raw", "problem", *_row_columns())
+    arrival = [ARRIVAL] if ARRIVAL in tagged.columns else []
+    rows = tagged.select("*", *_flag_columns()).select("raw", "problem", *_row_columns(), *arrival)
     reason = F.coalesce(F.col("problem"), _store_problem())
-    return rows.select("fetched_at", "seq", "pos", "match_id", "raw", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    rejected = rows.select("fetched_at", "seq", "pos", "match_id", "raw", reason.alias("reason"), *arrival)
+    return rejected.filter(F.col("reason").isNotNull())
+
+
+def reject_key() -> Column:
+    """What tells rejects apart: time, number, position and text of the snapshot."""
+    return F.md5(F.to_json(F.struct("fetched_at", "seq", "pos", "raw"), {"ignoreNullFields": "false"}))
+
+
+def unique_rejects(rejected: DataFrame) -> DataFrame:
+    """Each reject once, however often its response was landed."""
+    return rejected.withColumn("__key", reject_key()).dropDuplicates(["__key"]).drop("__key")
 
 
 @built_once

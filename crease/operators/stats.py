@@ -13,6 +13,9 @@ anyway; ordered presentations live in :mod:`crease.operators.reports`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,17 +28,20 @@ MIN_VENUE_MATCHES = 10
 BALLS_PER_OVER = 6
 
 
-def team_stats(matches: DataFrame) -> DataFrame:
-    """A-1: per (season, team) matches played / won, tosses won, percentages.
+# Each statistic is a group table of sums and counts, which add up over sets of
+# matches that share none, and the figures made of them.
 
-    Matches without a winner count as played, not won.
-    """
+
+def team_partials(matches: DataFrame) -> DataFrame:
     per_team = matches.select("season", "match_id", "winner", "toss_winner", F.explode("teams").alias("team"))
-    agg = per_team.groupBy("season", "team").agg(
+    return per_team.groupBy("season", "team").agg(
         F.countDistinct("match_id").alias("matches_played"),
         count_if(F.col("winner") == F.col("team")).alias("matches_won"),
         count_if(F.col("toss_winner") == F.col("team")).alias("tosses_won"),
     )
+
+
+def team_figures(agg: DataFrame) -> DataFrame:
     return agg.select(
         "*",
         percentage("matches_won", "matches_played").alias("win_percentage"),
@@ -43,9 +49,16 @@ def team_stats(matches: DataFrame) -> DataFrame:
     )
 
 
-def player_batting_stats(balls: DataFrame, min_balls: int = MIN_BALLS_FACED) -> DataFrame:
-    """A-2 + F-3: per (season, batter); ``average`` is null for a batter never out."""
-    agg = balls.groupBy("season", "batter").agg(
+def team_stats(matches: DataFrame) -> DataFrame:
+    """A-1: per (season, team) matches played / won, tosses won, percentages.
+
+    Matches without a winner count as played, not won.
+    """
+    return team_figures(team_partials(matches))
+
+
+def batting_partials(balls: DataFrame) -> DataFrame:
+    return balls.groupBy("season", "batter").agg(
         F.sum("runs_batter").alias("total_runs"),
         F.count(F.lit(1)).alias("balls_faced"),
         F.countDistinct("match_id").alias("matches_played"),
@@ -54,6 +67,9 @@ def player_batting_stats(balls: DataFrame, min_balls: int = MIN_BALLS_FACED) ->
         count_if(F.col("runs_batter") == 6).alias("sixes"),
         count_if(F.col("is_wicket") == 1).alias("times_out"),
     )
+
+
+def batting_figures(agg: DataFrame, min_balls: int = MIN_BALLS_FACED) -> DataFrame:
     return agg.filter(F.col("balls_faced") >= min_balls).select(
         "*",
         percentage("total_runs", "balls_faced").alias("strike_rate"),
@@ -62,16 +78,22 @@ def player_batting_stats(balls: DataFrame, min_balls: int = MIN_BALLS_FACED) ->
     )
 
 
-def player_bowling_stats(balls: DataFrame, min_balls: int = MIN_BALLS_BOWLED) -> DataFrame:
-    """A-3 + F-4: per (season, bowler).  Economy divides by overs already
-    rounded to one decimal, as the reference does."""
-    agg = balls.groupBy("season", "bowler").agg(
+def player_batting_stats(balls: DataFrame, min_balls: int = MIN_BALLS_FACED) -> DataFrame:
+    """A-2 + F-3: per (season, batter); ``average`` is null for a batter never out."""
+    return batting_figures(batting_partials(balls), min_balls)
+
+
+def bowling_partials(balls: DataFrame) -> DataFrame:
+    return balls.groupBy("season", "bowler").agg(
         F.count(F.lit(1)).alias("balls_bowled"),
         F.sum("runs_total").alias("runs_conceded"),
         F.countDistinct("match_id").alias("matches_played"),
         F.sum("is_wicket").cast("bigint").alias("wickets_taken"),
         count_if(F.col("runs_total") == 0).alias("dot_balls"),
     )
+
+
+def bowling_figures(agg: DataFrame, min_balls: int = MIN_BALLS_BOWLED) -> DataFrame:
     overs = F.round(ratio("balls_bowled", F.lit(BALLS_PER_OVER)), 1)
     return (
         agg.filter(F.col("balls_bowled") >= min_balls)
@@ -85,34 +107,93 @@ def player_bowling_stats(balls: DataFrame, min_balls: int = MIN_BALLS_BOWLED) ->
     )
 
 
-def season_trends(balls: DataFrame) -> DataFrame:
-    """A-4: per season run and wicket rates."""
-    agg = balls.groupBy("season").agg(
-        F.avg("runs_total").alias("avg_runs_per_ball"),
+def player_bowling_stats(balls: DataFrame, min_balls: int = MIN_BALLS_BOWLED) -> DataFrame:
+    """A-3 + F-4: per (season, bowler).  Economy divides by overs already
+    rounded to one decimal, as the reference does."""
+    return bowling_figures(bowling_partials(balls), min_balls)
+
+
+def season_partials(balls: DataFrame) -> DataFrame:
+    return balls.groupBy("season").agg(
         F.sum("runs_total").alias("total_runs"),
         F.count(F.lit(1)).alias("total_balls"),
         F.countDistinct("match_id").alias("total_matches"),
-        F.avg("is_wicket").alias("wicket_rate"),
+        F.sum("is_wicket").cast("bigint").alias("wickets"),
+        F.count("runs_total").alias("balls_with_runs"),
     )
+
+
+def season_figures(agg: DataFrame) -> DataFrame:
+    per_ball = ratio("total_runs", "balls_with_runs")
     return agg.select(
-        "*",
+        "season",
+        per_ball.alias("avg_runs_per_ball"),
+        "total_runs",
+        "total_balls",
+        "total_matches",
+        ratio("wickets", "total_balls").alias("wicket_rate"),
         F.round(ratio("total_runs", "total_matches"), 2).alias("avg_runs_per_match"),
-        F.round(F.col("avg_runs_per_ball") * BALLS_PER_OVER, 2).alias("avg_runs_per_over"),
+        F.round(per_ball * BALLS_PER_OVER, 2).alias("avg_runs_per_over"),
     )
 
 
-def venue_stats(balls: DataFrame, min_matches: int = MIN_VENUE_MATCHES) -> DataFrame:
-    """A-5 + F-5: per venue (a null venue forms its own group)."""
-    agg = balls.groupBy("venue").agg(
+def season_trends(balls: DataFrame) -> DataFrame:
+    """A-4: per season run and wicket rates."""
+    return season_figures(season_partials(balls))
+
+
+def venue_partials(balls: DataFrame) -> DataFrame:
+    return balls.groupBy("venue").agg(
         F.countDistinct("match_id").alias("matches_played"),
-        F.avg("runs_total").alias("avg_runs_per_ball"),
+        F.sum("runs_total").alias("total_runs"),
+        F.count("runs_total").alias("balls_with_runs"),
         F.count(F.lit(1)).alias("total_balls"),
     )
+
+
+def venue_figures(agg: DataFrame, min_matches: int = MIN_VENUE_MATCHES) -> DataFrame:
+    per_ball = ratio("total_runs", "balls_with_runs")
     return agg.filter(F.col("matches_played") >= min_matches).select(
-        "*", F.round(F.col("avg_runs_per_ball") * BALLS_PER_OVER, 2).alias("avg_runs_per_over")
+        "venue",
+        "matches_played",
+        per_ball.alias("avg_runs_per_ball"),
+        "total_balls",
+        F.round(per_ball * BALLS_PER_OVER, 2).alias("avg_runs_per_over"),
     )
 
 
+def venue_stats(balls: DataFrame, min_matches: int = MIN_VENUE_MATCHES) -> DataFrame:
+    """A-5 + F-5: per venue (a null venue forms its own group)."""
+    return venue_figures(venue_partials(balls), min_matches)
+
+
+@dataclass(frozen=True)
+class Statistic:
+    """A statistics table in two steps: ``partials`` of some matches, by ``keys``;
+    ``figures`` of partials that were added up."""
+
+    of: str  # table that it is made of
+    keys: tuple[str, ...]
+    partials: Callable[[DataFrame], DataFrame]
+    figures: Callable[[DataFrame], DataFrame]
+
+
+STATISTICS = {
+    "team_stats": Statistic("matches", ("season", "team"), team_partials, team_figures),
+    "player_batting_stats": Statistic("balls_by_ball", ("season", "batter"), batting_partials, batting_figures),
+    "player_bowling_stats": Statistic("balls_by_ball", ("season", "bowler"), bowling_partials, bowling_figures),
+    "season_trends": Statistic("balls_by_ball", ("season",), season_partials, season_figures),
+    "venue_stats": Statistic("balls_by_ball", ("venue",), venue_partials, venue_figures),
+}
+
+
+def merge_partials(partials: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Add up partials of sets of matches that share none: sums and counts (of
+    matches too) add, the highest score is the highest."""
+    rest = [c for c in partials.columns if c not in keys]
+    return partials.groupBy(*keys).agg(*[(F.max if c == "highest_score" else F.sum)(c).alias(c) for c in rest])
+
+
 def production_stats(matches: DataFrame, balls: DataFrame) -> dict[str, DataFrame]:
     """All five statistics, keyed by table name."""
     return {

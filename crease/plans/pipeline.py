@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from crease.operators.flatten import balls_by_ball, for_sink, matches_table
 from crease.operators import reports
 from crease.operators.stats import production_stats
-from crease.sources.documents import read_match_documents, split_corrupt
+from crease.sources.commits import commit_set, drop_old_runs, new_run
+from crease.sources.documents import read_match_documents, separate_repeats, split_corrupt
 from crease.sources.sinks import output_tables, read_parquet_like, read_saved, save_tables, write_parquet
 from crease.sources.tables import register_views
 
@@ -70,27 +71,36 @@ def run_pipeline(
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
     season_folders: bool = True,
+    keep_runs: int | None = None,
 ) -> PipelineResult:
-    """Load -> bronze -> quarantine / silver -> statistics -> sinks."""
+    """Load -> bronze -> quarantine / silver -> statistics -> sinks.
+
+    Everything goes to a folder of this run; its commit, written last, makes the
+    tables the current set (:mod:`crease.sources.commits`).  ``keep_runs``: delete
+    the folders of all but the newest so many runs afterwards."""
+    run_id, run = new_run(output_root)
     docs = read_match_documents(spark, input_path, multi_line=multi_line, glob=glob)
-    bronze = spark.read.parquet(land_bronze(docs, output_root))
-    valid, quarantine = split_corrupt(bronze)
-    write_parquet(quarantine, f"{output_root}/quarantine")
-    matches, balls = build_silver(spark, valid, f"{output_root}/silver", season_folders)
+    bronze = spark.read.parquet(land_bronze(docs, run))
+    valid, quarantine = split_corrupt(separate_repeats(bronze))
+    write_parquet(quarantine, f"{run}/quarantine")
+    matches, balls = build_silver(spark, valid, f"{run}/silver", season_folders)
     stats = production_stats(matches, balls)
-    silver = {"matches": f"{output_root}/silver/matches", "balls_by_ball": f"{output_root}/silver/balls_by_ball"}
+    silver = {"matches": f"{run}/silver/matches", "balls_by_ball": f"{run}/silver/balls_by_ball"}
     saved = save_tables(
         output_tables(stats, matches, balls),
-        f"{output_root}/gold",
+        f"{run}/gold",
         jdbc_url=jdbc_url,
         jdbc_properties=jdbc_properties,
         landed=silver,
     )
+    commit_set(spark, output_root, run_id, {**saved, "quarantine": f"{run}/quarantine"})
+    if keep_runs:
+        drop_old_runs(spark, output_root, keep_runs)
     # views and reports read what was saved instead of aggregating again
     stats = {name: read_saved(spark, saved[name], df.schema, jdbc_url, jdbc_properties) for name, df in stats.items()}
     # the SQL path: every output table as an ipl_<name> view
     register_views(output_tables(stats, matches, balls))
-    return PipelineResult(matches, balls, stats, spark.read.parquet(f"{output_root}/quarantine"), saved)
+    return PipelineResult(matches, balls, stats, spark.read.parquet(f"{run}/quarantine"), saved)
 
 
 def display_insights(stats: dict[str, DataFrame], k: int = reports.TOP_K) -> None:
@@ -121,6 +131,7 @@ def main(argv: list[str] | None = None) -> PipelineResult:
     ap.add_argument("--jdbc-password-file", help="file holding the database password")
     ap.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     ap.add_argument("--quiet", action="store_true", help="skip the console summary")
+    ap.add_argument("--keep-runs", type=int, help="delete the folders of all but the newest so many runs")
     ap.add_argument("--no-season-folders", action="store_true", help="do not partition balls by season")
     args = ap.parse_args(argv)
     props = None
@@ -141,6 +152,7 @@ def main(argv: list[str] | None = None) -> PipelineResult:
         jdbc_url=args.jdbc_url,
         jdbc_properties=props,
         season_folders=not args.no_season_folders,
+        keep_runs=args.keep_runs,
     )
     if not args.quiet:
         display_insights(result.stats)

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease.operators import flatten, live, reports, stats
-from crease.plans import pipeline
+from crease.plans import incremental, pipeline
 from crease.plans import sql as sqlpath
 from crease.session import scratch_path
-from crease.sources import documents, testdata
+from crease.sources import documents, drift, testdata
 from crease.sources.sinks import read_parquet_like, write_parquet
 from crease.streaming import live_cache, live_quarantine, live_state
 
@@ -49,26 +49,54 @@ def q_wicket_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> tuple[str, str]:
     """Land the documents as JSON Lines under the shared checkpoint folder;
     returns (folder, glob).  With ``corrupt``, documents of low-priority
-    pending orders land truncated (unparsable), and those of urgent finished
-    ones with a revision that is no number (still a match), as raw text."""
+    pending orders land truncated (unparsable), those of pending orders without a
+    priority as JSON that is no document (a number, a text, a list or an empty
+    object, by key), and those of urgent finished ones with a revision that is no
+    number (still a match), as raw text."""
     docs = testdata.match_documents(spark, sf_dir)
     path = scratch_path(spark, "landed-docs")
     if not corrupt:
         docs.select("info", "innings", "meta").write.json(path)
         return path, "*.json"
     text = F.to_json(F.struct("info", "innings", "meta"))
-    orders = testdata.load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("match_id"), "o_orderstatus", "o_orderpriority")
-    bad = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    odd = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    bad = (status == "P") & (priority == "5-LOW")
+    none = (status == "P") & (priority == "4-NOT SPECIFIED")
+    odd = (status == "F") & (priority == "1-URGENT")
     garbled = (
         F.when(bad, F.substr(text, F.lit(1), (F.length(text) / 2).cast("int")))
+        .when(none, F.element_at(F.array(*[F.lit(x) for x in ("123", '"abc"', "[1,2]", "{}")]), (F.col("match_id") % 4 + 1).cast("int")))
         .when(odd, F.replace(text, F.lit('"revision":1'), F.lit('"revision":"draft"')))
         .otherwise(text)
     )
-    docs.join(orders, "match_id").select(garbled.alias("value")).write.text(path)
+    docs.join(_order_kinds(spark, sf_dir), "match_id").select(garbled.alias("value")).write.text(path)
     return path, "*.txt"
 
 
+def _order_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("match_id"), "o_orderstatus", "o_orderpriority")
+
+
+def land_drifted(spark: SparkSession, sf_dir: str) -> str:
+    """Land documents whose fields changed type: a revision that is text (urgent
+    finished orders), over numbers as text (high-priority open ones), an umpire that
+    nobody declared (medium-priority pending ones) and a list in place of the outcome
+    (low-priority finished ones)."""
+    docs = testdata.match_documents(spark, sf_dir)
+    path = scratch_path(spark, "drifted-docs")
+    text = F.to_json(F.struct("info", "innings", "meta"))
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    changed = (
+        F.when((status == "F") & (priority == "1-URGENT"), F.replace(text, F.lit('"revision":1'), F.lit('"revision":"draft"')))
+        .when((status == "O") & (priority == "2-HIGH"), F.regexp_replace(text, r'"over":(\d+)', '"over":"$1"'))
+        .when((status == "P") & (priority == "3-MEDIUM"), F.replace(text, F.lit('"info":{'), F.lit('"info":{"umpire":{"name":"U"},')))
+        .when((status == "F") & (priority == "5-LOW"), F.regexp_replace(text, r'"outcome":\{"winner":"[^"]*","by":\{[^}]*\}\}', '"outcome":["T1"]'))
+        .otherwise(text)
+    )
+    docs.join(_order_kinds(spark, sf_dir), "match_id").select(changed.alias("value")).write.text(path)
+    return path
+
+
 def _read_landed(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     path, glob = land_documents(spark, sf_dir, corrupt)
     return documents.read_match_documents(spark, path, multi_line=False, glob=glob)
@@ -98,17 +126,57 @@ def q_corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_id_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, balls and their distinct ids, through the JSON reader."""
-    docs = _read_landed(spark, sf_dir)
-    bronze = spark.read.parquet(pipeline.land_bronze(docs, scratch_path(spark, "bronze-ids")))
-    balls = flatten.balls_by_ball(bronze, with_load_time=False)
+    """Documents, balls and their distinct ids, through the JSON reader.  Every
+    50th document is landed twice, and all of them in two layouts: ``n_shared`` ids
+    are found in both."""
+    docs = testdata.match_documents(spark, sf_dir)
+    docs = docs.unionByName(docs.filter("match_id % 50 = 0")).select("info", "innings", "meta")
 
-    def counts(df: DataFrame, level: str, key: str) -> DataFrame:
-        # one distinct aggregate over the ids, whose own counts give the rows
-        per_id = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        return per_id.agg(F.lit(level).alias("level"), F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"))
+    def load(landed: DataFrame, layout: str) -> DataFrame:
+        path = scratch_path(spark, f"landed-ids-{layout}")
+        landed.write.json(path)
+        read = documents.read_match_documents(spark, path, multi_line=False)
+        return documents.separate_repeats(spark.read.parquet(pipeline.land_bronze(read, scratch_path(spark, f"bronze-ids-{layout}"))))
 
-    return counts(bronze, "match", "match_id").unionByName(counts(balls, "ball", "ball_id"))
+    one, two = load(docs, "as-is"), load(docs.repartition(3, F.col("info.venue")), "by-venue")
+
+    def counts(level: str, key: str, a: DataFrame, b: DataFrame) -> DataFrame:
+        per_id = a.groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(b.select(key).distinct().withColumn("shared", F.lit(1)), key, "left")
+        return per_id.agg(F.lit(level).alias("level"), F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"), F.count("shared").alias("n_shared"))
+
+    balls = lambda df: flatten.balls_by_ball(df, with_load_time=False)
+    return counts("match", "match_id", one, two).unionByName(counts("ball", "ball_id", balls(one), balls(two)))
+
+
+def _loaded_in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """Root of an incremental load of two landings: documents of even keys, then
+    the others and, again, every 50th of the first."""
+    docs = testdata.match_documents(spark, sf_dir)
+    landing, root = scratch_path(spark, "landing-parts"), scratch_path(spark, "incremental")
+    first = docs.filter("match_id % 2 = 0")
+    for name, part in (("first", first), ("second", docs.filter("match_id % 2 <> 0").unionByName(first.filter("match_id % 50 = 0")))):
+        part.select("info", "innings", "meta").write.json(f"{landing}/{name}")
+        incremental.load_new(spark, f"{landing}/*", root)
+    return root
+
+
+def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balls loaded in two landings: per season the balls, matches and runs of silver."""
+    balls = incremental.read_table(spark, _loaded_in_parts(spark, sf_dir), "balls_by_ball")
+    return balls.groupBy("season").agg(
+        F.count(F.lit(1)).alias("n_balls"), F.countDistinct("ball_id").alias("n_ids"), F.countDistinct("match_id").alias("n_matches"), F.sum("runs_total").alias("runs")
+    )
+
+
+def q_incremental_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One figure per group of the five statistics, added up from the partial sums
+    that two landings stored."""
+    return _figures(incremental.read_statistics(spark, _loaded_in_parts(spark, sf_dir)))
+
+
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the declared schema would null, per field, over landed documents."""
+    return drift.drift_table(drift.read_variants(spark, land_drifted(spark, sf_dir), glob="*.txt"))
 
 
 def q_pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +184,10 @@ def q_pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     per group of each of the five saved statistics."""
     path, glob = land_documents(spark, sf_dir)
     job = pipeline.run_pipeline(spark, path, scratch_path(spark, "job"), multi_line=False, glob=glob)
+    return _figures(job.stats)
+
+
+def _figures(tables: dict[str, DataFrame]) -> DataFrame:
     figures = {
         "team_stats": ("season", "team", "matches_won"),
         "player_batting_stats": ("season", "batter", "total_runs"),
@@ -124,7 +196,7 @@ def q_pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "venue_stats": (None, "venue", "total_balls"),
     }
     parts = [
-        job.stats[name].select(
+        tables[name].select(
             F.lit(name).alias("statistic"),
             (F.col(season) if season else F.lit(None).cast("string")).alias("season"),
             (F.col(of) if of else F.lit(None).cast("string")).alias("of"),
@@ -328,6 +400,17 @@ def q_live_quarantine_stream(spark, sf_dir):
     return spark.read.parquet(table).select("seq", "match_id", "reason")
 
 
+def q_live_quarantine_replay(spark, sf_dir):
+    """Every response landed twice, the second time while the stream has already
+    taken the first: each reject is kept once."""
+    landing = scratch_path(spark, "replay-landing")
+    table, ckpt = scratch_path(spark, "replay-table"), scratch_path(spark, "replay-ckpt")
+    for name in ("first", "again"):
+        live_state.land_responses(testdata.live_responses(spark, sf_dir), f"{landing}/{name}")
+        live_quarantine.start_live_quarantine(spark, f"{landing}/*", table, ckpt, available_now=True).awaitTermination()
+    return spark.read.parquet(table).select("seq", "match_id", "reason")
+
+
 def q_live_matches_stream(spark, sf_dir):
     """The same current state computed by a Structured Streaming job over
     landed response files, several micro-batches, read back from its table."""
@@ -408,6 +491,9 @@ QUERIES: dict[str, Query] = {
     "json_scan": q_json_scan,
     "corrupt_quarantine": q_corrupt_quarantine,
     "id_uniqueness": q_id_uniqueness,
+    "incremental_load": q_incremental_load,
+    "incremental_stats": q_incremental_stats,
+    "schema_drift": q_schema_drift,
     "pipeline_stats": q_pipeline_stats,
     "parquet_round_trip": q_parquet_round_trip,
     "team_stats": q_team_stats,
@@ -442,6 +528,7 @@ QUERIES: dict[str, Query] = {
     "live_cache_as_of": q_live_cache_as_of,
     "live_quarantine": q_live_quarantine,
     "live_quarantine_stream": q_live_quarantine_stream,
+    "live_quarantine_replay": q_live_quarantine_replay,
     "live_matches_stream": q_live_matches_stream,
     "live_cache_stream": q_live_cache_stream,
     "live_cache_history": q_live_cache_history,

@@ -7,6 +7,7 @@ from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crease.operators.numbering import occurrence_numbers
 from crease.schemas import CORRUPT_COLUMN, MATCH_DOCUMENT_READ
 
 
@@ -38,11 +39,12 @@ def read_match_documents(
     file -- the layout to land at scale.  PERMISSIVE mode keeps an unparsable
     document as a row whose ``_corrupt_record`` holds the raw text.
 
-    ``match_id`` is assigned here, before any explode: a 64-bit hash of the
-    source file and the match's info fields -- the same on a task retry and on
-    the next run over the same files (so incremental loads keep their ids).
-    Collision odds are n^2 / 2^65: about 3e-8 for a million matches (more
-    than all professional cricket ever played).
+    ``match_id`` is assigned here, before any explode: 128 bits of the content
+    (info, innings, meta, or the text of a corrupt document) as hex digits -- the
+    same on a task retry, in any file layout and on the next run, so incremental
+    loads keep their ids.  Different documents share one with odds of n^2 / 2^129:
+    6e-21 for two thousand million matches.  Documents that are equal share it
+    too; :func:`separate_repeats` numbers them.
 
     A missing folder raises PATH_NOT_FOUND from Spark itself; a folder without
     a matching file raises :class:`NoMatchDocuments` (with an explicit schema
@@ -58,11 +60,15 @@ def read_match_documents(
     )
     if not _has_input(df):
         raise NoMatchDocuments(f"no {glob} files in {path}")
-    # the JSON text names every field, so that nulls cannot change places; with
-    # the innings, matches that share their info stay apart
+    return with_ids(df)
+
+
+def with_ids(df: DataFrame) -> DataFrame:
+    """Content ids and source files of documents as read, from a batch or a stream."""
+    # the JSON text names every field, so that nulls cannot change places
     content = F.to_json(F.struct("info", "innings", "meta"))
     return df.select(
-        F.xxhash64(F.col("_metadata.file_path"), content, F.col(CORRUPT_COLUMN)).alias("match_id"),
+        F.md5(F.concat_ws("\n", content, F.col(CORRUPT_COLUMN))).alias("match_id"),
         "info",
         "innings",
         "meta",
@@ -71,24 +77,51 @@ def read_match_documents(
     )
 
 
+def separate_repeats(bronze: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Give equal documents ids of their own: the first keeps the content id, the
+    k-th after it gets ``-k`` behind it, whatever files they came in.
+
+    ``bronze``: documents read from a landed Parquet table.  ``earlier``
+    (match_id, n): how many documents with a content id older loads hold; numbers
+    go on from there.  Only ids are counted and numbered; where nothing repeats, the
+    documents are returned as they are.
+    """
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    rows = bronze.select("match_id", *place)
+    counts = rows.groupBy("match_id").agg(F.count(F.lit(1)).alias("here"))
+    known = counts.filter("here > 1") if earlier is None else counts.join(earlier, "match_id", "left").filter("here > 1 or n > 0")
+    if known.isEmpty():
+        return bronze
+    later = occurrence_numbers(rows, "match_id", ["__file", "__row"], start=earlier).filter("occurrence > 0")
+    later = later.select("__file", "__row", F.col("occurrence").alias("__k"))
+    told = bronze.select("*", *place).join(later, ["__file", "__row"], "left")
+    number = F.when(F.col("__k") > 0, F.concat("match_id", F.lit("-"), F.col("__k").cast("string"))).otherwise(F.col("match_id"))
+    return told.withColumn("match_id", number).drop("__file", "__row", "__k")
+
+
 def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid documents, quarantine) -- one scan, two filters on the same plan.
 
     The quarantine keeps the source file, the raw text and a reason so a bad
-    document is neither lost nor turned into an all-null match.
+    document is neither lost nor turned into an all-null match: text that is no
+    JSON, and JSON without ``info`` and ``innings`` (a number, a list, an empty object).
 
     Apply it to landed (bronze Parquet) or cached documents: Spark refuses a
     query on a raw JSON scan that reads only the corrupt-record column (a
     plain count of either side would be one).
     """
-    # a document that is JSON is a match, though a field of another type than
-    # declared is null in it
-    bad = F.col(CORRUPT_COLUMN).isNotNull() & F.try_parse_json(CORRUPT_COLUMN).isNull()
+    # a document with a field of another type than declared is still a match, and that field null in it
+    parsed = F.try_parse_json(CORRUPT_COLUMN)
+    held = F.try_variant_get(parsed, "$.info", "variant").isNotNull() | F.try_variant_get(parsed, "$.innings", "variant").isNotNull()
+    unreadable = F.col(CORRUPT_COLUMN).isNotNull() & ~held
+    empty = F.col(CORRUPT_COLUMN).isNull() & F.col("info").isNull() & F.col("innings").isNull()
+    bad = unreadable | empty
+    reason = F.when(parsed.isNull() & ~empty, F.lit("unparsable document")).otherwise(F.lit("no match in the document"))
     valid = docs.filter(~bad).drop(CORRUPT_COLUMN)
     quarantine = docs.filter(bad).select(
         "match_id",
         "source_file",
         F.col(CORRUPT_COLUMN).alias("raw_text"),
-        F.lit("unparsable document").alias("reason"),
+        reason.alias("reason"),
     )
     return valid, quarantine

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crease.operators.live import current_state_aggregate, current_state_columns, live_rows, snapshot_rows, validate_snapshots
+from crease.operators.live import ARRIVAL, current_state_aggregate, current_state_columns, live_rows, snapshot_rows, validate_snapshots
 from crease.schemas import CORRUPT_COLUMN, LIVE_RESPONSE_READ
 from crease.streaming import changelog
 
@@ -42,21 +42,24 @@ def land_responses(responses: DataFrame, path: str, files: int | None = None) ->
 
 
 def read_responses_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed responses; the text of one that does not parse is in the corrupt-record column."""
+    """Landed responses; the text of one that does not parse is in the
+    corrupt-record column, the time of the file in ``arrived_at``."""
     reader = spark.readStream.schema(LIVE_RESPONSE_READ).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return reader.json(path).withColumn(ARRIVAL, F.col("_metadata.file_modification_time"))
 
 
 def responses_from_json(df: DataFrame, column: str = "value") -> DataFrame:
     """Parse API responses carried as JSON text in one column -- a Kafka
     topic's ``value`` (cast to string) or a text source's line -- into the
     landed-response shape.  The text of a message that does not parse is in
-    the corrupt-record column, as with the JSON reader."""
+    the corrupt-record column, as with the JSON reader.  ``arrived_at`` stays, if
+    the messages have it (a Kafka record's ``timestamp``)."""
     options = {"timestampNTZFormat": TS_FORMAT, "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = F.from_json(F.col(column).cast("string"), LIVE_RESPONSE_READ, options)
-    return df.select(parsed.alias("r")).select("r.*")
+    arrival = [ARRIVAL] if ARRIVAL in df.columns else []
+    return df.select(parsed.alias("r"), *arrival).select("r.*", *arrival)
 
 
 def read_responses_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -66,7 +69,7 @@ def read_responses_text_stream(spark: SparkSession, path: str, max_files_per_tri
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return responses_from_json(reader.load(path))
+    return responses_from_json(reader.load(path).withColumn(ARRIVAL, F.col("_metadata.file_modification_time")))
 
 
 def open_responses(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, source_format: str = "json") -> DataFrame:
