@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crease.llm.common import hashed_share, shared
+from crease.llm.common import shared, staged
 
 UNKNOWN = "und"
 _MULT = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -59,10 +59,15 @@ def ngrams(text: str, n: int) -> np.ndarray:
     return code
 
 
+def _bit(k: int) -> np.uint64:
+    return np.uint64(1) << np.uint64(k % 64)
+
+
 @dataclass(frozen=True)
 class LanguageFilter:
-    """languages: names, by bit; slots: bitmask per slot (a power of two of
-    them); hashes: slots per n-gram; n: n-gram length."""
+    """languages: names, by bit; slots: bitmasks, a row per slot (a power of two
+    of them) and a 64-bit column for every 64 languages; hashes: slots per n-gram;
+    n: n-gram length."""
 
     languages: tuple[str, ...]
     slots: np.ndarray
@@ -72,14 +77,12 @@ class LanguageFilter:
     @staticmethod
     def build(profiles: dict[str, np.ndarray], n: int, hashes: int = 3, slots_per_gram: int = 12) -> LanguageFilter:
         names = tuple(sorted(profiles))
-        if len(names) > 64:
-            raise ValueError("a slot has 64 bits: at most 64 languages")
         largest = max((len(p) for p in profiles.values()), default=1)
         size = 1 << int(np.ceil(np.log2(max(64, largest * slots_per_gram))))
-        out = LanguageFilter(names, np.zeros(size, dtype=np.uint64), hashes, n)
-        for bit, name in enumerate(names):
+        out = LanguageFilter(names, np.zeros((size, max(1, -(-len(names) // 64))), dtype=np.uint64), hashes, n)
+        for k, name in enumerate(names):
             for at in out._slots_of(profiles[name]):
-                np.bitwise_or.at(out.slots, at, np.uint64(1) << np.uint64(bit))
+                np.bitwise_or.at(out.slots[:, k // 64], at, _bit(k))
         return out
 
     def _slots_of(self, code: np.ndarray):
@@ -88,16 +91,16 @@ class LanguageFilter:
             yield ((code * _MULT[k]) >> shift).astype(np.int64)
 
     def members(self, code: np.ndarray) -> np.ndarray:
-        """Bitmask of the languages containing each n-gram."""
-        mask = np.full(len(code), np.uint64(0xFFFFFFFFFFFFFFFF))
+        """Bitmasks of the languages containing each n-gram, a row each."""
+        mask = np.full((len(code), self.slots.shape[1]), np.uint64(0xFFFFFFFFFFFFFFFF))
         for at in self._slots_of(code):
             mask &= self.slots[at]
         return mask
 
     def false_positives(self) -> np.ndarray:
         """Chance per language that an n-gram outside its profile passes."""
-        bits = (self.slots[:, None] >> np.arange(len(self.languages), dtype=np.uint64)) & np.uint64(1)
-        return (bits.sum(axis=0) / len(self.slots)) ** self.hashes
+        set_ = np.array([np.count_nonzero(self.slots[:, k // 64] & _bit(k)) for k in range(len(self.languages))])
+        return (set_ / len(self.slots)) ** self.hashes
 
     def shares(self, text: str | None, fp: np.ndarray) -> np.ndarray | None:
         """Per language: the share of the text's n-grams in its profile,
@@ -108,8 +111,8 @@ class LanguageFilter:
         total = np.zeros(len(self.languages))
         for a in range(0, len(code), 1 << 18):
             mask = self.members(code[a : a + (1 << 18)])
-            for bit in range(len(self.languages)):
-                total[bit] += np.count_nonzero(mask & (np.uint64(1) << np.uint64(bit)))
+            for k in range(len(self.languages)):
+                total[k] += np.count_nonzero(mask[:, k // 64] & _bit(k))
         return np.clip((total / len(code) - fp) / (1 - fp), 0.0, 1.0)
 
 
@@ -130,12 +133,9 @@ def train(
     usable = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
-    sizes = usable.groupBy("lang").count().limit(65).collect()  # one row a language, 64 at most
-    if len(sizes) > 64:
-        raise ValueError("a slot has 64 bits: at most 64 languages")
-    drawn = F.lit(False)
-    for r in sizes:
-        drawn = drawn | ((F.col("lang") == r["lang"]) & hashed_share(F.col("id"), max_documents / r["count"], seed))
+    sizes = staged(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("documents")), "languages")  # one row a language
+    share = F.least(F.lit(1.0), F.lit(float(max_documents)) / F.col("documents"))
+    drawn = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 32)) < F.floor(share * F.lit(float(1 << 32)))
 
     def count(batches):
         for b in batches:
@@ -148,11 +148,11 @@ def train(
                     [pa.array([lang] * len(code)), pa.array(code.view(np.int64)), pa.array(docs.astype(np.int64))], names=["lang", "code", "docs"]
                 )
 
-    grams = usable.filter(drawn).select("text", "lang").mapInArrow(count, "lang string, code long, docs long")
+    grams = usable.join(sizes, "lang").filter(drawn).select("text", "lang").mapInArrow(count, "lang string, code long, docs long")
     totals = grams.groupBy("lang", "code").agg(F.sum("docs").alias("docs"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("docs"), "code"))
     top = totals.withColumn("rank", rank).filter(F.col("rank") <= profile_grams).select("lang", "code").collect()
-    profiles: dict[str, list] = {r["lang"]: [] for r in sizes}
+    profiles: dict[str, list] = {r["lang"]: [] for r in sizes.select("lang").collect()}
     for r in top:
         profiles[r["lang"]].append(r["code"])
     return LanguageFilter.build({k: np.sort(np.array(v, dtype=np.int64)).view(np.uint64) for k, v in profiles.items()}, n)
@@ -166,7 +166,7 @@ def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> D
     knows no language; score: that share, 0 for 'und'.  Every row and column
     stays; columns that were already called lang_pred or score are replaced.
     """
-    opened = shared(docs.sparkSession, model)  # at most 64 profiles of a fixed size
+    opened = shared(docs.sparkSession, model)  # for each language a profile of a fixed size
 
     def run(batches):
         m = opened()
