@@ -140,12 +140,14 @@ def train(
 
 def labelled_by_rules(pages: DataFrame, rules: list[Rule], url_col: str = "url", max_rows: int = 4000, seed: int = 9) -> DataFrame:
     """A small labelled table: urls decided by a rule (blocked: by a block rule),
-    about ``max_rows`` of them, drawn by a hash of the url."""
+    about ``max_rows`` / 2 of each class, or all there are, drawn by a hash of the
+    url: a rare class is there at any number of pages."""
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     _, allow = rule_of(host, path, rules)
     decided = pages.select(F.col(url_col).alias("url"), host.alias("host"), path.alias("path"), (~allow).alias("blocked")).filter("blocked is not null")
-    n = decided.count()
-    return decided.filter(hashed_share(F.col("url"), max_rows / max(1, n), seed)).select("host", "path", "blocked")
+    n = {r["blocked"]: r["n"] for r in decided.groupBy("blocked").agg(F.count(F.lit(1)).alias("n")).collect()}
+    of_class = lambda c: (F.col("blocked") == c) & hashed_share(F.col("url"), max_rows / 2 / max(1, n.get(c, 0)), seed)
+    return decided.filter(of_class(True) | of_class(False)).select("host", "path", "blocked")
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], model: UrlModel, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
