@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from crease.llm.common import staged
 
 
-def bisect_exponent(holds: Callable[[float], bool], low: float = 0.0, high: float = 1.0, steps: int = 40) -> float:
+def bisect_exponent(holds: Callable[[float], bool], low: float = 0.0, high: float = 1.0, steps: int = 60) -> float:
     """The smallest exponent in [low, high] for which ``holds`` (which stays
     true from some exponent on) holds; high if it never does."""
     if holds(low):
@@ -31,49 +31,74 @@ def bisect_exponent(holds: Callable[[float], bool], low: float = 0.0, high: floa
 
 
 class Shares:
-    """Token shares of the sources as a table of (tokens, how many sources have
-    that many), which is all that the exponent depends on."""
+    """What weights of sources depend on, for logarithms l of their sizes over the
+    largest: at exponent a the sums of exp(a l) and of l exp(a l).  Sizes are held
+    as (size, how many sources have it) up to ``max_classes`` sizes, beyond that the
+    sums are made on the executors, a small job for each exponent tried."""
 
     def __init__(self, sources: DataFrame, max_classes: int = 1 << 20):
-        rows = sources.filter("tokens > 0").groupBy("tokens").count().limit(max_classes + 1).collect()
-        if len(rows) > max_classes:
-            raise ValueError(f"more than {max_classes} different source sizes")
-        self.total = sum(r["tokens"] * r["count"] for r in rows)
-        self.shares = sorted((r["tokens"] / self.total, r["count"]) for r in rows)
+        sizes = sources.filter("tokens > 0").groupBy("tokens").agg(F.count(F.lit(1)).alias("n"))
+        first = sizes.agg(F.sum(F.col("tokens") * F.col("n")), F.max("tokens"), F.min("tokens"), F.max_by("n", "tokens"), F.sum("n"), F.count(F.lit(1))).first()
+        self.total, self.largest, self.smallest, self.at_largest, self.sources = (x or 0 for x in first[:5])
+        self.logs = self.sizes = None
+        if first[5] <= max_classes:
+            rows = sorted((r["tokens"], r["n"]) for r in sizes.collect())
+            self.logs = [(math.log(t / self.largest), n) for t, n in rows]
+        else:
+            self.sizes = staged(sizes.select(F.log(F.col("tokens") / F.lit(float(self.largest))).alias("l"), "n"), "mix-sizes")
+
+    def moments(self, a: float) -> tuple[float, float]:
+        if self.logs is not None:
+            parts = [(n * math.exp(a * x), x) for x, n in self.logs]
+            return math.fsum(p for p, _ in parts), math.fsum(p * x for p, x in parts)
+        part = F.col("n") * F.exp(F.lit(a) * F.col("l"))
+        return tuple(self.sizes.agg(F.sum(part), F.sum(part * F.col("l"))).first())
 
     def norm(self, a: float) -> float:
-        return math.fsum(n * p**a for p, n in self.shares)
+        return self.moments(a)[0]
 
     def entropy(self, a: float) -> float:
         """Entropy of the weights in nats."""
-        z = self.norm(a)
-        return -math.fsum(n * (p**a / z) * math.log(p**a / z) for p, n in self.shares)
+        z, first = self.moments(a)
+        return math.log(z) - a * first / z
+
+    def _steepest(self, a: float) -> float:
+        """The largest exp(a l)."""
+        return max(1.0, math.exp(a * math.log(self.smallest / self.largest)))
 
     def passes(self, a: float, budget: float) -> float:
         """Passes over the most repeated source."""
-        z = self.norm(a)
-        return max(budget / self.total * p ** (a - 1) / z for p, _ in self.shares)
+        return budget / (self.norm(a) * self.largest) * self._steepest(a - 1)
 
     def covering_budget(self, a: float) -> float:
         """The smallest budget that takes every source at least once."""
-        z = self.norm(a)
-        return max(self.total * p * z / p**a for p, _ in self.shares)
+        return self.norm(a) * self.largest * self._steepest(1 - a)
+
 
+def choose_exponent(shares: Shares, budget_tokens: int | None, target_entropy: float | None, repetition_limit: float | None) -> tuple[float, bool]:
+    """(exponent, whether it meets the target): for the target entropy, a share of
+    the greatest possible one, by bisection between 0 (all sources alike) and an
+    upper end that is doubled until the entropy is below the target; or the flattest
+    exponent that keeps within the repetition limit.
 
-def choose_exponent(shares: Shares, budget_tokens: int | None, target_entropy: float | None, repetition_limit: float | None, max_exponent: float = 1.0) -> float:
-    """Exponent for the target entropy (a share of the greatest possible one) or
-    the flattest one that keeps within the repetition limit; ``max_exponent``
-    where even that gives more entropy than asked for (1: shares as they are,
-    more than 1 sharpens them)."""
-    if not shares.shares:
-        return 1.0
+    More than 1 sharpens the shares.  Where the largest size is shared by so many
+    sources that no exponent gives so little entropy, the shares stay as they are."""
+    if not shares.total:
+        return 1.0, False
     if (target_entropy is None) == (repetition_limit is None):
         raise ValueError("give either target_entropy or repetition_limit")
     if target_entropy is not None:
-        top = shares.entropy(0.0)
-        return bisect_exponent(lambda a: shares.entropy(a) <= target_entropy * top, 0.0, max_exponent)
+        target = target_entropy * math.log(shares.sources)
+        if math.log(shares.at_largest) > target - 1e-9 and shares.at_largest > 1 or shares.sources == 1:
+            return 1.0, abs(shares.entropy(1.0) - target) < 1e-9
+        high = 1.0
+        while shares.entropy(high) > target:
+            high *= 2
+        return bisect_exponent(lambda a: shares.entropy(a) <= target, high / 2 if high > 1 else 0.0, high), True
     budget = lambda a: budget_tokens if budget_tokens is not None else shares.covering_budget(a)
-    return bisect_exponent(lambda a: shares.passes(a, budget(a)) <= repetition_limit * (1 + 1e-12))
+    holds = lambda a: shares.passes(a, budget(a)) <= repetition_limit * (1 + 1e-12)
+    a = bisect_exponent(holds)
+    return a, holds(a)
 
 
 def count_tokens(text: Column) -> Column:
@@ -90,13 +115,12 @@ def mix_sources(
     budget_share: float | None = None,
     target_entropy: float | None = None,
     repetition_limit: float | None = None,
-    max_exponent: float = 1.0,
     block_documents: int = 1000,
     seed: int = 1,
     keep_columns: bool = False,
 ) -> DataFrame:
-    """A row per row of ``docs``: id, source, n_tokens, exponent, weight,
-    budget, n_copies (how often the mixture takes it; 0: not at all), block,
+    """A row per row of ``docs``: id, source, n_tokens, exponent, target_met (whether
+    it gives the entropy or limit asked for), weight, budget, n_copies (how often the mixture takes it; 0: not at all), block,
     block_rank (place of the block in its source's permutation) and order_key
     (sorting by it deals every source out evenly).  With ``keep_columns`` all
     columns of ``docs`` stay beside n_copies and order_key.
@@ -119,16 +143,17 @@ def mix_sources(
     shares = Shares(sources)
     if budget_share is not None:
         budget_tokens = int(budget_share * shares.total)
-    a = choose_exponent(shares, budget_tokens, target_entropy, repetition_limit, max_exponent)
-    z = shares.norm(a) if shares.shares else 1.0
-    budget = budget_tokens if budget_tokens is not None else (shares.covering_budget(a) if shares.shares else 0.0)
-    share = F.col("tokens") / F.lit(float(shares.total or 1))
-    weight = F.when(F.col("tokens") > 0, F.pow(share, F.lit(a)) / F.lit(z)).otherwise(F.lit(0.0))
+    a, met = choose_exponent(shares, budget_tokens, target_entropy, repetition_limit)
+    z = shares.norm(a) if shares.total else 1.0
+    budget = budget_tokens if budget_tokens is not None else (shares.covering_budget(a) if shares.total else 0.0)
+    log_size = F.log(F.col("tokens") / F.lit(float(shares.largest or 1)))
+    weight = F.when(F.col("tokens") > 0, F.exp(F.lit(a) * log_size) / F.lit(z)).otherwise(F.lit(0.0))
     passes = F.when(F.col("tokens") > 0, weight * F.lit(float(budget)) / F.col("tokens")).otherwise(F.lit(1.0))
     full = F.floor(passes + F.lit(1e-9))
     plan = sources.select(
         F.col("source").alias("of"),
         F.lit(a).alias("exponent"),
+        F.lit(met).alias("target_met"),
         weight.alias("weight"),
         F.floor(weight * F.lit(float(budget)) + F.lit(1e-6)).cast("long").alias("budget"),
         full.cast("long").alias("full"),
@@ -162,7 +187,7 @@ def mix_sources(
     if keep_columns:
         return joined.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], copies.alias("n_copies"), place.alias("order_key"))
     return joined.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), F.col("tokens").alias("n_tokens"), "exponent", "weight", "budget",
+        F.col("id").alias(id_col), F.col("source").alias(source_col), F.col("tokens").alias("n_tokens"), "exponent", "target_met", "weight", "budget",
         copies.alias("n_copies"), "block", F.col("block_rank").cast("long").alias("block_rank"), place.alias("order_key"),
     )
 
