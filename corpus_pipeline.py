@@ -26,8 +26,11 @@ SHARDS = 8
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents written in a language that the labels know; those
-    without a letter, or that no language explains, go."""
+    without a letter, or that no language explains, go.  Where no document has a
+    label, nothing is known of any language and all with a letter stay."""
     model = language_id.train(docs)
+    if not model.languages:
+        return docs.filter(F.regexp_like("text", F.lit(r"\p{L}")))
     judged = language_id.predict(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", "text"), model)
     kept = judged.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return kept.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
