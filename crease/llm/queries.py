@@ -71,7 +71,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(load(spark, sf_dir, "documents")).drop("spans")
+    """The contract's columns and, behind them, whether a document loses anything."""
+    found = suffix_dedup.remove_repeats(load(spark, sf_dir, "documents")).drop("spans")
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +148,31 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN last_id <> page_id THEN last_id END AS refers_to
 FROM p LEFT JOIN last ON d = payload_digest AND payload_bytes >= 1000"""
 
+_OP9 = """WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, encode(COALESCE(text, '')) AS b FROM documents
+),
+s AS MATERIALIZED (
+  SELECT r, p, md5(b[p:p + 399]) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS p FROM d WHERE octet_length(b) >= 400)
+),
+again AS (SELECT h FROM s GROUP BY h HAVING COUNT(*) > 1),
+starts AS (
+  SELECT r, p, CASE WHEN p > lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 1 ELSE 0 END AS begins
+  FROM s WHERE h IN (SELECT h FROM again)
+),
+runs AS (
+  SELECT r, MIN(p) AS a, MAX(p) + 399 AS z FROM (SELECT r, p, SUM(begins) OVER (PARTITION BY r ORDER BY p) AS run FROM starts) GROUP BY r, run
+),
+removed AS (SELECT r, SUM(z - a + 1) AS n_removed, COUNT(*) AS n_spans FROM runs GROUP BY r),
+gaps AS (
+  SELECT r, z + 1 AS x, COALESCE(lead(a) OVER (PARTITION BY r ORDER BY a) - 1, 9223372036854775000) AS y FROM runs
+  UNION ALL
+  SELECT r, 1, MIN(a) - 1 FROM runs GROUP BY r
+),
+kept AS (SELECT r, string_agg(hex(b[x:least(y, octet_length(b))]), '' ORDER BY x) AS text FROM gaps JOIN d USING (r) WHERE x <= least(y, octet_length(b)) GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+       CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(COALESCE(text, ''))) END AS kept_sha256, n_spans IS NOT NULL AS has_repeats
+FROM d LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)"""
+
 _OP11 = r"""WITH RECURSIVE d AS (
   SELECT doc_id, COALESCE(lang, '') AS part, COALESCE(text, '') AS text FROM documents
 ),
@@ -249,4 +276,4 @@ SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, p.conv_id AS parent_conv_i
        sha256(COALESCE(ids, '')) AS ends_sha256
 FROM node JOIN sums ON sums.id = node.id LEFT JOIN kids ON kids.id = node.id LEFT JOIN ends ON ends.id = node.id LEFT JOIN node p ON p.id = node.up"""
 
-ORACLE_SQL: dict[str, str] = {"op2_embedding_dedup": _OP2, "op3_warc": _OP3, "op11_filter_audit": _OP11, "op13_conversation_trie": _OP13}
+ORACLE_SQL: dict[str, str] = {"op2_embedding_dedup": _OP2, "op3_warc": _OP3, "op9_suffix_dedup": _OP9, "op11_filter_audit": _OP11, "op13_conversation_trie": _OP13}

@@ -13,13 +13,16 @@ each text, are sharded by anchor: a shard builds the suffix array of its windows
 (Larsson-Sadakane) and their common prefixes (Kasai), and starts that share
 ``length`` bytes with a neighbour are repeated.  An anchor with many different
 windows (the edge of a passage that many documents share) is spread over several
-shards; these export the sorted string hashes of their starts, which are merged
-across shards by binary search.
+shards.  Their sorted string hashes are merged by binary search to find the starts
+that shards may share; for those, each shard's sorted strings themselves are merged,
+again by binary search, so that bytes decide.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -236,7 +239,7 @@ def _slices():
 
 
 def _merge():
-    """Strings of one anchor and key range that occur in several shards."""
+    """Strings of one anchor and key range whose hash occurs in several shards."""
 
     def run(key, t):
         windows, parts = t.column("window").to_pylist(), np.array(t.column("part").to_pylist())
@@ -257,6 +260,47 @@ def _merge():
     return run
 
 
+def _shared_strings(length: int):
+    """The string of every candidate start of a window, dealt by its hash."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for anchor, window, part, parts, data, starts, ends in zip(*[b.column(c).to_pylist() for c in ("anchor", "window", "part", "parts", "bytes", "starts", "ends")]):
+                for a, z in zip(starts, ends):
+                    for p in range(a, z + 1):
+                        text = data[p : p + length]
+                        out.append((anchor, zlib.crc32(text) % (8 * parts), window, part, p, text))
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["anchor", "slice", "window", "part", "place", "string"])
+
+    return run
+
+
+def _confirm():
+    """Starts whose string, byte by byte, another shard has too: each shard's
+    strings sorted and merged, and every start looked up by binary search."""
+
+    def run(key, t):
+        rows = list(zip(*[t.column(c).to_pylist() for c in ("window", "part", "place", "string")]))
+        shards: dict[int, set[bytes]] = {}
+        for _, part, _, text in rows:
+            shards.setdefault(part, set()).add(text)
+        merged = sorted(x for strings in shards.values() for x in strings)  # as often as shards have it
+        places: dict[int, list[int]] = {}
+        for window, _, place, text in rows:
+            at = bisect.bisect_left(merged, text)
+            if at + 1 < len(merged) and merged[at + 1] == text:
+                places.setdefault(window, []).append(place)
+        out = [(key[0].as_py(), window, *_ranges(np.array(sorted(at)))) for window, at in places.items()]
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        cols = list(zip(*out)) if out else [[], [], [], []]
+        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=["anchor", "window", "starts", "ends"])
+
+    return run
+
+
 def removed_spans(lo: np.ndarray, hi: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs [begin, end) covered by the strings that start in any of the
     stretches lo..hi."""
@@ -299,20 +343,34 @@ def repeated_stretches(texts: DataFrame, length: int, shard_windows: int = 2048)
     spread = staged(spread, "spread")
     variants = variants.join(spread, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     shards = max(1, -(-variants.count() // shard_windows))
-    wanted = variants.groupBy(F.col("one.text").alias("of")).agg(
-        F.collect_list(F.struct("anchor", "window", "n", "parts", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"))).alias("wanted")
-    )
-    cut = texts.join(staged(wanted, "wanted"), F.col("key") == F.col("of")).select("text", "key", "wanted")
-    cut = cut.mapInArrow(_cut(length), "anchor long, window long, n long, parts int, bytes binary")
-    cut = cut.withColumn("part", F.pmod(F.xxhash64("window"), F.col("parts")).cast("int"))
-    cut = cut.withColumn("shard", F.pmod(F.xxhash64("anchor", "part"), F.lit(shards)))
+
+    def cut_out(some: DataFrame, name: str) -> DataFrame:
+        """The bytes of windows, from one copy of each text, and the part of its anchor that each is in."""
+        wanted = some.groupBy(F.col("one.text").alias("of")).agg(
+            F.collect_list(F.struct("anchor", "window", "n", "parts", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"))).alias("wanted")
+        )
+        cut = texts.join(staged(wanted, name), F.col("key") == F.col("of")).select("text", "key", "wanted")
+        cut = cut.mapInArrow(_cut(length), "anchor long, window long, n long, parts int, bytes binary")
+        # copies of a text that went to several tasks
+        return cut.withColumn("part", F.pmod(F.xxhash64("window"), F.col("parts")).cast("int"))
+
+    cut = cut_out(variants, "wanted").withColumn("shard", F.pmod(F.xxhash64("anchor", "part"), F.lit(shards)))
     found = staged(cut.groupBy("shard").applyInArrow(_shard(length), _FOUND), "shards")
 
-    across = found.filter("keys is not null").join(spread, "anchor").mapInArrow(
-        _slices(), "anchor long, slice int, window long, part int, keys binary, places binary"
-    )
-    merged = across.groupBy("anchor", "slice").applyInArrow(_merge(), "anchor long, window long, starts array<int>, ends array<int>")
-    ranges = found.select("anchor", "window", "starts", "ends").unionByName(merged).filter(F.size("starts") > 0)
+    ranges = found.select("anchor", "window", "starts", "ends")
+    if not spread.isEmpty():
+        across = found.filter("keys is not null").join(spread, "anchor").mapInArrow(
+            _slices(), "anchor long, slice int, window long, part int, keys binary, places binary"
+        )
+        kind = "anchor long, window long, starts array<int>, ends array<int>"
+        hashed = staged(across.groupBy("anchor", "slice").applyInArrow(_merge(), kind), "candidates")
+        hashed = hashed.groupBy("anchor", "window").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
+        spread_out = cut_out(variants.filter("parts > 1"), "spread-wanted").dropDuplicates(["anchor", "window"])
+        strings = spread_out.join(hashed, ["anchor", "window"]).mapInArrow(
+            _shared_strings(length), "anchor long, slice long, window long, part int, place int, string binary"
+        )
+        ranges = ranges.unionByName(strings.groupBy("anchor", "slice").applyInArrow(_confirm(), kind))
+    ranges = ranges.filter(F.size("starts") > 0)
     ranges = ranges.groupBy("anchor", "window").agg(F.collect_list(F.arrays_zip("starts", "ends")).alias("r"))
     ranges = ranges.select("anchor", "window", F.flatten("r").alias("r"))
 
