@@ -243,9 +243,12 @@ def cache_at(log: DataFrame, instants: list[_dt.datetime], ttl_seconds: int = CA
     asked = spark.createDataFrame([(t,) for t in sorted(set(instants))], "as_of timestamp_ntz")
     days = {t.date() - _dt.timedelta(days=d) for t in instants for d in range(2 + ttl_seconds // 86_400)}
     recent = log.filter(F.col("written_day").isin(sorted(days)))
+    # an entry alive at an instant was written in the same lifetime-long stretch of time or in the one before
+    here = _bucket(F.col("as_of"), ttl_seconds)
+    asked = asked.select("as_of", F.explode(F.array(here, here - 1)).alias("bucket"))
+    alive = recent.withColumn("bucket", _bucket(F.col("written_at"), ttl_seconds)).join(asked, "bucket")
     age = F.col("as_of") - F.make_dt_interval(secs=F.lit(ttl_seconds))
-    # the instants are the caller's list, a few rows
-    alive = recent.join(F.broadcast(asked), (F.col("written_at") <= F.col("as_of")) & (F.col("written_at") > age))
+    alive = alive.filter((F.col("written_at") <= F.col("as_of")) & (F.col("written_at") > age))
     newest = alive.groupBy("as_of", "cache_key").agg(F.max_by(F.struct("payload", "written_at"), F.struct("written_at", "seq", "pos")).alias("c"))
     expires = F.col("c.written_at") + F.make_dt_interval(secs=F.lit(ttl_seconds))
     return newest.select("as_of", "cache_key", F.col("c.payload").alias("payload"), F.col("c.written_at").alias("written_at"), expires.alias("expires_at"))
