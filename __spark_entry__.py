@@ -403,6 +403,61 @@ def _pipeline_stats(twice: int | None = None) -> str:
     )
 
 
+_CAREER = f"""WITH {_B},
+ag AS (
+  SELECT CASE WHEN GROUPING(season) = 0 THEN 'season' WHEN GROUPING(batter) = 0 THEN 'career' ELSE 'all players' END AS level,
+         season, batter, CAST(SUM(runs_batter) AS BIGINT) AS total_runs, COUNT(*) AS balls_faced,
+         COUNT(DISTINCT match_id) AS matches_played, MAX(runs_batter) AS highest_score, CAST(SUM(is_wicket) AS BIGINT) AS times_out
+  FROM b GROUP BY GROUPING SETS ((season, batter), (batter), ())
+)
+SELECT *, {_r("(CAST(total_runs AS DOUBLE) / balls_faced) * 100", 2)} AS strike_rate,
+       CASE WHEN times_out > 0 THEN {_r("CAST(total_runs AS DOUBLE) / times_out", 2)} END AS average
+FROM ag"""
+
+_COMPARISON = f"""{_BAT}
+SELECT season, batter, total_runs, strike_rate, average,
+       CAST(rank() OVER runs AS INTEGER) AS runs_rank, percent_rank() OVER runs AS runs_percent_rank,
+       CAST(ntile(4) OVER (PARTITION BY season ORDER BY total_runs DESC, balls_faced, batter) AS INTEGER) AS runs_group,
+       CAST(rank() OVER (PARTITION BY season ORDER BY strike_rate DESC NULLS LAST) AS INTEGER) AS strike_rank,
+       MAX(total_runs) OVER (PARTITION BY season) - total_runs AS runs_behind
+FROM bat WINDOW runs AS (PARTITION BY season ORDER BY total_runs DESC)"""
+
+
+def _quality() -> str:
+    balls = {
+        "venue missing": "venue IS NULL",
+        "date missing": "match_date IS NULL",
+        "runs do not add up": "runs_total <> runs_batter + runs_extras",
+        "runs out of range": "NOT runs_batter BETWEEN 0 AND 6",
+        "batter bowls to himself": "batter = bowler",
+        "batter on both ends": "batter = non_striker",
+        "over out of range": "NOT over_number BETWEEN 0 AND 19",
+        "wicket without details": "is_wicket = 1 AND COALESCE(wicket_details, '') = ''",
+        "team does not play": "NOT list_contains(teams, batting_team)",
+    }
+    matches = {
+        "venue unknown": "venue = 'Unknown'",
+        "season unknown": "season = 'Unknown'",
+        "not two teams": "len(teams) <> 2",
+        "team against itself": "teams[1] = teams[-1]",
+        "winner does not play": "winner IS NOT NULL AND NOT list_contains(teams, winner)",
+        "no result": "winner IS NULL",
+        "won by runs and wickets": "win_by_runs IS NOT NULL AND win_by_wickets IS NOT NULL",
+    }
+    parts = [
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, COUNT(*) AS n_rows, COUNT(*) FILTER ({broken}) AS n_broken FROM {rows}"
+        for table, rows, rules in (("matches", "mt", matches), ("balls_by_ball", "b", balls))
+        for rule, broken in rules.items()
+    ]
+    return f"WITH {_B} " + " UNION ALL ".join(parts)
+
+
+_OVERS = f"""WITH {_B}
+SELECT season, match_id, batting_team, over_number, COUNT(*) AS balls, CAST(SUM(runs_total) AS BIGINT) AS runs,
+       CAST(SUM(is_wicket) AS BIGINT) AS wickets
+FROM b GROUP BY season, match_id, batting_team, over_number"""
+
+
 _DRIFT = """WITH found AS (
   SELECT 'meta' AS level, 'revision' AS field, 'long' AS declared, 'string' AS found, COUNT(*) AS n_values
   FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
@@ -469,6 +524,9 @@ FROM times GROUP BY season""",
         "sql_reports_team": f"{_TEAM} SELECT * FROM ts ORDER BY win_percentage DESC, season, team LIMIT 10",
         "sql_reports_batting": f"{_BAT} SELECT * FROM bat ORDER BY total_runs DESC, season, batter LIMIT 10",
         "sql_reports_seasons": f"{_SEASON} SELECT * FROM st",
+        "career_batting": _CAREER,
+        "player_comparison": _COMPARISON,
+        "quality_checks": _quality(),
         "team_titles": f"{_TITLES} SELECT * FROM titles",
         "sql_filter": f"{_TITLES} SELECT team, titles FROM titles WHERE titles > 2",
         "global_sum": f"{_TITLES} SELECT CAST(SUM(titles) AS BIGINT) AS sum_titles FROM titles",
@@ -486,6 +544,7 @@ FROM times GROUP BY season""",
         "live_quarantine_replay": _LIVE_QUARANTINE,
         "live_matches_stream": f"{_LIVE} SELECT * FROM current",
         "live_cache_stream": _LIVE_CACHE,
+        "live_overs_stream": _OVERS,
         "live_cache_history": _CACHE_HISTORY,
         "live_cache_intervals": _CACHE_INTERVALS,
         "live_cache_sessions": _CACHE_SESSIONS,

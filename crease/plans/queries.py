@@ -16,13 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.operators import flatten, live, reports, stats
-from crease.plans import incremental, pipeline
+from crease.operators import careers, flatten, live, reports, stats
+from crease.plans import incremental, pipeline, quality
 from crease.plans import sql as sqlpath
 from crease.session import scratch_path
 from crease.sources import documents, drift, testdata
 from crease.sources.sinks import read_parquet_like, write_parquet
-from crease.streaming import live_cache, live_quarantine, live_state
+from crease.streaming import live_cache, live_overs, live_quarantine, live_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -308,6 +308,29 @@ def q_sql_reports_seasons(spark, sf_dir):
     return reports.sql_report(spark, _stats_views(spark, sf_dir), "seasons")
 
 
+# --- careers, comparison, quality ---------------------------------------------------------
+
+
+def q_career_batting(spark, sf_dir):
+    """Season, career and all-player batting totals in one pass."""
+    return careers.career_batting(_balls(spark, sf_dir))
+
+
+def q_player_comparison(spark, sf_dir):
+    """Every qualified batter's standing in the season."""
+    return careers.compare_batters(q_batting(spark, sf_dir))
+
+
+def q_quality_checks(spark, sf_dir):
+    """Rows that break each rule, counted while the silver tables are written."""
+    return quality.report(
+        {
+            "matches": (_matches(spark, sf_dir), scratch_path(spark, "checked-matches"), quality.match_rules()),
+            "balls_by_ball": (_balls(spark, sf_dir), scratch_path(spark, "checked-balls"), quality.ball_rules()),
+        }
+    )
+
+
 # --- SQL path over the team-titles relation ------------------------------------------------
 
 
@@ -430,6 +453,23 @@ def q_live_matches_stream(spark, sf_dir):
     return _decimals_as_doubles(live_state.read_live_state(spark, table))
 
 
+def q_live_overs_stream(spark, sf_dir):
+    """Overs added up by a stream that joins landed deliveries with landed matches.
+    One micro-batch takes all files, so that none is late whatever order they were
+    written in."""
+    deliveries, matches = testdata.live_events(spark, sf_dir)
+    landing = scratch_path(spark, "overs-landing")
+    for name, df in (("deliveries", deliveries), ("matches", matches)):
+        df.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(f"{landing}/{name}")
+    table = scratch_path(spark, "overs-table")
+    query = live_overs.start_live_overs(
+        spark, f"{landing}/deliveries", f"{landing}/matches", table, scratch_path(spark, "overs-ckpt"), available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
+    )
+    query.awaitTermination()
+    return live_overs.read_overs(spark, table).drop("first_ball_at", "last_ball_at")
+
+
 def q_live_cache_stream(spark, sf_dir):
     """The recent-state cache kept by a stateful stream with TTL eviction,
     read back as of the latest snapshot."""
@@ -514,6 +554,9 @@ QUERIES: dict[str, Query] = {
     "sql_reports_team": q_sql_reports_team,
     "sql_reports_batting": q_sql_reports_batting,
     "sql_reports_seasons": q_sql_reports_seasons,
+    "career_batting": q_career_batting,
+    "player_comparison": q_player_comparison,
+    "quality_checks": q_quality_checks,
     "team_titles": q_team_titles,
     "sql_filter": q_sql_filter,
     "global_sum": q_global_sum,
@@ -531,6 +574,7 @@ QUERIES: dict[str, Query] = {
     "live_quarantine_replay": q_live_quarantine_replay,
     "live_matches_stream": q_live_matches_stream,
     "live_cache_stream": q_live_cache_stream,
+    "live_overs_stream": q_live_overs_stream,
     "live_cache_history": q_live_cache_history,
     "live_cache_intervals": q_live_cache_intervals,
     "live_cache_sessions": q_live_cache_sessions,

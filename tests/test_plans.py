@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 import __spark_entry__ as E
 
 # queries that land files or run a stream first; their read side is covered elsewhere
-SIDE_EFFECTS = {"nested_flatten", "json_scan", "corrupt_quarantine", "id_uniqueness", "pipeline_stats", "parquet_round_trip", "live_matches_stream", "live_cache_stream", "live_quarantine_stream"}
+SIDE_EFFECTS = {"incremental_load", "incremental_stats", "quality_checks", "schema_drift", "live_cache_history", "live_cache_intervals", "live_cache_sessions", "live_quarantine_replay", "live_overs_stream", "nested_flatten", "json_scan", "corrupt_quarantine", "id_uniqueness", "pipeline_stats", "parquet_round_trip", "live_matches_stream", "live_cache_stream", "live_quarantine_stream"}
 BATCH = sorted(k for k in set(E.queries()) - SIDE_EFFECTS if not re.match(r"op\d+_|pipeline$", k))
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
 
