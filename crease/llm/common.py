@@ -47,6 +47,25 @@ def hashed_share(col: Column, share: float, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), col), F.lit(1 << 32)) < F.lit(int(min(1.0, share) * (1 << 32)))
 
 
+HOT_KEYS = 200  # a key with more than this share of all rows is hot: there are fewer such keys
+
+
+def hot_values(sizes: DataFrame, key: str, count: str, least: int = 1000) -> list:
+    """The hot keys of a table of (key, count): fewer than HOT_KEYS."""
+    total = sizes.agg(F.sum(count)).first()[0] or 0
+    return [r[0] for r in sizes.filter(F.col(count) > max(least, total // HOT_KEYS)).select(key).collect()]
+
+
+def hot_join(rows: DataFrame, by_key: DataFrame, on: list[str], key: str, hot: list) -> DataFrame:
+    """Inner join of ``rows`` with ``by_key``, a row for each key.  Rows of the ``hot``
+    keys (:func:`hot_values`; no key is null) stay where they are and meet a broadcast
+    of those, so that no task gets all rows of one."""
+    if not hot:
+        return rows.join(by_key, on)
+    is_hot = F.col(key).isin(hot)
+    return rows.filter(~is_hot).join(by_key.filter(~is_hot), on).unionByName(rows.filter(is_hot).join(F.broadcast(by_key.filter(is_hot)), on))
+
+
 def run_bounds(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the runs of equal (sorted) keys."""
     n = len(keys[0])

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crease.llm.common import local_components, pairs_in_runs, run_bounds, shuffle_partitions, staged, whole_runs
+from crease.llm.common import hot_join, hot_values, local_components, pairs_in_runs, run_bounds, shuffle_partitions, staged, whole_runs
 from crease.llm.components import connected_components
 
 SEED = 42  # fixed value: the contract's XXH64 seed
@@ -177,9 +177,10 @@ def simhash_components(
     links = fingerprint_links(classes.select("fp"), max_distance, width, list_limit)
     roots = connected_components(links)
     linked = roots.select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    per_class = classes.join(linked, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    component = per_class.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_fp = per_class.select("fp", "root").join(component, "root").select("fp", "component_id")
+    per_class = staged(classes.join(linked, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-classes")
+    component = staged(per_class.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n")), "simhash-roots")
+    # the fingerprints of a large component stay in place
+    of_fp = hot_join(per_class.select("fp", "root"), component.drop("n"), ["root"], "root", hot_values(component, "root", "n")).select("fp", "component_id")
     return fps.join(of_fp, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
