@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crease.llm.common import local_components, run_bounds, pairs_in_runs, shuffle_partitions, staged, whole_runs
+from crease.llm.common import hot_join, hot_values, local_components, pairs_in_runs, run_bounds, shuffle_partitions, staged, whole_runs
 from crease.llm.components import connected_components
 
 
@@ -197,9 +197,10 @@ def near_duplicate_vectors(
     posted = signed.select("class", "keys", F.posexplode("keys").alias("table", "key"))
     sizes = posted.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # a bucket of one vector has nothing to compare; large ones are split
-    sizes = staged(sizes.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")).drop("n"), "buckets")
+    sizes = staged(sizes.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")), "buckets")
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    busy = posted.join(sizes, ["table", "key"]).withColumn("block", block)
+    # the vectors of a large bucket are split where they are
+    busy = hot_join(posted, sizes.drop("n"), ["table", "key"], "key", hot_values(sizes, "key", "n")).withColumn("block", block)
     units = busy.select("class", "keys", "table", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     units = units.select("class", "keys", "table", "key", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
     units = (
@@ -212,9 +213,11 @@ def near_duplicate_vectors(
     counts = found.groupBy("class").agg(F.sum("n").alias("links"))
     roots = connected_components(found, "class", "other").select(F.col("node").alias("class"), F.col("component").alias("root"))
     of_class = classes.select("class", "weight", "low").join(counts, "class", "left").join(roots, "class", "left")
-    of_class = of_class.withColumn("root", F.coalesce("root", "class"))
-    lowest = of_class.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_class = of_class.join(lowest, "root").select("class", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    of_class = staged(of_class.withColumn("root", F.coalesce("root", "class")), "vector-classes")
+    lowest = staged(of_class.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n")), "vector-roots")
+    # the vectors of a large component stay in place
+    of_class = hot_join(of_class, lowest.drop("n"), ["root"], "root", hot_values(lowest, "root", "n"))
+    of_class = of_class.select("class", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     of_vec = classes.select("class", F.col("vec").alias("same")).join(of_class, "class").drop("class")
     out = rows.join(of_vec, rows["vec"] == of_vec["same"], "left")
     component = F.when(F.col("same").isNull(), F.col("id")).otherwise(F.col("component_id"))
