@@ -99,7 +99,9 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
     )
     # only payloads that occur again are joined, by digest
     again = rows.filter("same is not null").groupBy("same").agg(F.max("key").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    joined = rows.join(staged(again.select("same", "last"), "repeats"), "same", "left")
+    # records without a digest are dealt by themselves: no task gets all of them
+    own = F.coalesce("same", F.concat(F.lit("-"), F.xxhash64("key", "tie").cast("string")))
+    joined = rows.withColumn("same", own).join(staged(again.select("same", "last"), "repeats"), "same", "left")
     refers = F.when(~F.col("key").eqNullSafe(F.col("last")), F.col("last"))
     return joined.select("key", "tie", "url", "payload", refers.alias("refers_to"))
 
@@ -233,11 +235,13 @@ def write_warc(
     """
     spark = pages.sparkSession
     # bounded: max_shards edges
-    opened = shared(spark, _shard_edges(pages, id_col, url_col, payload_col, shard_bytes, max_shards))
+    edges = _shard_edges(pages, id_col, url_col, payload_col, shard_bytes, max_shards)
+    opened = shared(spark, edges)
     records = plan_records(pages, id_col, url_col, payload_col, min_revisit_bytes)
     key = pages.schema[id_col].dataType.simpleString()
     built = records.select("key", "tie", "url", "payload", "refers_to").mapInArrow(_build(date, level, opened), f"shard int, key {key}, tie long, data binary")
-    dealt = built.repartition(shuffle_partitions(spark), "shard").sortWithinPartitions("shard", "key", "tie")
+    # a task for each shard, however many there are
+    dealt = built.repartitionById(max(1, len(edges)), "shard").sortWithinPartitions("shard", "key", "tie")
     manifest = dealt.select("shard", "data").mapInArrow(_write_files(folder, file_bytes, date, level), "file string, records long, bytes long, sha1 string")
     manifest.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
@@ -247,6 +251,9 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("file string, records long, bytes long, sha1 string").parquet(f"{folder}/manifest")
 
 
+FILES_PER_TASK = 4  # that a task reads, where there are many
+
+
 def members(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
     """The decompressed gzip members of a stream, one at a time."""
     d, out, rest = zlib.decompressobj(31), [], b""
@@ -305,7 +312,8 @@ def read_warc(spark: SparkSession, folder: str, key_type: str = "bigint") -> Dat
     """The records of the files that the manifest lists: key, url, record_type,
     refers_to, payload_bytes, payload_digest, payload (null for a revisit) and
     intact (block and payload agree with their digests)."""
-    files = read_manifest(spark, folder).select("file", "sha1").repartition(shuffle_partitions(spark), "file")
+    files = read_manifest(spark, folder).select("file", "sha1")
+    files = files.repartition(max(shuffle_partitions(spark), -(-files.count() // FILES_PER_TASK)), "file")
     out = files.mapInArrow(
         _read_files(folder),
         "key string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary, intact boolean",
