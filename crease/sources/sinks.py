@@ -4,6 +4,7 @@ output-set assembly (S-11, S-12)."""
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -52,10 +53,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     df.write.mode("overwrite").option("truncate", str(truncate).lower()).jdbc(url, table, properties=props)
 
 
+_DATABASE = re.compile(r"\bjava\.sql\.(SQL|Batch)\w*Exception\b|\bPSQLException\b|No suitable driver|\bjava\.lang\.ClassNotFoundException\b")
+
+
 def database_error(exc: BaseException) -> bool:
     """Whether a failed write is the database's (connection, driver, table)
     and not the computation's: a JDBC exception among the causes, or no
-    driver for the address."""
+    driver for the address.  A class of ``java.sql`` that is no exception (a
+    Timestamp that a computation failed on) does not count."""
     if isinstance(exc, ConnectionError):
         return True
     cause = getattr(exc, "java_exception", None)
@@ -63,7 +68,7 @@ def database_error(exc: BaseException) -> bool:
     while cause is not None:
         text += f"\n{cause.toString()}"
         cause = cause.getCause()
-    return any(mark in text for mark in ("java.sql.", "SQLException", "No suitable driver", "java.lang.ClassNotFoundException"))
+    return _DATABASE.search(text) is not None
 
 
 def output_tables(stats: Mapping[str, DataFrame], matches: DataFrame, balls: DataFrame) -> dict[str, DataFrame]:

@@ -161,6 +161,14 @@ def test_failed_computation_is_not_a_database_error(spark, tmp_path):
         save_tables({"a": broken}, str(tmp_path / "out"), jdbc_url="jdbc:postgresql://db/x", jdbc_writer=writer)
 
 
+def test_only_database_exceptions_fall_back():
+    from crease.sources.sinks import database_error
+
+    assert database_error(RuntimeError("Caused by: java.sql.SQLTransientConnectionException: timeout"))
+    assert database_error(RuntimeError("org.postgresql.util.PSQLException: ERROR: relation")) and database_error(ConnectionError())
+    assert not database_error(RuntimeError("cannot cast java.sql.Timestamp to java.sql.Date"))
+
+
 def test_missing_driver_falls_back(spark, tmp_path):
     a = spark.createDataFrame([(1,)], "x int")
     where = save_tables({"a": a}, str(tmp_path / "out"), jdbc_url="jdbc:nowhere://db/x")
