@@ -135,7 +135,7 @@ def _cut(length: int):
     return run
 
 
-_FOUND = "anchor long, window long, starts array<int>, ends array<int>, keys binary, places binary, part int"
+_FOUND = "anchor long, window long, starts array<int>, ends array<int>, keys binary, places binary, bytes binary, part int"
 
 
 def repeated_starts(texts: list[bytes], length: int) -> list[np.ndarray]:
@@ -192,7 +192,7 @@ def _ranges(at: np.ndarray) -> tuple[list[int], list[int]]:
 
 def _shard(length: int):
     """Repeated starts of a shard's windows; for anchors spread over several
-    shards also the sorted hashes of all their strings."""
+    shards also the sorted hashes of all their strings, and the bytes."""
 
     def run(key, t):
         rows = sorted(zip(*[t.column(c).to_pylist() for c in ("anchor", "window", "n", "parts", "part", "bytes")]))
@@ -204,13 +204,14 @@ def _shard(length: int):
             if n > 1:  # the whole window occurs elsewhere
                 at = np.arange(len(h))
             starts, ends = _ranges(at)
-            keys = places = None
+            keys = places = kept = None
             if parts > 1:
                 order = np.argsort(h)
-                keys, places = h[order].tobytes(), order.astype(np.int32).tobytes()
-            out.append((anchor, window, starts, ends, keys, places, part))
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int32())
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["anchor", "window", "starts", "ends", "keys", "places", "part"])
+                keys, places, kept = h[order].tobytes(), order.astype(np.int32).tobytes(), data
+            out.append((anchor, window, starts, ends, keys, places, kept, part))
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary(), pa.int32())
+        names = ["anchor", "window", "starts", "ends", "keys", "places", "bytes", "part"]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     return run
 
@@ -343,30 +344,25 @@ def repeated_stretches(texts: DataFrame, length: int, shard_windows: int = 2048)
     spread = staged(spread, "spread")
     variants = variants.join(spread, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     shards = max(1, -(-variants.count() // shard_windows))
-
-    def cut_out(some: DataFrame, name: str) -> DataFrame:
-        """The bytes of windows, from one copy of each text, and the part of its anchor that each is in."""
-        wanted = some.groupBy(F.col("one.text").alias("of")).agg(
-            F.collect_list(F.struct("anchor", "window", "n", "parts", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"))).alias("wanted")
-        )
-        cut = texts.join(staged(wanted, name), F.col("key") == F.col("of")).select("text", "key", "wanted")
-        cut = cut.mapInArrow(_cut(length), "anchor long, window long, n long, parts int, bytes binary")
-        # copies of a text that went to several tasks
-        return cut.withColumn("part", F.pmod(F.xxhash64("window"), F.col("parts")).cast("int"))
-
-    cut = cut_out(variants, "wanted").withColumn("shard", F.pmod(F.xxhash64("anchor", "part"), F.lit(shards)))
+    wanted = variants.groupBy(F.col("one.text").alias("of")).agg(
+        F.collect_list(F.struct("anchor", "window", "n", "parts", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"))).alias("wanted")
+    )
+    cut = texts.join(staged(wanted, "wanted"), F.col("key") == F.col("of")).select("text", "key", "wanted")
+    cut = cut.mapInArrow(_cut(length), "anchor long, window long, n long, parts int, bytes binary")
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("window"), F.col("parts")).cast("int"))
+    cut = cut.withColumn("shard", F.pmod(F.xxhash64("anchor", "part"), F.lit(shards)))
     found = staged(cut.groupBy("shard").applyInArrow(_shard(length), _FOUND), "shards")
 
     ranges = found.select("anchor", "window", "starts", "ends")
     if not spread.isEmpty():
-        across = found.filter("keys is not null").join(spread, "anchor").mapInArrow(
+        exported = found.filter("keys is not null").drop("starts", "ends").join(spread, "anchor")
+        across = exported.mapInArrow(
             _slices(), "anchor long, slice int, window long, part int, keys binary, places binary"
         )
         kind = "anchor long, window long, starts array<int>, ends array<int>"
         hashed = staged(across.groupBy("anchor", "slice").applyInArrow(_merge(), kind), "candidates")
         hashed = hashed.groupBy("anchor", "window").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
-        spread_out = cut_out(variants.filter("parts > 1"), "spread-wanted").dropDuplicates(["anchor", "window"])
-        strings = spread_out.join(hashed, ["anchor", "window"]).mapInArrow(
+        strings = exported.drop("keys", "places").join(hashed, ["anchor", "window"]).mapInArrow(
             _shared_strings(length), "anchor long, slice long, window long, part int, place int, string binary"
         )
         ranges = ranges.unionByName(strings.groupBy("anchor", "slice").applyInArrow(_confirm(), kind))
