@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from crease.operators.live import live_report
-from crease.sources.sinks import save_tables
+from crease.sources.commits import drop_old_runs, save_set
 from crease.sources.tables import register_views
 from crease.streaming.live_cache import read_live_cache, start_cache_log, start_cache_sessions, start_live_cache
 from crease.streaming.live_quarantine import start_live_quarantine
@@ -83,10 +83,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def publish_live(spark: SparkSession, root: str, output: str, **sink) -> dict[str, str]:
     """Save the current state, to the database or as Parquet, and register
-    the live tables as ``ipl_<name>`` views."""
+    the live tables as ``ipl_<name>`` views.  A Parquet state is a set of its own
+    (:mod:`crease.sources.commits`): readers see one publication or the next,
+    ``read_set(spark, output)``; the folders of the last three stay."""
     tables = live_tables(spark, root)
     register_views(tables)
-    return save_tables({"live_matches": tables["live_matches"]}, output, **sink)
+    where = save_set({"live_matches": tables["live_matches"]}, output, **sink)
+    drop_old_runs(spark, output, keep=3)
+    return where
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -61,3 +62,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/crease/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession, older_than_hours: float) -> list[str]:
+    """Delete the scratch folders under the checkpoint root that were last changed
+    more than so many hours ago, and return their names.  Results are read lazily
+    from such folders, so this is for runs that are over: choose more hours than the
+    longest run takes."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/crease")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = (time.time() - older_than_hours * 3600) * 1000
+    dropped = []
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        if status.getModificationTime() < before:
+            fs.delete(status.getPath(), True)
+            dropped.append(status.getPath().getName())
+    return sorted(dropped)

@@ -214,3 +214,13 @@ def test_drift_of_every_kind(spark, tmp_path):
     }
     values = {(r["level"], r["field"]): r["value"] for r in drift.drift_values(drift.read_variants(spark, str(tmp_path / "in"))).collect()}
     assert values["info", "dates"] == '"2009-01-01"' and json.loads(values["", "extra"]) == {"deep": 1}
+
+
+def test_command_line_load(spark, tmp_path, capsys):
+    _lines(tmp_path / "in" / "a.json", FIRST)
+    assert incremental.main([str(tmp_path / "in"), str(tmp_path / "root"), "--max-files", "1"]) == len(FIRST)
+    assert incremental.main([str(tmp_path / "in"), str(tmp_path / "root")]) == 0
+    assert f"{len(FIRST)} documents loaded" in capsys.readouterr().out
+    many = write_docs(tmp_path / "one-per-file", {"a.json": DOC_A, "b.json": DOC_B, "x.txt": "no"})
+    assert incremental.main([many, str(tmp_path / "root2"), "--multi-line"]) == 2
+    assert incremental.read_table(spark, str(tmp_path / "root2"), "balls_by_ball").count() == 4

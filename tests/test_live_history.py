@@ -12,6 +12,7 @@ import pytest
 from crease.operators import live
 from crease.plans import live as job
 from crease.schemas import LIVE_RESPONSE
+from crease.sources.commits import read_set
 from crease.streaming import changelog, live_cache, live_state
 
 BASE = dt.datetime(2024, 5, 1, 19, 0)
@@ -154,11 +155,24 @@ def test_publication_while_the_streams_run(spark, responses, tmp_path):
         state.processAllAvailable()
         job.run_live(spark, queries, root, out, publish_seconds=1.0, rounds=1)
         rows = lambda df: sorted(tuple(r) for r in df.collect())
-        assert rows(spark.read.parquet(f"{out}/live_matches")) == rows(live.current_state(_valid(spark, responses[:half])))
+        assert rows(read_set(spark, out)["live_matches"]) == rows(live.current_state(_valid(spark, responses[:half])))
         live_state.land_responses(spark.createDataFrame(responses[half:], LIVE_RESPONSE), str(src / "b"), files=2)
         state.processAllAvailable()
         job.run_live(spark, queries, root, out, publish_seconds=1.0, rounds=1)
-        assert rows(spark.read.parquet(f"{out}/live_matches")) == rows(live.current_state(_valid(spark, responses)))
+        assert rows(read_set(spark, out)["live_matches"]) == rows(live.current_state(_valid(spark, responses)))
         assert state.isActive
     finally:
         state.stop()
+
+
+def test_command_line_job(spark, responses, tmp_path):
+    """All five streams over what has landed, and the published state."""
+    src = live_state.land_responses(spark.createDataFrame(responses[:200], LIVE_RESPONSE), str(tmp_path / "landing"), files=2)
+    root = str(tmp_path / "root")
+    job.main([src, root, "--available-now", "--source-format", "text"])
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    valid = _valid(spark, responses[:200]).cache()
+    assert rows(read_set(spark, f"{root}/published")["live_matches"]) == rows(live.current_state(valid))
+    tables = job.live_tables(spark, root)
+    assert rows(tables["live_cache"]) == rows(live.cache_entries(valid))
+    assert tables["live_cache_log"].count() == valid.count()
