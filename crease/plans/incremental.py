@@ -72,7 +72,9 @@ def _load_batch(root: str):
         landed = spark.read.parquet(write_parquet(batch, _part(root, "bronze", batch_id)))
         earlier = None
         if _committed(spark, root) >= 0:
-            earlier = _read(spark, root, "ids").groupBy("match_id").agg(F.sum("n").alias("n"))
+            # only ids that come again: a small batch is broadcast, a large one filters the scan at run time
+            here = landed.select("match_id").distinct()
+            earlier = _read(spark, root, "ids").join(here, "match_id", "left_semi").groupBy("match_id").agg(F.sum("n").alias("n"))
         write_parquet(landed.groupBy("match_id").agg(F.count(F.lit(1)).alias("n")), _part(root, "ids", batch_id))
         valid, quarantine = split_corrupt(separate_repeats(landed, earlier))
         write_parquet(quarantine, _part(root, "quarantine", batch_id))
