@@ -36,16 +36,17 @@ WORD_CHARS = 60  # a word up to this length has fewer than 256 tokens
 NO_CUT = -1  # a place inside characters that are normalised together
 
 
-_SHORT = (3, 2, 1)  # sizes of tokens that any symbols may end with
-
-
-def _sizes(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
-    """Sizes that a token can have where a word's prefix ends with these four symbols."""
-    found: dict[str, set[int]] = {}
-    for symbols in tokens:
-        if len(symbols) >= 4:
-            found.setdefault(symbols[-4:], set()).add(len(symbols))
-    return {tail: (*_SHORT, *sorted(sizes)) for tail, sizes in found.items()}
+def _by_ends(inner: dict[str, int], final: dict[str, int]) -> tuple:
+    """Tokens by their symbols from the last one back: a node is (nodes by the symbol
+    before, the token that these symbols are inside a word, and at its end)."""
+    root: list = [{}, None, None]
+    for kind, tokens in ((1, inner), (2, final)):
+        for symbols, token in tokens.items():
+            node = root
+            for c in reversed(symbols):
+                node = node[0].setdefault(c, [{}, None, None])
+            node[kind] = token
+    return tuple(root)
 
 
 class Bpe:
@@ -82,7 +83,7 @@ class Bpe:
         if not suffix:
             self.final = self.inner
         self.suffix = suffix
-        self.inner_sizes, self.final_sizes = _sizes(self.inner), _sizes(self.final)
+        self.by_ends = _by_ends(self.inner, self.final)
         self.fits: dict[int, bool] = {}  # by before << 32 | token
         self.states: dict[str, int] = {}  # prefix -> token << 16 | tokens << 8 | tokens if the word ends there
 
@@ -135,7 +136,7 @@ class Bpe:
 
     def prefixes(self, word: str) -> list[int]:
         """Tokens of word[:1], word[:2], ... where each ends a word."""
-        states, fits, fit = self.states, self.fits, self.fit
+        states, fits, fit, root = self.states, self.fits, self.fit, self.by_ends[0]
         last, count, out = [-1], [0], []
         for i in range(1, len(word) + 1):
             prefix = word[:i] if i <= MEMO_CHARS else ""
@@ -145,26 +146,25 @@ class Bpe:
                 count.append(state >> 8 & 255)
                 out.append(state & 255)
                 continue
-            tail = word[i - 4 : i] if i >= 4 else ""
-            for size in self.inner_sizes.get(tail, _SHORT):
-                at = i - size
-                if at >= 0 and (token := self.inner.get(word[at:i])) is not None:
-                    known = fits.get(last[at] << 32 | token)
-                    if known or known is None and fit(last[at], token):
-                        break
-            else:
+            # the tokens that end here, shorter ones first: of each kind one fits
+            token = inside = ended = None
+            k, nodes = i, root
+            while k and (token is None or ended is None):
+                k -= 1
+                node = nodes.get(word[k])
+                if node is None:
+                    break
+                nodes, inner, final = node
+                if inner is not None and token is None:
+                    known = fits.get(last[k] << 32 | inner)
+                    if known or known is None and fit(last[k], inner):
+                        token, inside = inner, count[k] + 1
+                if final is not None and ended is None:
+                    known = fits.get(last[k] << 32 | final)
+                    if known or known is None and fit(last[k], final):
+                        ended = count[k] + 1
+            if token is None or ended is None:
                 raise ValueError(f"no encoding of {word[:i]!r}")
-            inside = ended = count[at] + 1
-            if self.suffix:
-                for size in self.final_sizes.get(tail, _SHORT):
-                    at = i - size
-                    if at >= 0 and (end := self.final.get(word[at:i])) is not None:
-                        known = fits.get(last[at] << 32 | end)
-                        if known or known is None and fit(last[at], end):
-                            break
-                else:
-                    raise ValueError(f"no encoding of {word[:i]!r}")
-                ended = count[at] + 1
             if prefix:
                 if len(states) > MEMO:
                     states.clear()
