@@ -91,7 +91,15 @@ class LanguageFilter:
             yield ((code * _MULT[k]) >> shift).astype(np.int64)
 
     def members(self, code: np.ndarray) -> np.ndarray:
-        """Bitmasks of the languages containing each n-gram, a row each."""
+        """Bitmask of the languages containing each n-gram: a 64-bit number, or a
+        Python integer where there are more languages."""
+        mask = self._masks(code)
+        if mask.shape[1] == 1:
+            return mask[:, 0]
+        return np.array([sum(x << 64 * k for k, x in enumerate(row)) for row in mask.tolist()] + [None], dtype=object)[:-1]
+
+    def _masks(self, code: np.ndarray) -> np.ndarray:
+        """The bitmasks in columns of 64 languages."""
         mask = np.full((len(code), self.slots.shape[1]), np.uint64(0xFFFFFFFFFFFFFFFF))
         for at in self._slots_of(code):
             mask &= self.slots[at]
@@ -110,7 +118,7 @@ class LanguageFilter:
             return None
         total = np.zeros(len(self.languages))
         for a in range(0, len(code), 1 << 18):
-            mask = self.members(code[a : a + (1 << 18)])
+            mask = self._masks(code[a : a + (1 << 18)])
             for k in range(len(self.languages)):
                 total[k] += np.count_nonzero(mask[:, k // 64] & _bit(k))
         return np.clip((total / len(code) - fp) / (1 - fp), 0.0, 1.0)
