@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease.schemas import WICKET
+from crease.sources.tables import by_key, tasks_for
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,9 +48,10 @@ def _tag(prefix: str, value: Column) -> Column:
 # --- matches ------------------------------------------------------------------------
 
 
-def match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat row per match (order) with every match-level attribute."""
-    o = load(spark, sf_dir, "orders")
+def match_rows(spark: SparkSession, sf_dir: str, n: int | None = None) -> DataFrame:
+    """One flat row per match (order) with every match-level attribute; ``n``: dealt
+    by match to so many partitions."""
+    o = by_key(load(spark, sf_dir, "orders"), n, "o_orderkey")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     team1 = _tag("T", cust % 10)
     team2 = _tag("T", (cust + 1 + key % 9) % 10)
@@ -123,28 +125,39 @@ def _delivery_columns() -> dict[str, Column]:
     }
 
 
-def delivery_rows(spark: SparkSession, sf_dir: str, by_match: bool = False) -> DataFrame:
+def delivery_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """Partitions for a shuffle of all deliveries, None for the session's number."""
+    return tasks_for(load(spark, sf_dir, "lineitem"))
+
+
+def delivery_rows(spark: SparkSession, sf_dir: str, by_match: bool = False, n: int | None = None) -> DataFrame:
     """One row per delivery keyed by its order; no match attributes yet.
 
     ``by_match``: hash-partition the line items on the order (match) key
     first, so the delivery columns are derived after that single exchange,
-    in parallel, and every later grouping by match reuses it.
+    in parallel, and every later grouping by match reuses it.  ``n``: the same,
+    to so many partitions.
     """
     cols = _delivery_columns()
-    if by_match:
-        lines = load(spark, sf_dir, "lineitem").repartition("l_orderkey")
-    else:
-        lines = load(spark, sf_dir, "lineitem")
+    lines = load(spark, sf_dir, "lineitem")
+    if n is not None:
+        lines = by_key(lines, n, "l_orderkey")
+    elif by_match:
+        lines = lines.repartition("l_orderkey")
     return lines.select(F.col("l_orderkey").alias("match_id"), *[c.alias(n) for n, c in cols.items()])
 
 
 def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat ball-by-ball table (flatten output shape minus the load
-    timestamp and the surrogate ball id): deliveries joined to their match."""
+    timestamp and the surrogate ball id): deliveries joined to their match.
+
+    Large tables are dealt by match to a number of partitions that follows the
+    rows; what groups by match afterwards needs no further exchange."""
     from crease.functions.cricket import wicket_details, wicket_flag
 
-    d = delivery_rows(spark, sf_dir)
-    m = match_rows(spark, sf_dir).select("match_id", "season", "venue", "match_date", "team1", "team2")
+    n = delivery_tasks(spark, sf_dir)
+    d = delivery_rows(spark, sf_dir, n=n)
+    m = match_rows(spark, sf_dir, n).select("match_id", "season", "venue", "match_date", "team1", "team2")
     j = d.join(m, "match_id")
     return j.select(
         "match_id",
@@ -171,11 +184,12 @@ def live_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     of the second innings is bowled 100 + 5 k minutes after the start."""
     from crease.functions.cricket import wicket_flag
 
-    m = match_rows(spark, sf_dir)
+    n = delivery_tasks(spark, sf_dir)
+    m = match_rows(spark, sf_dir, n)
     began = F.to_timestamp(F.concat(F.col("match_date").cast("string"), F.lit(" 12:00:00+00:00")))
     minutes = F.when(F.col("is_team1_batting"), F.lit(0)).otherwise(F.lit(100)) + 5 * F.col("over_number")
     starts = m.select("match_id", began.alias("began_at"))
-    deliveries = delivery_rows(spark, sf_dir).join(starts, "match_id").select(
+    deliveries = delivery_rows(spark, sf_dir, n=n).join(starts, "match_id").select(
         "match_id",
         (F.col("began_at") + F.make_dt_interval(mins=minutes.cast("int"))).alias("bowled_at"),
         F.col("is_team1_batting").alias("first_innings"),
@@ -202,7 +216,8 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     no group is larger than a match.  Arrays are sorted so a document is the
     same on every recomputation.
     """
-    d = delivery_rows(spark, sf_dir, by_match=True)
+    n = delivery_tasks(spark, sf_dir)
+    d = delivery_rows(spark, sf_dir, by_match=True, n=n)
     delivery = F.struct(
         "batter",
         "bowler",
@@ -224,7 +239,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         # team1 bats first: sort on "not team1" so its innings comes first
         F.array_sort(F.collect_list(F.struct((~F.col("is_team1_batting")).alias("second"), "overs"))).alias("inn")
     )
-    m = match_rows(spark, sf_dir)
+    m = match_rows(spark, sf_dir, n)
     j = m.join(per_match, "match_id", "left")
     innings_col = F.transform(
         "inn",
