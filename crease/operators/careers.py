@@ -15,24 +15,36 @@ def career_batting(balls: DataFrame) -> DataFrame:
     highest_score, times_out, strike_rate, average): a row per season and batter,
     per batter over all seasons, and one over all players.
 
-    One pass: balls are first added up per season, batter and match, map-side, and
-    the three levels are grouping sets over those rows, with exact numbers of
-    different matches at each.  ``level`` tells a total from a null season or batter."""
+    One pass: balls are first added up per season, batter and match, and each such row
+    says whether it is the first of its match, and the first of its batter in the match.
+    The three levels are grouping sets over those rows that add up the rows or the
+    firsts, map-side, which gives exact numbers of different matches at each level
+    without a row per level and match.  ``level`` tells a total from a null season or
+    batter."""
     per_match = balls.groupBy("season", "batter", "match_id").agg(
         F.sum("runs_batter").alias("runs"),
         F.count(F.lit(1)).alias("balls"),
         F.max("runs_batter").alias("highest"),
         count_if(F.col("is_wicket") == 1).alias("outs"),
     )
+    of_match = Window.partitionBy("match_id").orderBy("batter", "season")
+    of_batter = Window.partitionBy("match_id", "batter").orderBy("season")
+    matched = F.col("match_id").isNotNull()  # balls of no match are none more
+    firsts = per_match.withColumn("first_of_match", matched & (F.row_number().over(of_match) == 1))
+    firsts = firsts.withColumn("first_of_batter", matched & (F.row_number().over(of_batter) == 1))
     sets = [[F.col("season"), F.col("batter")], [F.col("batter")], []]
-    totals = per_match.groupingSets(sets, F.col("season"), F.col("batter")).agg(
+    totals = firsts.groupingSets(sets, F.col("season"), F.col("batter")).agg(
         F.grouping_id().alias("set"),
         F.sum("runs").alias("total_runs"),
         F.sum("balls").alias("balls_faced"),
-        F.countDistinct("match_id").alias("matches_played"),
+        F.count("match_id").alias("of_season"),
+        count_if(F.col("first_of_batter")).alias("of_career"),
+        count_if(F.col("first_of_match")).alias("of_all"),
         F.max("highest").alias("highest_score"),
         F.sum("outs").alias("times_out"),
     )
+    n_matches = F.when(F.col("set") == 0, F.col("of_season")).when(F.col("set") == 2, F.col("of_career")).otherwise(F.col("of_all"))
+    totals = totals.withColumn("matches_played", n_matches)
     level = F.when(F.col("set") == 0, F.lit(SEASON)).when(F.col("set") == 2, F.lit(CAREER)).otherwise(F.lit(ALL))
     return totals.filter(F.col("total_runs").isNotNull()).select(
         level.alias("level"), "season", "batter", "total_runs", "balls_faced", "matches_played", "highest_score", "times_out",
