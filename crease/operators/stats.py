@@ -16,10 +16,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crease.functions.core import count_if, percentage, ratio
+from crease.functions.core import count_if, percentage, ratio, short_id
 
 # The qualification thresholds of the reference's tables.
 MIN_BALLS_FACED = 50
@@ -32,10 +32,15 @@ BALLS_PER_OVER = 6
 # matches that share none, and the figures made of them.
 
 
+def match_count(df: DataFrame) -> Column:
+    """Exact number of different ``match_id``."""
+    return F.countDistinct(short_id("match_id") if df.schema["match_id"].dataType.typeName() == "string" else F.col("match_id"))
+
+
 def team_partials(matches: DataFrame) -> DataFrame:
     per_team = matches.select("season", "match_id", "winner", "toss_winner", F.explode("teams").alias("team"))
     return per_team.groupBy("season", "team").agg(
-        F.countDistinct("match_id").alias("matches_played"),
+        match_count(matches).alias("matches_played"),
         count_if(F.col("winner") == F.col("team")).alias("matches_won"),
         count_if(F.col("toss_winner") == F.col("team")).alias("tosses_won"),
     )
@@ -61,7 +66,7 @@ def batting_partials(balls: DataFrame) -> DataFrame:
     return balls.groupBy("season", "batter").agg(
         F.sum("runs_batter").alias("total_runs"),
         F.count(F.lit(1)).alias("balls_faced"),
-        F.countDistinct("match_id").alias("matches_played"),
+        match_count(balls).alias("matches_played"),
         F.max("runs_batter").alias("highest_score"),
         count_if(F.col("runs_batter") == 4).alias("fours"),
         count_if(F.col("runs_batter") == 6).alias("sixes"),
@@ -87,7 +92,7 @@ def bowling_partials(balls: DataFrame) -> DataFrame:
     return balls.groupBy("season", "bowler").agg(
         F.count(F.lit(1)).alias("balls_bowled"),
         F.sum("runs_total").alias("runs_conceded"),
-        F.countDistinct("match_id").alias("matches_played"),
+        match_count(balls).alias("matches_played"),
         F.sum("is_wicket").cast("bigint").alias("wickets_taken"),
         count_if(F.col("runs_total") == 0).alias("dot_balls"),
     )
@@ -117,7 +122,7 @@ def season_partials(balls: DataFrame) -> DataFrame:
     return balls.groupBy("season").agg(
         F.sum("runs_total").alias("total_runs"),
         F.count(F.lit(1)).alias("total_balls"),
-        F.countDistinct("match_id").alias("total_matches"),
+        match_count(balls).alias("total_matches"),
         F.sum("is_wicket").cast("bigint").alias("wickets"),
         F.count("runs_total").alias("balls_with_runs"),
     )
@@ -144,7 +149,7 @@ def season_trends(balls: DataFrame) -> DataFrame:
 
 def venue_partials(balls: DataFrame) -> DataFrame:
     return balls.groupBy("venue").agg(
-        F.countDistinct("match_id").alias("matches_played"),
+        match_count(balls).alias("matches_played"),
         F.sum("runs_total").alias("total_runs"),
         F.count("runs_total").alias("balls_with_runs"),
         F.count(F.lit(1)).alias("total_balls"),
