@@ -75,10 +75,10 @@ def _load_batch(root: str):
             # only ids that come again: a small batch is broadcast, a large one filters the scan at run time
             here = landed.select("match_id").distinct()
             earlier = _read(spark, root, "ids").join(here, "match_id", "left_semi").groupBy("match_id").agg(F.sum("n").alias("n"))
-        write_parquet(landed.groupBy("match_id").agg(F.count(F.lit(1)).alias("n")), _part(root, "ids", batch_id))
-        valid, quarantine = split_corrupt(separate_repeats(landed, earlier))
+        ids = write_parquet(landed.groupBy("match_id").agg(F.count(F.lit(1)).alias("n")), _part(root, "ids", batch_id))
+        valid, quarantine = split_corrupt(separate_repeats(landed, earlier, counts=spark.read.parquet(ids)))
         write_parquet(quarantine, _part(root, "quarantine", batch_id))
-        balls = balls_by_ball(valid).hint("rebalance", F.col("season"))
+        balls = balls_by_ball(valid)  # in the tasks that read their documents: a part has no season folders to fill
         silver = {
             "matches": spark.read.parquet(write_parquet(for_sink(matches_table(valid)), _part(root, "matches", batch_id))),
             "balls_by_ball": spark.read.parquet(write_parquet(balls, _part(root, "balls_by_ball", batch_id))),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crease.operators.numbering import occurrence_numbers
 from crease.schemas import CORRUPT_COLUMN, MATCH_DOCUMENT_READ
+from crease.session import scratch_path
 
 
 class NoMatchDocuments(RuntimeError):
@@ -77,24 +78,37 @@ def with_ids(df: DataFrame) -> DataFrame:
     )
 
 
-def separate_repeats(bronze: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+def separate_repeats(bronze: DataFrame, earlier: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Give equal documents ids of their own: the first keeps the content id, the
     k-th after it gets ``-k`` behind it, whatever files they came in.
 
     ``bronze``: documents read from a landed Parquet table.  ``earlier``
     (match_id, n): how many documents with a content id older loads hold; numbers
-    go on from there.  Only ids are counted and numbered; where nothing repeats, the
-    documents are returned as they are.
+    go on from there.  ``counts`` (match_id, n): those of ``bronze``, if they are there.
+    Only rows of ids that come again are numbered, and their new numbers landed: few
+    of them are broadcast, and the documents stay where they are.  Where nothing
+    repeats, the documents are returned as they are.
     """
+    spark = bronze.sparkSession
     place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
     rows = bronze.select("match_id", *place)
-    counts = rows.groupBy("match_id").agg(F.count(F.lit(1)).alias("here"))
-    known = counts.filter("here > 1") if earlier is None else counts.join(earlier, "match_id", "left").filter("here > 1 or n > 0")
+    if counts is None:
+        counts = rows.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumnRenamed("n", "here")
+    if earlier is None:
+        known = counts.filter("here > 1").withColumn("n", F.lit(0).cast("bigint"))
+    else:
+        known = counts.join(earlier, "match_id", "left").filter("here > 1 or n > 0").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    again = scratch_path(spark, "repeated-ids")
+    known.select("match_id", "n").write.parquet(again)
+    known = spark.read.parquet(again)
     if known.isEmpty():
         return bronze
-    later = occurrence_numbers(rows, "match_id", ["__file", "__row"], start=earlier).filter("occurrence > 0")
-    later = later.select("__file", "__row", F.col("occurrence").alias("__k"))
-    told = bronze.select("*", *place).join(later, ["__file", "__row"], "left")
+    repeated = rows.join(known, "match_id", "left_semi")
+    later = occurrence_numbers(repeated, "match_id", ["__file", "__row"], start=known).filter("occurrence > 0")
+    numbers = scratch_path(spark, "repeat-numbers")
+    later.select("__file", "__row", F.col("occurrence").alias("__k")).write.parquet(numbers)
+    told = bronze.select("*", *place).join(spark.read.parquet(numbers), ["__file", "__row"], "left")
     number = F.when(F.col("__k") > 0, F.concat("match_id", F.lit("-"), F.col("__k").cast("string"))).otherwise(F.col("match_id"))
     return told.withColumn("match_id", number).drop("__file", "__row", "__k")
 
@@ -114,7 +128,8 @@ def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed = F.try_parse_json(CORRUPT_COLUMN)
     held = F.try_variant_get(parsed, "$.info", "variant").isNotNull() | F.try_variant_get(parsed, "$.innings", "variant").isNotNull()
     unreadable = F.col(CORRUPT_COLUMN).isNotNull() & ~held
-    empty = F.col(CORRUPT_COLUMN).isNull() & F.col("info").isNull() & F.col("innings").isNull()
+    # one field of the list tells whether the list is null, without reading the rest of it
+    empty = F.col(CORRUPT_COLUMN).isNull() & F.col("info").isNull() & F.col("innings.team").isNull()
     bad = unreadable | empty
     reason = F.when(parsed.isNull() & ~empty, F.lit("unparsable document")).otherwise(F.lit("no match in the document"))
     valid = docs.filter(~bad).drop(CORRUPT_COLUMN)
