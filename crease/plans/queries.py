@@ -13,15 +13,17 @@ import datetime as dt
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crease.functions.core import short_id
 from crease.operators import careers, flatten, live, reports, stats
 from crease.plans import incremental, pipeline, quality
 from crease.plans import sql as sqlpath
 from crease.session import scratch_path
 from crease.sources import documents, drift, testdata
 from crease.sources.sinks import read_parquet_like, write_parquet
+from crease.sources.tables import by_key
 from crease.streaming import live_cache, live_overs, live_quarantine, live_state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +48,10 @@ def q_wicket_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.filter(F.col("is_wicket") == 1).select("match_id", "batting_team", "over_number", "batter", "bowler", "wicket_details")
 
 
+# landed text repeats its field names in every line; a file is one task's, so that reading them stays parallel
+PACKED = {"compression": "gzip"}
+
+
 def land_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> tuple[str, str]:
     """Land the documents as JSON Lines under the shared checkpoint folder;
     returns (folder, glob).  With ``corrupt``, documents of low-priority
@@ -56,8 +62,8 @@ def land_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> t
     docs = testdata.match_documents(spark, sf_dir)
     path = scratch_path(spark, "landed-docs")
     if not corrupt:
-        docs.select("info", "innings", "meta").write.json(path)
-        return path, "*.json"
+        docs.select("info", "innings", "meta").write.options(**PACKED).json(path)
+        return path, "*.json.gz"
     text = F.to_json(F.struct("info", "innings", "meta"))
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     bad = (status == "P") & (priority == "5-LOW")
@@ -69,8 +75,8 @@ def land_documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> t
         .when(odd, F.replace(text, F.lit('"revision":1'), F.lit('"revision":"draft"')))
         .otherwise(text)
     )
-    docs.join(_order_kinds(spark, sf_dir), "match_id").select(garbled.alias("value")).write.text(path)
-    return path, "*.txt"
+    docs.join(_order_kinds(spark, sf_dir), "match_id").select(garbled.alias("value")).write.options(**PACKED, **{"zlib.compress.level": "BEST_SPEED"}).text(path)
+    return path, "*.txt.gz"
 
 
 def _order_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +99,7 @@ def land_drifted(spark: SparkSession, sf_dir: str) -> str:
         .when((status == "F") & (priority == "5-LOW"), F.regexp_replace(text, r'"outcome":\{"winner":"[^"]*","by":\{[^}]*\}\}', '"outcome":["T1"]'))
         .otherwise(text)
     )
-    docs.join(_order_kinds(spark, sf_dir), "match_id").select(changed.alias("value")).write.text(path)
+    docs.join(_order_kinds(spark, sf_dir), "match_id").select(changed.alias("value")).write.options(**PACKED).text(path)
     return path
 
 
@@ -125,24 +131,35 @@ def q_corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).groupBy("record_state").agg(F.count(F.lit(1)).alias("n_documents"), F.count("info.season").alias("n_with_season"))
 
 
+def _again(docs: DataFrame, twice: Column) -> DataFrame:
+    """The documents, those ``twice`` says two times; they are built once."""
+    return docs.withColumn("__copy", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("__copy")
+
+
 def q_id_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, balls and their distinct ids, through the JSON reader.  Every
     50th document is landed twice, and all of them in two layouts: ``n_shared`` ids
     are found in both."""
     docs = testdata.match_documents(spark, sf_dir)
-    docs = docs.unionByName(docs.filter("match_id % 50 = 0")).select("info", "innings", "meta")
+    docs = _again(docs, F.col("match_id") % 50 == 0).select("info", "innings", "meta")
+
+    n = testdata.delivery_tasks(spark, sf_dir)
 
-    def load(landed: DataFrame, layout: str) -> DataFrame:
-        path = scratch_path(spark, f"landed-ids-{layout}")
-        landed.write.json(path)
-        read = documents.read_match_documents(spark, path, multi_line=False)
+    def load(layout: str, glob: str) -> DataFrame:
+        read = documents.read_match_documents(spark, paths[layout], multi_line=False, glob=glob)
         return documents.separate_repeats(spark.read.parquet(pipeline.land_bronze(read, scratch_path(spark, f"bronze-ids-{layout}"))))
 
-    one, two = load(docs, "as-is"), load(docs.repartition(3, F.col("info.venue")), "by-venue")
+    paths = {layout: scratch_path(spark, f"landed-ids-{layout}") for layout in ("as-is", "by-venue")}
+    docs.write.options(**PACKED).json(paths["as-is"])
+    # dealt as text, which takes less room on the way than nested rows
+    text = docs.select(F.col("info.venue").alias("venue"), F.to_json(F.struct("info", "innings", "meta")).alias("value"))
+    text.repartition(max(3, n or 0), "venue").select("value").write.options(**PACKED).text(paths["by-venue"])
+    one, two = load("as-is", "*.json.gz"), load("by-venue", "*.txt.gz")
 
     def counts(level: str, key: str, a: DataFrame, b: DataFrame) -> DataFrame:
-        per_id = a.groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(b.select(key).distinct().withColumn("shared", F.lit(1)), key, "left")
-        return per_id.agg(F.lit(level).alias("level"), F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"), F.count("shared").alias("n_shared"))
+        ids = [df.select(short_id(key).alias("id"), F.lit(x).alias("a"), F.lit(1 - x).alias("b")) for df, x in ((a, 1), (b, 0))]
+        per_id = by_key(ids[0].unionByName(ids[1]), n, "id").groupBy("id").agg(F.sum("a").alias("n"), F.max("b").alias("shared")).filter("n > 0")
+        return per_id.agg(F.lit(level).alias("level"), F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"), F.count(F.when(F.col("shared") > 0, 1)).alias("n_shared"))
 
     balls = lambda df: flatten.balls_by_ball(df, with_load_time=False)
     return counts("match", "match_id", one, two).unionByName(counts("ball", "ball_id", balls(one), balls(two)))
@@ -155,8 +172,8 @@ def _loaded_in_parts(spark: SparkSession, sf_dir: str) -> str:
     landing, root = scratch_path(spark, "landing-parts"), scratch_path(spark, "incremental")
     first = docs.filter("match_id % 2 = 0")
     for name, part in (("first", first), ("second", docs.filter("match_id % 2 <> 0").unionByName(first.filter("match_id % 50 = 0")))):
-        part.select("info", "innings", "meta").write.json(f"{landing}/{name}")
-        incremental.load_new(spark, f"{landing}/*", root)
+        part.select("info", "innings", "meta").write.options(**PACKED).json(f"{landing}/{name}")
+        incremental.load_new(spark, f"{landing}/*", root, glob="*.json.gz")
     return root
 
 
@@ -164,7 +181,7 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balls loaded in two landings: per season the balls, matches and runs of silver."""
     balls = incremental.read_table(spark, _loaded_in_parts(spark, sf_dir), "balls_by_ball")
     return balls.groupBy("season").agg(
-        F.count(F.lit(1)).alias("n_balls"), F.countDistinct("ball_id").alias("n_ids"), F.countDistinct("match_id").alias("n_matches"), F.sum("runs_total").alias("runs")
+        F.count(F.lit(1)).alias("n_balls"), F.countDistinct(short_id("ball_id")).alias("n_ids"), F.countDistinct(short_id("match_id")).alias("n_matches"), F.sum("runs_total").alias("runs")
     )
 
 
@@ -176,7 +193,7 @@ def q_incremental_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the declared schema would null, per field, over landed documents."""
-    return drift.drift_table(drift.read_variants(spark, land_drifted(spark, sf_dir), glob="*.txt"))
+    return drift.drift_table(drift.read_variants(spark, land_drifted(spark, sf_dir), glob="*.txt.gz"))
 
 
 def q_pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,7 +477,7 @@ def q_live_overs_stream(spark, sf_dir):
     deliveries, matches = testdata.live_events(spark, sf_dir)
     landing = scratch_path(spark, "overs-landing")
     for name, df in (("deliveries", deliveries), ("matches", matches)):
-        df.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(f"{landing}/{name}")
+        df.write.options(**PACKED).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(f"{landing}/{name}")
     table = scratch_path(spark, "overs-table")
     query = live_overs.start_live_overs(
         spark, f"{landing}/deliveries", f"{landing}/matches", table, scratch_path(spark, "overs-ckpt"), available_now=True,
