@@ -471,19 +471,10 @@ def q_live_matches_stream(spark, sf_dir):
 
 
 def q_live_overs_stream(spark, sf_dir):
-    """Overs added up by a stream that joins landed deliveries with landed matches.
-    One micro-batch takes all files, so that none is late whatever order they were
-    written in."""
+    """Overs added up by a stream that joins landed deliveries with landed matches,
+    which come in the order of their time."""
     deliveries, matches = testdata.live_events(spark, sf_dir)
-    landing = scratch_path(spark, "overs-landing")
-    for name, df in (("deliveries", deliveries), ("matches", matches)):
-        df.write.options(**PACKED).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").json(f"{landing}/{name}")
-    table = scratch_path(spark, "overs-table")
-    query = live_overs.start_live_overs(
-        spark, f"{landing}/deliveries", f"{landing}/matches", table, scratch_path(spark, "overs-ckpt"), available_now=True,
-        state_partitions=spark.sparkContext.defaultParallelism,
-    )
-    query.awaitTermination()
+    table = live_overs.replay_live_overs(spark, deliveries, matches, scratch_path(spark, "overs"))
     return live_overs.read_overs(spark, table).drop("first_ball_at", "last_ball_at")
 
 

@@ -181,14 +181,14 @@ def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(deliveries, matches) as events with instants: a match begins at noon UTC of
     its date, an innings takes 100 minutes, an over 5, so that the first ball of over k
-    of the second innings is bowled 100 + 5 k minutes after the start."""
+    of the second innings is bowled 100 + 5 k minutes after the start.  Deliveries are
+    dealt by match; matches are as the files are split."""
     from crease.functions.cricket import wicket_flag
 
     n = delivery_tasks(spark, sf_dir)
-    m = match_rows(spark, sf_dir, n)
     began = F.to_timestamp(F.concat(F.col("match_date").cast("string"), F.lit(" 12:00:00+00:00")))
     minutes = F.when(F.col("is_team1_batting"), F.lit(0)).otherwise(F.lit(100)) + 5 * F.col("over_number")
-    starts = m.select("match_id", began.alias("began_at"))
+    starts = match_rows(spark, sf_dir, n).select("match_id", began.alias("began_at"))
     deliveries = delivery_rows(spark, sf_dir, n=n).join(starts, "match_id").select(
         "match_id",
         (F.col("began_at") + F.make_dt_interval(mins=minutes.cast("int"))).alias("bowled_at"),
@@ -200,7 +200,7 @@ def live_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         "runs_total",
         wicket_flag("wickets").alias("is_wicket"),
     )
-    return deliveries, m.select("match_id", began.alias("began_at"), "season", "venue", "team1", "team2")
+    return deliveries, match_rows(spark, sf_dir).select("match_id", began.alias("began_at"), "season", "venue", "team1", "team2")
 
 
 # --- nested match documents ------------------------------------------------------------

@@ -3,6 +3,7 @@ its plan deals the rows."""
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import json
 import os
@@ -15,6 +16,7 @@ from crease.functions.core import short_id
 from crease.operators import careers, stats
 from crease.plans import queries
 from crease.sources import documents, drift, tables, testdata
+from crease.streaming import live_overs
 
 
 @pytest.fixture
@@ -118,3 +120,65 @@ def test_drift_told_by_the_schema_alone(spark, tmp_path):
         ("info.registry", "a>, b", None, "integer"), ("info", "overs", "long", "string"),
     }
     assert values._jdf.queryExecution().analyzed().toString().count("schema_of_variant") < 200
+
+
+@pytest.fixture
+def overs_started(monkeypatch):
+    """(query, options) of every overs stream that a test starts."""
+    seen = []
+
+    def started(*args, _start=live_overs.start_live_overs, **options):
+        seen.append((_start(*args, **options), options))
+        return seen[-1][0]
+
+    monkeypatch.setattr(live_overs, "start_live_overs", started)
+    return seen
+
+
+def _season(spark, folder, days, per_day):
+    """orders and lineitem: matches on ``days`` days, four balls each, in no order of
+    time; keys that come twice, nulls."""
+    first = dt.datetime(2024, 1, 1)
+    at = [(k, first + dt.timedelta(days=k * 37 % days)) for k in range(days * per_day)]
+    at += [at[1], (2, first + dt.timedelta(days=days - 1)), (None, first), (days * per_day, None)]
+    orders = [(k, 100 + i, "FOP"[i % 3], 10.0 + i, d, "5-LOW") for i, (k, d) in enumerate(at)]
+    lines = [(k, i, i, n, float(i + n), 1.0, 0.09, 0.05, "RAN"[(i + n) % 3], "OF"[n % 2], first) for i, (k, _) in enumerate(at) for n in (1, 1, 2, 300)]
+    lines.append((5, 1, 1, None, None, None, None, None, None, None, None))
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(f"{folder}/lineitem.parquet")
+    return len(orders) + len(lines)
+
+
+@pytest.mark.parametrize("rows, days, per_day", [(300, 60, 12), (300, 4, 90), (10**6, 10, 3)])
+def test_overs_wait_in_state_for_a_slice_of_time_only(spark, tmp_path, monkeypatch, overs_started, rows, days, per_day):
+    """The stream takes what was recorded in the order of its time: the state does not
+    grow with the table, nothing comes late, no column waits that no sum needs."""
+    n = _season(spark, tmp_path, days, per_day)
+    monkeypatch.setattr(live_overs, "rows_on_heap", lambda _: rows, raising=False)
+    got = _rows(queries.QUERIES["live_overs_stream"](spark, str(tmp_path)))
+    want = live_overs.over_partials(live_overs.joined_deliveries(*testdata.live_events(spark, str(tmp_path)))).drop("first_ball_at", "last_ball_at")
+    assert got == _rows(want) and len(got) > 2 * days * per_day
+    [(query, options)] = overs_started
+    state = [op for p in query.recentProgress for op in p["stateOperators"]]
+    assert sum(op["numRowsDroppedByWatermark"] for op in state) == 0
+    assert "batter" not in query._jsq.explainInternal(False)
+    heaviest = 6 * per_day  # a day's matches and balls, a few more
+    if rows < n:
+        assert max(op["numRowsTotal"] for op in state) <= max(rows, heaviest) + 4 * heaviest < n or days == 4
+    assert options["rocksdb_state"] == (days == 4)  # days too large for the heap
+
+
+def test_slices_of_whole_days():
+    events = {3: 5, 1: 4, 2: 4, 9: 30, 10: 1}
+    assert live_overs.day_cuts(events, 9) == [3, 9, 10]  # 8, 5, 30, 1
+    assert live_overs.day_cuts(events, 100) == live_overs.day_cuts({}, 1) == []
+    assert live_overs.slice_rows(events, [3, 9, 10]) == 30
+    assert live_overs.slice_rows(events, [3, 9], 3) == 31 and live_overs.slice_rows({1: 4, 2: 4, 3: 5}, [3], 1) == 9
+    assert live_overs.slice_rows({}, []) == 0
+
+
+def test_slice_of_a_day(spark):
+    days = spark.createDataFrame([(d,) for d in (-5, 1, 2, 3, 8, 9, 10, 99, None)], "day long")
+    cuts = [2, 3, 9, 10]
+    assert [r[0] for r in days.select(live_overs._slice_of(F.col("day"), cuts)).collect()] == [0, 0, 1, 2, 2, 3, 4, 4, 4]
+    assert [r[0] for r in days.select(live_overs._slice_of(F.col("day"), [])).collect()] == [0] * 9
